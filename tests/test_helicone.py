@@ -1,0 +1,280 @@
+from helpers import INGEST, call_rows, pages_of, reject_rows, utc
+
+from tracewaste import analyze
+from tracewaste.sources.pages import page_ledger, parse_pages, truncate_pages, unwrap_records
+
+
+def request(**changes):
+    base = {
+        "request_id": "req_1",
+        "provider": "openai",
+        "model": "gpt-5",
+        "prompt_tokens": 50,
+        "completion_tokens": 5,
+        "latency_ms": 120.0,
+        "created_at": "2026-04-09T12:00:00Z",
+        "properties": {},
+    }
+    return {k: v for k, v in {**base, **changes}.items() if v is not Ellipsis}
+
+
+def many(spark, changes):
+    """One call per dict of changes, in one job."""
+    rows = call_rows(spark, "helicone", *[request(**c) for c in changes])
+    assert len(rows) == len(changes)
+    return rows
+
+
+def one(spark, **changes):
+    return many(spark, [changes])[0]
+
+
+def test_pages_of_100_100_47(spark):
+    bodies = [
+        [request(request_id=f"r{100 * p + i}") for i in range(n)]
+        for p, n in enumerate([100, 100, 47])
+    ]
+    parsed = parse_pages(pages_of(spark, *bodies), "helicone")
+    records = unwrap_records(truncate_pages(parsed, "helicone"), "helicone")
+    assert records.count() == 247
+    got = [
+        r[0]
+        for r in records.orderBy("src_seq")
+        .selectExpr("try_variant_get(rec, '$.request_id', 'string')")
+        .collect()
+    ]
+    assert got == [f"r{i}" for i in range(247)]
+
+
+def test_page_shapes(spark):
+    cases = [
+        ([{"a": 1}], 1),
+        ({"data": [{"a": 1}, {"b": 2}]}, 2),
+        ({"error": "bad key"}, 0),
+        ({"data": None}, 0),
+        ('"text"', 0),
+        ("{broken", 0),
+        ("", 0),
+    ]
+    parsed = parse_pages(pages_of(spark, *[body for body, _ in cases]), "helicone")
+    got = [r["n_rows"] for r in parsed.orderBy("page_idx").select("n_rows").collect()]
+    assert got == [n for _, n in cases]
+    assert unwrap_records(parsed, "helicone").count() == sum(got)
+
+
+def test_short_page_stops(spark):
+    bodies = [[{}] * 3, [{}] * 2, [{}] * 3]
+    parsed = parse_pages(pages_of(spark, *bodies), "helicone")
+    ledger = page_ledger(parsed, "helicone", page_size=3).orderBy("page_idx").collect()
+    assert [r["is_stop"] for r in ledger] == [False, True, False]
+    assert truncate_pages(parsed, "helicone", 3).count() == 2
+
+
+def test_full_pages_without_a_stop_all_count(spark):
+    parsed = parse_pages(pages_of(spark, [{}] * 3, [{}] * 3), "helicone")
+    assert truncate_pages(parsed, "helicone", 3).count() == 2
+
+
+def test_session_precedence(spark):
+    cases = [
+        ({"properties": {"Helicone-Session-Id": "sess_abc", "session_id": "other"}}, "sess_abc"),
+        ({"properties": {"session_id": "fallback_sess"}}, "fallback_sess"),
+        ({"properties": {"helicone-session-id": "lower"}}, "req_1"),
+        ({"properties": {"Helicone-Session-Id": ""}}, "req_1"),
+        ({"properties": {"Helicone-Session-Id": 0, "session_id": 7}}, "7"),
+        ({"properties": "text"}, "req_1"),
+        ({"properties": None, "request_id": "", "id": "own"}, "own"),
+        ({"request_id": ...}, "helicone-orphan-openai-2026-04-09T12:00:00Z"),
+        ({"request_id": ..., "provider": ..., "created_at": ...}, "helicone-orphan-unknown-0"),
+    ]
+    got = [c["session_id"] for c in many(spark, [c for c, _ in cases])]
+    assert got == [expected for _, expected in cases]
+
+
+def test_call_record(spark):
+    call = one(
+        spark,
+        request_id="r1",
+        provider="Anthropic",
+        model="claude-sonnet-4-6",
+        prompt_tokens=80,
+        completion_tokens=12,
+        latency_ms=85.5,
+        created_at="2026-04-10T11:22:33Z",
+    )
+    assert call["provider"] == "anthropic"
+    assert call["method"] == "messages.create"
+    assert call["request_hash"] == "r1"
+    assert (call["prompt_tokens"], call["completion_tokens"]) == (80, 12)
+    assert call["latency_ms"] == 85.5
+    assert call["timestamp"].isoformat() == "2026-04-10T11:22:33"
+    assert call["tool_calls"] == [] and call["user_facing_output"] is False
+    assert call["raw_response_meta"] == {}
+    assert call["messages"] == "[]" and call["input"] is None
+
+
+def test_method(spark):
+    cases = [
+        ("openai", "gpt-5", "chat.completions.create"),
+        ("openai", "Text-EMBEDding-3-small", "embeddings.create"),
+        ("anthropic", "embedder", "embeddings.create"),
+        ("anthropic", "claude", "messages.create"),
+    ]
+    got = many(spark, [{"provider": p, "model": m} for p, m, _ in cases])
+    assert [c["method"] for c in got] == [method for _, _, method in cases]
+
+
+def test_null_names_keep_their_printed_form(spark):
+    call = one(spark, provider=None, model=None)
+    assert (call["provider"], call["model"]) == ("none", "None")
+    call = one(spark, provider=..., model=...)
+    assert (call["provider"], call["model"]) == ("unknown", "unknown")
+
+
+def test_token_chain(spark):
+    cases = [
+        ({"prompt_tokens": 0, "usage": {"prompt_tokens": 7, "input_tokens": 8}}, 7),
+        ({"prompt_tokens": None, "usage": {"prompt_tokens": 0, "input_tokens": 8}}, 8),
+        ({"prompt_tokens": ..., "usage": {}}, 0),
+        ({"prompt_tokens": "0", "usage": {"prompt_tokens": 7}}, 0),
+        ({"prompt_tokens": "12"}, 12),
+        ({"prompt_tokens": " 12 "}, 12),
+        ({"prompt_tokens": 1.9}, 1),
+        ({"prompt_tokens": True}, 1),
+        ({"prompt_tokens": ..., "usage": ""}, 0),
+        ({"usage": "ignored"}, 50),
+    ]
+    got = [c["prompt_tokens"] for c in many(spark, [c for c, _ in cases])]
+    assert got == [expected for _, expected in cases]
+
+
+def test_quarantine(spark):
+    cases = [
+        ({"prompt_tokens": "many"}, "prompt_tokens_not_a_number"),
+        ({"prompt_tokens": "1.5"}, "prompt_tokens_not_a_number"),
+        ({"completion_tokens": [1]}, "completion_tokens_not_a_number"),
+        ({"latency_ms": "slow"}, "latency_not_a_number"),
+        ({"latency_ms": {"a": 1}}, "latency_not_a_number"),
+        ({"prompt_tokens": 0, "usage": "text"}, "usage_not_an_object"),
+        ({"completion_tokens": 0, "usage": [1]}, "usage_not_an_object"),
+    ]
+    rows = [request(request_id="good"), *[request(**c) for c, _ in cases]]
+    rejected = reject_rows(spark, "helicone", *rows)
+    assert [r["skip_reason"] for r in rejected] == [reason for _, reason in cases]
+    assert [c["request_hash"] for c in call_rows(spark, "helicone", *rows)] == ["good"]
+
+
+def test_non_object_records_are_quarantined(spark):
+    rows = reject_rows(spark, "helicone", request(), 5, "x", None, [1])
+    assert [r["skip_reason"] for r in rows] == ["record_not_an_object"] * 4
+    assert [r["src_seq"] for r in rows] == [1, 2, 3, 4]
+
+
+def test_latency(spark):
+    cases = [
+        ({"latency_ms": ..., "latency": "12.5"}, 12.5),
+        ({"latency_ms": 0, "latency": 3}, 3.0),
+        ({"latency_ms": "1e3"}, 1000.0),
+        ({"latency_ms": ...}, 0.0),
+    ]
+    got = [c["latency_ms"] for c in many(spark, [c for c, _ in cases])]
+    assert got == [expected for _, expected in cases]
+
+
+def test_timestamps(spark):
+    fallback = INGEST.replace(tzinfo=None).isoformat()
+    cases = [
+        ("2026-04-09T12:34:56Z", "2026-04-09T12:34:56"),
+        ("2026-04-09T12:34:56.789Z", "2026-04-09T12:34:56.789000"),
+        ("2026-04-09T12:34:56+05:30", "2026-04-09T07:04:56"),
+        ("2026-04-09 12:34:56", "2026-04-09T12:34:56"),
+        ("  2026-04-09\n", "2026-04-09T00:00:00"),
+        ("2026-04-09T12:34", "2026-04-09T12:34:00"),
+        ("2026-04-09T12:34+05:30", "2026-04-09T07:04:00"),
+        ("2026-04-09T12:34:56.123456789Z", "2026-04-09T12:34:56.123456"),
+        ("2026", None),
+        ("12:00:00", None),
+        ("2026-02-30", None),
+        ("2026-04-09T25:00:00", None),
+        ("", None),
+        (1775736000, None),
+        (None, None),
+    ]
+    got = [c["timestamp"].isoformat() for c in many(spark, [{"created_at": t} for t, _ in cases])]
+    assert got == [expected or fallback for _, expected in cases]
+
+
+def test_raw_request(spark):
+    cases = [
+        ({"prompt": "hi"}, '[{"content":"hi","role":"user"}]', None),
+        ({"prompt": [{"role": "user"}]}, '[{"role":"user"}]', None),
+        ({"prompt": "hi", "body": {"messages": [1]}}, "[1]", None),
+        ({"prompt": None, "body": {"prompt": "b"}}, '[{"content":"b","role":"user"}]', None),
+        ({"prompt": {"a": 1}}, "[]", None),
+        ({"prompt": ""}, '[{"content":"","role":"user"}]', None),
+        ({"prompt": '[{"role": "user"}]'},
+         '[{"content":"[{\\"role\\": \\"user\\"}]","role":"user"}]', None),
+        ({"body": {"input": ["hello world"]}, "input": "x"}, "[]", '["hello world"]'),
+        ({"body": {"input": None}, "input": "x"}, "[]", "null"),
+        ({"body": "text", "input": "x"}, "[]", '"x"'),
+    ]
+    got = [(c["messages"], c["input"]) for c in many(spark, [c for c, _, _ in cases])]
+    assert got == [(messages, given) for _, messages, given in cases]
+
+
+def test_since_is_inclusive_and_keeps_unreadable_times(spark):
+    rows = [
+        request(request_id="r1", created_at="2026-04-15T00:00:00Z"),
+        request(request_id="r2", created_at="2026-04-09T00:00:00Z"),
+        request(request_id="r3", created_at="2026-04-08T23:59:59.999999Z"),
+        request(request_id="r4", created_at="soon"),
+    ]
+    result = analyze(
+        spark, pages_of(spark, rows), "helicone", "demo", since=utc(2026, 4, 9), dry_run=True,
+        ingest_time=INGEST,
+    )
+    assert [r["request_hash"] for r in result.calls.orderBy("src_seq").collect()] == [
+        "r1", "r2", "r4",
+    ]
+    assert result.summary.first()["fetched_traces"] == 3
+
+
+def test_end_to_end(spark):
+    prompt = "Classify this as a yes or no"
+    rows = [
+        request(
+            request_id=f"r{i}",
+            created_at="2026-04-10T12:00:00Z",
+            prompt_tokens=30,
+            completion_tokens=3,
+            prompt=prompt,
+            properties={"Helicone-Session-Id": "sess_e2e"},
+        )
+        for i in range(3)
+    ]
+    result = analyze(spark, pages_of(spark, {"data": rows}), "helicone", "demo", dry_run=True)
+    summary = result.summary.first()
+    assert summary["fetched_traces"] == 3
+    assert summary["inferred_sessions"] == 1
+    assert summary["pages_fetched"] == 1
+    assert summary["events_by_type"] == {"model_misroute": 3}
+    assert summary["dry_run"] is True and summary["backfill_accepted"] == 0
+    events = result.events.collect()
+    assert {e["raised_at"].isoformat() for e in events} == {"2026-04-10T12:00:00"}
+    assert {e["session_id"] for e in events} == {"sess_e2e"}
+    assert result.payloads is None
+
+
+def test_empty_source(spark):
+    summary = analyze(spark, pages_of(spark, []), "helicone", "demo", dry_run=True).summary.first()
+    assert summary["fetched_traces"] == summary["fired_events"] == summary["pages_fetched"] == 0
+    assert summary["inferred_sessions"] == 0 and summary["events_by_type"] == {}
+
+
+def test_pages_beyond_the_stop_page_do_not_count(spark):
+    full = [request(request_id=f"a{i}") for i in range(100)]
+    pages = pages_of(spark, full, [request(request_id="b")], [request(request_id="c")])
+    result = analyze(spark, pages, "helicone", "demo", dry_run=True)
+    summary = result.summary.first()
+    assert (summary["fetched_traces"], summary["pages_fetched"]) == (101, 2)
+    assert result.calls.count() == 101

@@ -1,0 +1,19 @@
+"""Broadcasts that are only taken after the size has been checked."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 100_000
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` marked for broadcast when it holds at most ``max_rows`` rows.
+
+    Beyond that it is returned as it is, and the join runs as a shuffle join
+    whose skewed partitions adaptive execution splits.
+    """
+    if df.limit(max_rows + 1).count() > max_rows:
+        return df
+    return F.broadcast(df)
