@@ -29,7 +29,7 @@ def firings_report(events: DataFrame) -> DataFrame:
 
 
 def savings_report(events: DataFrame) -> DataFrame:
-    """``(type, savings)``: positive amounts, largest first, then ``total``."""
+    """``(type, savings)``: amounts that round to more than zero, largest first, then ``total``."""
     totals = totals_by_type(events).select(
         F.coalesce("type", F.lit("total")).alias("type"),
         F.bround("burn", 2).cast("decimal(18,2)").alias("savings"),
