@@ -17,6 +17,8 @@ def spark():
         SparkSession.builder.master("local[8]")
         .appName("tracewaste-tests")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "6g")
         .config("spark.checkpoint.dir", f"{folder}/checkpoints")

@@ -65,97 +65,113 @@ class RuleContext:
 Rule = Callable[[DataFrame, DataFrame, RuleContext], DataFrame]
 
 
-def _windowed_rule(
-    rows: DataFrame,
-    keys: list[str],
-    context: RuleContext,
-    name: str,
-    suppressed: bool,
-    evidence: dict[str, Column],
-    **event: Any,
-) -> DataFrame:
-    """Events of a rule that fires once enough equal calls fall into its trailing window."""
-    mode = check_mode(context.get("dedup"))
-    parts = trailing_window(
-        rows,
-        keys,
-        int(context.get(f"{name}.window_seconds") * SECOND_US),
-        context.get(f"{name}.min_calls"),
-        context.get("hot_rows"),
+def _window_row(*keys: Any, flag: Column) -> list[Any]:
+    """The columns a trailing window needs, of priced calls."""
+    return [
+        "session_id",
+        *keys,
+        F.unix_micros("timestamp").alias(AT),
+        F.col("src_seq").alias(SEQ),
+        F.col("cost_nanos").alias(COST),
+        flag.cast("int").alias(FLAG),
+    ]
+
+
+def _tool_rows(calls: DataFrame, prices: DataFrame) -> DataFrame:
+    """One row per call and distinct tool with arguments: a repeat inside a call counts once."""
+    return (
+        with_cost(calls.filter(F.size("tool_calls") > 0), prices)
+        .withColumn("call_tool", F.explode(F.array_distinct("tool_calls")))
+        .select(
+            *_window_row(
+                F.col("call_tool.name").alias("tool"),
+                # The digest keeps long argument texts out of the shuffle and the sort.
+                F.sha2("call_tool.arguments", 256).alias("arguments_digest"),
+                flag=F.col("user_facing_output"),
+            )
+        )
     )
 
-    def fire(part: DataFrame) -> DataFrame:
-        firing = part.filter("flagged_window = 0") if suppressed else part
-        kept = deduplicate(firing, keys, [AT, SEQ], "ordinal", mode)
+
+def _request_rows(calls: DataFrame, prices: DataFrame) -> DataFrame:
+    return with_cost(calls, prices).select(*_window_row("request_hash", flag=F.lit(False)))
+
+
+@dataclass(frozen=True)
+class WindowedRule:
+    """A rule that fires once enough equal calls fall into its trailing window."""
+
+    name: str
+    keys: list[str]
+    rows: Callable[[DataFrame, DataFrame], DataFrame]
+    evidence: str
+    confidence: float
+    action: str
+
+    def span_us(self, context: RuleContext) -> int:
+        return int(context.get(f"{self.name}.window_seconds") * SECOND_US)
+
+    def firings(
+        self, calls: DataFrame, prices: DataFrame, context: RuleContext
+    ) -> list[DataFrame]:
+        """Every firing with its window's measures, before de-duplication."""
+        parts = trailing_window(
+            self.rows(calls, prices),
+            self.keys,
+            self.span_us(context),
+            context.get(f"{self.name}.min_calls"),
+            context.get("hot_rows"),
+        )
+        # While a user-facing call is inside the window the rule stays silent.
+        if context.get(f"{self.name}.respect_user_facing"):
+            return [part.filter("flagged_window = 0") for part in parts]
+        return parts
+
+    def events(self, firings: DataFrame, context: RuleContext) -> DataFrame:
         return as_events(
-            kept,
-            type=name,
-            rule=f"v0.{name}",
+            firings,
+            type=self.name,
+            rule=f"v0.{self.name}",
+            confidence=self.confidence,
+            action=self.action,
             project=context.project,
-            evidence={**evidence, "call_count": F.col("n_window")},
+            evidence={self.evidence: F.col(self.evidence), "call_count": F.col("n_window")},
             burn_nanos=F.col("cost_window") - F.col("first_cost"),
             raised_at=F.timestamp_micros(AT),
             src_seq=F.col(SEQ),
             sdk_version=context.sdk_version,
-            **event,
         )
 
-    return reduce(DataFrame.unionByName, [fire(part) for part in parts])
-
-
-def tool_loop(calls: DataFrame, prices: DataFrame, context: RuleContext) -> DataFrame:
-    """The same tool with the same arguments, again and again within the window.
-
-    A call that repeats a tool with equal arguments counts once. While a
-    user-facing call is inside the window the rule stays silent.
-    """
-    suppressed = bool(context.get("tool_loop.respect_user_facing"))
-    rows = (
-        with_cost(calls.filter(F.size("tool_calls") > 0), prices)
-        .withColumn("tool", F.explode(F.array_distinct("tool_calls")))
-        .select(
-            "session_id",
-            F.col("tool.name").alias("tool"),
-            # The digest keeps long argument texts out of the shuffle and the sort.
-            F.sha2("tool.arguments", 256).alias("arguments_digest"),
-            F.unix_micros("timestamp").alias(AT),
-            F.col("src_seq").alias(SEQ),
-            F.col("cost_nanos").alias(COST),
-            F.col("user_facing_output").cast("int").alias(FLAG),
+    def __call__(self, calls: DataFrame, prices: DataFrame, context: RuleContext) -> DataFrame:
+        mode = check_mode(context.get("dedup"))
+        return reduce(
+            DataFrame.unionByName,
+            [
+                self.events(deduplicate(part, self.keys, [AT, SEQ], "ordinal", mode), context)
+                for part in self.firings(calls, prices, context)
+            ],
         )
-    )
-    return _windowed_rule(
-        rows,
-        ["session_id", "tool", "arguments_digest"],
-        context,
-        "tool_loop",
-        suppressed,
-        {"tool": F.col("tool")},
-        confidence=0.85,
-        action="pause_for_human_review",
-    )
 
 
-def retry_storm(calls: DataFrame, prices: DataFrame, context: RuleContext) -> DataFrame:
-    """The same request hash repeated within the window."""
-    rows = with_cost(calls, prices).select(
-        "session_id",
-        "request_hash",
-        F.unix_micros("timestamp").alias(AT),
-        F.col("src_seq").alias(SEQ),
-        F.col("cost_nanos").alias(COST),
-        F.lit(0).alias(FLAG),
-    )
-    return _windowed_rule(
-        rows,
-        ["session_id", "request_hash"],
-        context,
-        "retry_storm",
-        False,
-        {"request_hash": F.col("request_hash")},
-        confidence=0.9,
-        action="add_backoff_or_check_upstream_health",
-    )
+# The same tool with the same arguments, again and again within a minute.
+tool_loop = WindowedRule(
+    name="tool_loop",
+    keys=["session_id", "tool", "arguments_digest"],
+    rows=_tool_rows,
+    evidence="tool",
+    confidence=0.85,
+    action="pause_for_human_review",
+)
+
+# The same request repeated within half a minute.
+retry_storm = WindowedRule(
+    name="retry_storm",
+    keys=["session_id", "request_hash"],
+    rows=_request_rows,
+    evidence="request_hash",
+    confidence=0.9,
+    action="add_backoff_or_check_upstream_health",
+)
 
 
 def model_misroute(calls: DataFrame, prices: DataFrame, context: RuleContext) -> DataFrame:

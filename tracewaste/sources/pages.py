@@ -26,7 +26,7 @@ def check_provider(provider: str) -> str:
     return provider
 
 
-def _required_ordinal(ordinal: Column) -> Column:
+def required_ordinal(ordinal: Column) -> Column:
     missing = F.raise_error(F.lit("a landed page carries no page ordinal")).cast("bigint")
     return F.coalesce(ordinal, missing).alias("page_idx")
 
@@ -36,7 +36,7 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.text(path, wholetext=True)
     name = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1)
     return files.select(
-        _required_ordinal(name.try_cast("bigint")), F.col("value").alias("body")
+        required_ordinal(name.try_cast("bigint")), F.col("value").alias("body")
     )
 
 
@@ -49,7 +49,7 @@ def read_page_lines(spark: SparkSession, path: str) -> DataFrame:
     parsed = spark.read.text(path).select(line.alias("line"))
     body = at(F.col("line"), "$.body")
     return parsed.select(
-        _required_ordinal(F.try_variant_get("line", "$.page_idx", "bigint")),
+        required_ordinal(F.try_variant_get("line", "$.page_idx", "bigint")),
         F.when(is_string(body), F.try_variant_get(body, "$", "string"))
         .otherwise(F.to_json(body))
         .alias("body"),
