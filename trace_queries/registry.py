@@ -593,7 +593,7 @@ def model_misroute(spark, sf_dir):
     return _flat(_fire(spark, sf_dir, "model_misroute"), "model", "recommended_alternative")
 
 
-ITEM_HASH = """sha256('"' || replace(item, '"', '\\"') || '"')"""
+ITEM_HASH = "sha256('text:' || item)"
 
 
 @query(f"""{COSTED}, {sql.ELEMENTS}

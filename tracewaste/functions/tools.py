@@ -2,6 +2,8 @@
 
 ``arguments`` is JSON text with sorted object keys, so equal arguments are
 equal text; an argument string keeps its quotes and so differs from an object.
+The entry lists are bound as columns first and turned into calls afterwards,
+so that each is read once.
 """
 
 from __future__ import annotations
@@ -10,78 +12,69 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tracewaste.functions.values import (
+    EMPTY_JSON,
     at,
     display_text_or,
     elements,
-    first_truthy,
     is_object,
-    is_truthy,
     text_at,
 )
 
 NO_TOOL_CALLS = "CAST(array() AS ARRAY<STRUCT<name: STRING, arguments: STRING>>)"
 
 
-def _tool_call(name: Column, *arguments: Column) -> Column:
-    return F.struct(
-        display_text_or(name, "").alias("name"),
-        F.coalesce(F.to_json(first_truthy(*arguments)), F.lit("{}")).alias("arguments"),
-    )
+def tool_use_blocks(content: Column) -> Column:
+    """The content blocks that call a tool."""
+    return F.filter(elements(content), lambda block: text_at(block, "$.type") == "tool_use")
 
 
-def _unless_empty(calls: Column) -> Column:
-    return F.when(F.size(calls) > 0, calls)
+def tool_entries(listed: Column) -> Column:
+    """The objects of a tool list."""
+    return F.filter(elements(listed), is_object)
 
 
-def _from_content_blocks(message: Column) -> Column:
-    blocks = F.filter(
-        elements(message, "$.content"), lambda b: text_at(b, "$.type") == "tool_use"
-    )
-    return _unless_empty(
-        F.transform(blocks, lambda b: _tool_call(at(b, "$.name"), at(b, "$.input")))
-    )
+def _name(entry: Column, path: str) -> Column:
+    # Only a name that is no plain text needs a look at its type.
+    text = text_at(entry, path)
+    return F.when(
+        text.isNull() | text.isin("true", "false"), display_text_or(at(entry, path), "")
+    ).otherwise(text)
 
 
-def _from_functions(output: Column) -> Column:
-    entries = F.filter(elements(output, "$.tool_calls"), is_object)
-    return _unless_empty(
-        F.transform(
-            entries,
-            lambda e: _tool_call(at(e, "$.function.name"), at(e, "$.function.arguments")),
-        )
+def _arguments(entry: Column, *paths: str) -> Column:
+    given = F.filter(
+        F.array(*[F.to_json(at(entry, path)) for path in paths]),
+        lambda text: ~text.isin(*EMPTY_JSON),
     )
+    return F.coalesce(F.get(given, F.lit(0)), F.lit("{}"))
 
 
-def _from_message_tools(message: Column) -> Column:
-    entries = F.filter(elements(message, "$.tool_calls"), is_object)
-    return _unless_empty(
-        F.transform(
-            entries, lambda e: _tool_call(at(e, "$.name"), at(e, "$.args"), at(e, "$.arguments"))
-        )
+def _call(entry: Column, name: str, *arguments: str) -> Column:
+    return F.struct(
+        _name(entry, name).alias("name"), _arguments(entry, *arguments).alias("arguments")
     )
 
 
-def observation_tool_calls(output: Column) -> Column:
+def _calls(entries: Column, name: str, *arguments: str) -> Column:
+    """Calls of a bound entry list; NULL when it is empty, so that the next form is tried."""
+    return F.when(F.size(entries) > 0, F.transform(entries, lambda e: _call(e, name, *arguments)))
+
+
+def observation_tool_calls(blocks: Column, functions: Column, legacy: Column) -> Column:
     """Content blocks, then a function list, then a single legacy function call."""
-    legacy = at(output, "$.function_call")
     return F.coalesce(
-        _from_content_blocks(output),
-        _from_functions(output),
-        F.when(
-            is_object(legacy), F.array(_tool_call(at(legacy, "$.name"), at(legacy, "$.arguments")))
-        ),
+        _calls(blocks, "$.name", "$.input"),
+        _calls(functions, "$.function.name", "$.function.arguments"),
+        F.when(is_object(legacy), F.array(_call(legacy, "$.name", "$.arguments"))),
         F.expr(NO_TOOL_CALLS),
     )
 
 
-def run_tool_calls(outputs: Column) -> Column:
+def run_tool_calls(message_tools: Column, blocks: Column, functions: Column) -> Column:
     """Tools of the first generation's message, its content blocks, then a function list."""
-    first = at(outputs, "$.generations[0][0]")
-    nested = at(first, "$.message")
-    message = F.when(is_truthy(nested), nested).otherwise(first)
     return F.coalesce(
-        _from_message_tools(message),
-        _from_content_blocks(message),
-        _from_functions(outputs),
+        _calls(message_tools, "$.name", "$.args", "$.arguments"),
+        _calls(blocks, "$.name", "$.input"),
+        _calls(functions, "$.function.name", "$.function.arguments"),
         F.expr(NO_TOOL_CALLS),
     )

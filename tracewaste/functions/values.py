@@ -60,7 +60,16 @@ def is_present(value: Column) -> Column:
 
 
 def is_truthy(value: Column) -> Column:
-    return F.coalesce(~F.to_json(value).isin(*EMPTY_JSON), F.lit(False))
+    """True unless the value is missing or empty."""
+    # Writing a string as JSON is costly, and most values are strings.
+    return F.when(is_string(value), F.try_variant_get(value, "$", "string") != "").otherwise(
+        F.coalesce(~F.to_json(value).isin(*EMPTY_JSON), F.lit(False))
+    )
+
+
+def is_filled_object(value: Column) -> Column:
+    """True for an object with at least one key, without writing it as JSON."""
+    return is_object(value) & (F.schema_of_variant(value) != "OBJECT<>")
 
 
 def first_truthy(*candidates: Column) -> Column:

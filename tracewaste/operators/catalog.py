@@ -6,10 +6,9 @@ whole number of nano-dollars and a call's cost is exact BIGINT arithmetic.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tracewaste.schemas import MODEL_CATALOG, column_names
 
@@ -26,8 +25,15 @@ SYNTHETIC_CATALOG = [
 
 
 def synthetic_catalog(spark: SparkSession) -> DataFrame:
-    rows = [(m, Decimal(i), Decimal(o), f, a) for m, i, o, f, a in SYNTHETIC_CATALOG]
-    return spark.createDataFrame(rows, MODEL_CATALOG)
+    # A literal relation: its size is known to the optimizer without running a job.
+    rows = ", ".join(
+        f"('{model}', {price_in}, {price_out}, {frontier}, {f"'{other}'" if other else 'NULL'})"
+        for model, price_in, price_out, frontier, other in SYNTHETIC_CATALOG
+    )
+    names = ", ".join(column_names(MODEL_CATALOG))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS catalog({names})").to(
+        StructType.fromDDL(MODEL_CATALOG)
+    )
 
 
 BROADCAST_ROWS = 100_000
@@ -56,7 +62,8 @@ def price_table(catalog: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame
         F.col("in_nanos").alias("alt_in_nanos"),
         F.col("out_nanos").alias("alt_out_nanos"),
     )
-    joined = base.join(other, "alternative", "left").select(
+    small = size["n"] <= max_rows
+    joined = base.join(F.broadcast(other) if small else other, "alternative", "left").select(
         "model",
         "is_frontier",
         "alternative",
@@ -65,7 +72,7 @@ def price_table(catalog: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame
         F.coalesce("alt_in_nanos", F.lit(0)).alias("alt_in_nanos"),
         F.coalesce("alt_out_nanos", F.lit(0)).alias("alt_out_nanos"),
     )
-    return F.broadcast(joined) if size["n"] <= max_rows else joined
+    return F.broadcast(joined) if small else joined
 
 
 def with_cost(calls: DataFrame, prices: DataFrame) -> DataFrame:

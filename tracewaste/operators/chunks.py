@@ -65,7 +65,15 @@ def delivery_chunks(
     """``(chunk_id, project, n, body)`` with at most ``chunk_size`` events per body."""
     if chunk_size <= 0:
         raise ValueError("chunk_size must be > 0")
-    keyed = wire_json(events).withColumn("evidence_key", F.to_json("evidence"))
+    # Only the text and what orders it goes through the sort.
+    keyed = wire_json(events).select(
+        "session_id",
+        "raised_at",
+        "src_seq",
+        "type",
+        F.to_json("evidence").alias("evidence_key"),
+        "wire",
+    )
     ordered = in_delivery_order(keyed, ranks)
     # A group never holds more than chunk_size rows.
     items = F.array_sort(F.collect_list(F.struct("ordinal", "wire")))

@@ -21,6 +21,7 @@ from tracewaste.functions.values import (
     elements,
     evaluated_once,
     first_truthy,
+    is_filled_object,
     is_object,
     is_present,
     is_truthy,
@@ -43,8 +44,10 @@ def _lookup(df: DataFrame, source: str, paths: dict[str, str]) -> DataFrame:
 
 def _choose(df: DataFrame, choices: dict[str, list[str]]) -> DataFrame:
     """Bind the first non-empty of the named columns."""
-    return df.withColumns(
-        {name: first_truthy(*[F.col(c) for c in given]) for name, given in choices.items()}
+    return evaluated_once(
+        df.withColumns(
+            {name: first_truthy(*[F.col(c) for c in given]) for name, given in choices.items()}
+        )
     )
 
 
@@ -95,20 +98,22 @@ def helicone_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame:
                 "v_usage_completion",
                 "v_usage_output",
             ],
-            "c_latency": ["v_latency_ms", "v_latency"],
             "c_request_id": ["v_request_id", "v_id"],
-            "c_session": ["v_session", "v_own_session", "v_request_id", "v_id"],
         },
     ).withColumns(
         {
+            "c_latency": first_truthy(F.col("v_latency_ms"), F.col("v_latency")),
+            "c_session": F.coalesce(
+                first_truthy(F.col("v_session"), F.col("v_own_session")), F.col("c_request_id")
+            ),
             "t_created": iso_text(F.col("v_created")),
             "c_prompt": F.when(is_present(F.col("v_prompt")), F.col("v_prompt")).otherwise(
                 F.col("v_body_prompt")
             ),
             # An empty usage value counts as no usage; any other non-object breaks the
             # record as soon as it has to be consulted.
-            "broken_usage": is_truthy(F.col("v_usage"))
-            & ~is_object(F.col("v_usage"))
+            "broken_usage": ~is_object(F.col("v_usage"))
+            & is_truthy(F.col("v_usage"))
             & ~(is_truthy(F.col("v_prompt_tokens")) & is_truthy(F.col("v_completion_tokens"))),
         }
     )
@@ -176,7 +181,7 @@ def langfuse_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame:
         }
     )
     trace_reason = F.when(~is_object(F.col("rec")), F.lit("record_not_an_object")).when(
-        is_truthy(F.col("v_observations")) & F.col("listed").isNull(),
+        F.col("listed").isNull() & is_truthy(F.col("v_observations")),
         F.lit("observations_not_a_list"),
     )
     exploded = (
@@ -224,11 +229,18 @@ def langfuse_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame:
             "v_input": "$.input",
             "v_messages": "$.input.messages",
             "v_nested_input": "$.input.input",
-            "v_output": "$.output",
+            "v_content": "$.output.content",
+            "v_functions": "$.output.tool_calls",
+            "v_legacy": "$.output.function_call",
         },
     )
     chosen = _choose(found, {"c_model": ["v_model"], "c_id": ["v_id"]}).withColumns(
-        {"t_start": iso_text(F.col("v_start")), "t_end": iso_text(F.col("v_end"))}
+        {
+            "t_start": iso_text(F.col("v_start")),
+            "t_end": iso_text(F.col("v_end")),
+            "blocks": tools.tool_use_blocks(F.col("v_content")),
+            "functions": tools.tool_entries(F.col("v_functions")),
+        }
     )
     derived = evaluated_once(chosen).withColumns(
         {
@@ -258,7 +270,9 @@ def langfuse_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame:
         tokens("v_usage_output").alias("completion_tokens"),
         elapsed_ms(F.col("timestamp"), F.col("end_time")).alias("latency_ms"),
         ids.derived_request_hash(F.col("session_id"), F.col("c_id")).alias("request_hash"),
-        tools.observation_tool_calls(F.col("v_output")).alias("tool_calls"),
+        tools.observation_tool_calls(
+            F.col("blocks"), F.col("functions"), F.col("v_legacy")
+        ).alias("tool_calls"),
         F.lit(True).alias("user_facing_output"),
         requests.langfuse_request(
             F.col("v_input"), F.col("v_messages"), F.col("v_nested_input"), F.col("v_outer")
@@ -294,23 +308,37 @@ def langsmith_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame
             "v_usage_output": "$.extra.invocation_params.usage.output",
             "v_messages": "$.inputs.messages",
             "v_input": "$.inputs.input",
-            "v_outputs": "$.outputs",
+            "v_generation": "$.outputs.generations[0][0]",
+            "v_message": "$.outputs.generations[0][0].message",
+            "v_functions": "$.outputs.tool_calls",
         },
     )
     chosen = _choose(
         found,
         {
-            "c_session": ["v_session", "v_id"],
             "c_id": ["v_id"],
-            "c_model": ["v_model", "v_name"],
             "c_prompt": ["v_usage_prompt", "v_usage_input_tokens", "v_usage_input"],
             "c_completion": ["v_usage_completion", "v_usage_output_tokens", "v_usage_output"],
         },
     ).withColumns(
-        {"t_start": iso_text(F.col("v_start")), "t_end": iso_text(F.col("v_end"))}
+        {
+            "c_model": first_truthy(F.col("v_model"), F.col("v_name")),
+            "c_session": F.coalesce(first_truthy(F.col("v_session")), F.col("c_id")),
+            "t_start": iso_text(F.col("v_start")),
+            "t_end": iso_text(F.col("v_end")),
+            # A message that is empty leaves the generation itself as the message.
+            "c_message": F.when(
+                is_filled_object(F.col("v_message"))
+                | (~is_object(F.col("v_message")) & is_truthy(F.col("v_message"))),
+                F.col("v_message"),
+            ).otherwise(F.col("v_generation")),
+        }
     )
     derived = evaluated_once(chosen).withColumns(
         {
+            "message_tools": tools.tool_entries(at(F.col("c_message"), "$.tool_calls")),
+            "blocks": tools.tool_use_blocks(at(F.col("c_message"), "$.content")),
+            "functions": tools.tool_entries(F.col("v_functions")),
             "session_id": ids.session_id(
                 F.col("c_session"), ids.orphan_id("langsmith", (F.col("v_start"), "0"))
             ),
@@ -337,7 +365,9 @@ def langsmith_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame
         tokens("v_completion_tokens", "c_completion").alias("completion_tokens"),
         elapsed_ms(F.col("timestamp"), F.col("end_time")).alias("latency_ms"),
         ids.derived_request_hash(F.col("session_id"), F.col("c_id")).alias("request_hash"),
-        tools.run_tool_calls(F.col("v_outputs")).alias("tool_calls"),
+        tools.run_tool_calls(
+            F.col("message_tools"), F.col("blocks"), F.col("functions")
+        ).alias("tool_calls"),
         F.lit(True).alias("user_facing_output"),
         requests.langsmith_request(F.col("v_messages"), F.col("v_input")).alias("raw_request"),
         F.expr(NO_META).alias("raw_response_meta"),

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tracewaste.functions.values import elements, is_present
+from tracewaste.functions.values import elements, is_present, is_string, text_at
 from tracewaste.operators.catalog import with_cost
 from tracewaste.operators.firing import (
     SDK_VERSION,
@@ -174,6 +174,17 @@ retry_storm = WindowedRule(
 )
 
 
+def _spoken_text(messages: Column) -> Column:
+    """What all messages say, one after the other; content that is no text stays JSON."""
+    return F.array_join(
+        F.transform(
+            elements(messages),
+            lambda m: F.coalesce(text_at(m, "$.content"), F.try_variant_get(m, "$", "string")),
+        ),
+        "\n",
+    )
+
+
 def model_misroute(calls: DataFrame, prices: DataFrame, context: RuleContext) -> DataFrame:
     """A small classification-shaped call sent to a frontier model.
 
@@ -183,7 +194,7 @@ def model_misroute(calls: DataFrame, prices: DataFrame, context: RuleContext) ->
         (F.col("prompt_tokens") <= context.get("model_misroute.max_prompt_tokens"))
         & (F.col("completion_tokens") <= context.get("model_misroute.max_completion_tokens"))
     )
-    said = F.lower(F.to_json("raw_request.messages"))
+    said = F.lower(_spoken_text(F.col("raw_request.messages")))
     keywords = context.get("model_misroute.keywords")
     classifies = reduce(lambda a, b: a | b, [said.contains(k.lower()) for k in keywords])
     firings = with_cost(small, prices).filter(
@@ -211,6 +222,13 @@ def model_misroute(calls: DataFrame, prices: DataFrame, context: RuleContext) ->
     )
 
 
+def _input_hash(item: Column) -> Column:
+    """Digest of an element; a text never equals an object written as that text."""
+    text = F.try_variant_get(item, "$", "string")
+    kind = F.when(is_string(item), F.lit("text:")).otherwise(F.lit("json:"))
+    return F.sha2(F.concat(kind, F.coalesce(text, F.lit("null"))), 256)
+
+
 def embedded_inputs(calls: DataFrame) -> DataFrame:
     """One row per embedded element: its hash, position and share of the call.
 
@@ -223,7 +241,7 @@ def embedded_inputs(calls: DataFrame) -> DataFrame:
         .withColumn("items", items)
         .withColumn("n_items", F.size("items"))
         .select("*", F.posexplode("items").alias("pos", "item"))
-        .withColumn("input_hash", F.sha2(F.to_json("item"), 256))
+        .withColumn("input_hash", _input_hash(F.col("item")))
         .drop("items", "item", "raw_request")
     )
 
