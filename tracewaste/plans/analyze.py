@@ -65,12 +65,9 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def source_records(source: Source, last_page: int | None = None) -> tuple[DataFrame, DataFrame]:
-    """Parsed pages of a source, and their records inside the time bounds."""
+def _parsed_pages(source: Source, last_page: int | None) -> DataFrame:
     parsed = parse_pages(source.pages, check_provider(source.provider))
-    if last_page is not None:
-        parsed = parsed.filter(F.col("page_idx") <= last_page)
-    return parsed, _bounded_records(source, parsed)
+    return parsed if last_page is None else parsed.filter(F.col("page_idx") <= last_page)
 
 
 def _bounded_records(source: Source, parsed: DataFrame) -> DataFrame:
@@ -88,9 +85,9 @@ def import_source(
     so the pages are parsed once. Only if pages lie beyond the stop page are they
     read again without those.
     """
-    parsed, _ = source_records(source, last_page)
     page_facts, record_facts = Observation(), Observation()
-    parsed = parsed.withColumn("is_stop", is_last_page(source.provider, source.page_size)).observe(
+    pages = _parsed_pages(source, last_page)
+    parsed = pages.withColumn("is_stop", is_last_page(source.provider, source.page_size)).observe(
         page_facts,
         F.min(F.when(F.col("is_stop"), F.col("page_idx"))).alias("stop_page"),
         F.max("page_idx").alias("last_page"),
@@ -102,13 +99,13 @@ def import_source(
     table = write_table(
         normalize_records(records, source.provider, ingest_time), f"{source.provider}-candidates"
     )
-    pages = page_facts.get
-    if source.stop_at_last_page and pages["stop_page"] is not None:
-        if pages["last_page"] > pages["stop_page"]:
-            return import_source(source, ingest_time, pages["stop_page"])
+    seen = page_facts.get
+    if source.stop_at_last_page and seen["stop_page"] is not None:
+        if seen["last_page"] > seen["stop_page"]:
+            return import_source(source, ingest_time, seen["stop_page"])
     return table, {
         "fetched_traces": record_facts.get["fetched_traces"],
-        "pages_fetched": pages["pages_fetched"],
+        "pages_fetched": seen["pages_fetched"],
     }
 
 
