@@ -19,11 +19,12 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tracewaste.llm import chains
-from tracewaste.llm.tables import binary_rows, binary_text, ragged, row_number, written
+from tracewaste.llm.tables import binary_text, id_crc, ragged, row_number, written
 
 STATES = 8
 CLASSES = 1 << 14
@@ -35,22 +36,9 @@ BLOCK_WORDS = 400_000
 #: Stands for the end of a text; no word holds a line break.
 END = b"\n"
 
-_BLOCKS = pa.schema(
-    [
-        ("block", pa.int64()),
-        ("doc_id", pa.int64()),
-        ("held_out", pa.bool_()),
-        ("ids", pa.binary()),
-        ("classes", pa.binary()),
-        ("word", pa.binary()),
-        ("number", pa.int32()),
-        ("class", pa.int32()),
-        ("seen", pa.int64()),
-    ]
-)
 _BLOCKS_DDL = (
-    "block long, doc_id long, held_out boolean, ids binary, classes binary, "
-    "word binary, number int, class int, seen long"
+    "block long, doc_ids array<long>, held_out array<boolean>, lengths binary, ids binary, class_of binary, "
+    "number int, word binary, seen long"
 )
 SCORES_DDL = (
     "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
@@ -64,40 +52,51 @@ def word_class(word: bytes) -> int:
     return zlib.crc32(word if len(word) <= 6 else word[:2] + word[-3:]) % CLASSES
 
 
+def _squeeze(values: np.ndarray) -> bytes:
+    """An integer array, byte plane by byte plane, compressed."""
+    planes = np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T)
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True) if len(values) else b""
+
+
+def _unsqueeze(data: bytes, n: int, dtype) -> np.ndarray:
+    size = np.dtype(dtype).itemsize
+    planes = pa.decompress(data, decompressed_size=n * size, codec="zstd", asbytes=True) if n else b""
+    return np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(size, n).T).view(dtype).reshape(-1)
+
+
 def _encode(batches):
     numbers = row_number(TaskContext.get().partitionId())
+    schema = pa.schema(
+        [
+            ("block", pa.int64()),
+            ("doc_ids", pa.list_(pa.int64())),
+            ("held_out", pa.list_(pa.bool_())),
+            ("lengths", pa.binary()),
+            ("ids", pa.binary()),
+            ("class_of", pa.binary()),
+            ("number", pa.int32()),
+            ("word", pa.binary()),
+            ("seen", pa.int64()),
+        ]
+    )
     words: dict[bytes, int] = {END: 0}
     docs: list[tuple] = []
     tokens = 0
 
     def block():
-        number = next(numbers)
-        class_of = np.fromiter(map(word_class, words), np.uint16, len(words))
+        number, m = next(numbers), len(words)
+        class_of = np.fromiter(map(word_class, words), np.uint16, m)
         ids, lengths = ragged([d[2] for d in docs], np.int32)
         train = np.repeat(np.array([not d[1] for d in docs], bool), lengths)
-        seen = np.bincount(ids[train], minlength=len(words))
-        n, m = len(docs), len(words)
+        seen = np.bincount(ids[train], minlength=m)
+        texts = [[number], [[d[0] for d in docs]], [[d[1] for d in docs]], [lengths.astype(np.int32).tobytes()]]
+        texts += [[_squeeze(ids)], [_squeeze(class_of)], [m], [None], [None]]
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array([number] * n, pa.int64()),
-                pa.array([d[0] for d in docs], pa.int64()),
-                pa.array([d[1] for d in docs], pa.bool_()),
-                binary_rows(ids, lengths),
-                binary_rows(class_of[ids], lengths),
-                *(pa.nulls(n, f.type) for f in list(_BLOCKS)[5:]),
-            ],
-            schema=_BLOCKS,
+            [pa.array(x, f.type) for x, f in zip(texts, schema, strict=True)], schema=schema
         )
+        listed = [np.full(m, number), *[[None] * m] * 5, np.arange(m, dtype=np.int32), list(words), seen]
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(m, number)),
-                *(pa.nulls(m, f.type) for f in list(_BLOCKS)[1:5]),
-                pa.array(list(words), pa.binary()),
-                pa.array(np.arange(m, dtype=np.int32)),
-                pa.array(class_of.astype(np.int32)),
-                pa.array(seen),
-            ],
-            schema=_BLOCKS,
+            [pa.array(x, f.type) for x, f in zip(listed, schema, strict=True)], schema=schema
         )
 
     for batch in batches:
@@ -116,13 +115,33 @@ def _encode(batches):
 
 
 def blocks_of(docs: DataFrame, held_out) -> DataFrame:
-    """Documents as blocks of word numbers, with each block's dictionary; one pass over the texts."""
+    """One row per block with its documents as word numbers, and one for each word of its dictionary.
+
+    In a block's own row, ``number`` is how many words it has.
+
+    One pass over the texts; ``seen`` counts a word in the block's training documents.
+    """
     slim = docs.select(
         F.col("doc_id").cast("long"), held_out.alias("held_out"), binary_text(F.col("text")).alias("text")
     )
     return written(slim.mapInArrow(_encode, _BLOCKS_DDL), "hmm-blocks")
 
 
+@dataclass(frozen=True)
+class Block:
+    """The documents of a block: lengths, which are held out, and the class of each token."""
+
+    lengths: np.ndarray
+    held_out: np.ndarray
+    ids: np.ndarray
+    class_of: np.ndarray
+
+
+def _block(held_out, lengths: bytes, ids: bytes, class_of: bytes, words: int) -> Block:
+    size = np.frombuffer(lengths, np.int32).astype(np.int64)
+    return Block(size, np.array(held_out, bool), _unsqueeze(ids, size.sum(), np.int32), _unsqueeze(class_of, words, np.uint16))
+
+
 @dataclass(frozen=True)
 class Corpus:
     """Training tokens, distinct training words, and both per class."""
@@ -139,15 +158,32 @@ class Corpus:
 
 
 def count_words(blocks: DataFrame) -> DataFrame:
-    """(word, class, count) of every word of the training documents."""
-    listed = blocks.filter("word IS NOT NULL AND seen > 0")
-    return written(listed.groupBy("word", "class").agg(F.sum("seen").alias("c")), "hmm-words")
+    """(of_block, number, c, first) of every word of every block: its count in all training documents.
+
+    ``first`` marks one row of each word. A word's rows meet in one shuffle, one row a block.
+    """
+    listed = blocks.filter("word IS NOT NULL").select(F.col("block").alias("of_block"), "number", "word", "seen")
+    every = Window.partitionBy("word")
+    counted = listed.select(
+        "of_block",
+        "number",
+        F.sum("seen").over(every).alias("c"),
+        F.lag("of_block").over(every.orderBy("of_block")).isNull().alias("first"),
+        F.when(F.col("word") == F.lit(END), CLASSES).otherwise(_class_column(F.col("word"))).cast("int").alias("class"),
+    )
+    return written(counted, "hmm-words")
+
+
+def _class_column(word: Column) -> Column:
+    ends = F.concat(F.substring(word, 1, 2), F.substring(word, -3, 3))
+    return F.crc32(F.when(F.octet_length(word) <= 6, word).otherwise(ends)) % CLASSES
 
 
 def corpus_of(counts: DataFrame) -> Corpus:
     """At most CLASSES + 1 sums reach the driver."""
     tokens, words = np.zeros(CLASSES + 1, np.int64), np.zeros(CLASSES + 1, np.int64)
-    for r in counts.groupBy("class").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():
+    known = counts.filter("first AND c > 0").groupBy("class").agg(F.sum("c").alias("n"), F.count("*").alias("v"))
+    for r in known.collect():
         tokens[r["class"]], words[r["class"]] = r["n"], r["v"]
     return Corpus(int(tokens.sum()), int(words.sum()), tokens, words)
 
@@ -171,14 +207,13 @@ def start_model(corpus: Corpus, states: int = STATES, seed: int = 7) -> Model:
     return Model(np.full(states, 1 / states), trans, emit / emit.sum(axis=1, keepdims=True))
 
 
-def _class_batches(column: pa.Array):
-    """Per recursion batch: the classes, and starts and lengths of its sequences; ids in the batch."""
-    sequences = [np.frombuffer(x, np.uint16) for x in column.to_pylist()]
-    flat, lengths = ragged(sequences, np.uint16)
-    starts = np.concatenate([[0], np.cumsum(lengths)])[: len(lengths)]
-    for chosen in chains.batches(lengths):
-        at, first = chains.gather(starts[chosen], lengths[chosen])
-        yield chosen, flat[at], first, lengths[chosen]
+def _class_batches(block: Block, chosen: np.ndarray):
+    """Per recursion batch of the chosen documents: their numbers, classes, starts and lengths."""
+    starts = np.concatenate([[0], np.cumsum(block.lengths)])[:-1][chosen]
+    lengths = block.lengths[chosen]
+    for some in chains.batches(lengths):
+        at, first = chains.gather(starts[some], lengths[some])
+        yield chosen[some], block.class_of[block.ids[at]], first, lengths[some]
 
 
 def _expect(model: Model):
@@ -186,27 +221,18 @@ def _expect(model: Model):
         k = len(model.first)
         first, trans = model.first.astype(np.float32), model.trans.astype(np.float32)
         rows = np.zeros((CLASSES + 1 + k + 1, k))
-
-        def add(column):
-            for _, classes, starts, lengths in _class_batches(column):
-                unary = model.unary(classes)
-                alpha, scale = chains.forward(unary, starts, lengths, first, trans)
-                beta, ahead = chains.backward(unary, scale, starts, lengths, trans)
-                rows[CLASSES + 1 : -1] += chains.expected_transitions(alpha, ahead, starts, lengths, trans)
-                alpha *= beta
-                for s in range(k):
-                    rows[: CLASSES + 1, s] += np.bincount(classes, alpha[:, s], CLASSES + 1)
-                rows[-1] += alpha[starts].sum(axis=0)
-
-        held, size = [], 0
         for batch in batches:
-            held.append(batch.column(0))
-            size += batch.column(0).nbytes
-            if size >= 2 * chains.BATCH_TOKENS * 4:
-                add(pa.chunked_array(held))
-                held, size = [], 0
-        if held:
-            add(pa.chunked_array(held))
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                block = _block(*row)
+                for _, classes, starts, lengths in _class_batches(block, np.flatnonzero(~block.held_out)):
+                    unary = model.unary(classes)
+                    alpha, scale = chains.forward(unary, starts, lengths, first, trans)
+                    beta, ahead = chains.backward(unary, scale, starts, lengths, trans)
+                    rows[CLASSES + 1 : -1] += chains.expected_transitions(alpha, ahead, starts, lengths, trans)
+                    alpha *= beta
+                    for s in range(k):
+                        rows[: CLASSES + 1, s] += np.bincount(classes, alpha[:, s], CLASSES + 1)
+                    rows[-1] += alpha[starts].sum(axis=0)
         some = np.flatnonzero(rows.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(some.astype(np.int32)), *(pa.array(rows[some, s]) for s in range(k))],
@@ -224,7 +250,7 @@ def train(blocks: DataFrame, corpus: Corpus, states: int = STATES, iterations: i
     impossible in a state.
     """
     model = start_model(corpus, states)
-    texts = blocks.filter("word IS NULL AND NOT held_out").select("classes")
+    texts = blocks.filter("word IS NULL").select("held_out", "lengths", "ids", "class_of", "number")
     names = [f"s{s}" for s in range(states)]
     ddl = ", ".join(["row int", *(f"{n} double" for n in names)])
     prior = corpus.class_mass / corpus.class_mass.sum()
@@ -252,46 +278,44 @@ def _score(model: Model, corpus: Corpus):
     def run(docs: pa.Table, words: pa.Table) -> pa.Table:
         counts = np.zeros(words.num_rows, np.int64)
         counts[words["number"].to_numpy()] = words["c"].to_numpy()
-        of_class = np.zeros(words.num_rows, np.int64)
-        of_class[words["number"].to_numpy()] = words["class"].to_numpy()
         logs = np.log10(counts + 1.0)
-        in_class = logs - class_norm[of_class]
-        n = docs.num_rows
-        length, known, base, score = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-        for i, x in enumerate(docs["ids"].to_pylist()):
-            ids = np.frombuffer(x, np.int32)
-            length[i] = len(ids)
-            known[i] = np.count_nonzero(counts[ids])
-            base[i] = logs[ids].sum() - len(ids) * base_norm
-            score[i] = in_class[ids].sum()
-        for chosen, classes, starts, lengths in _class_batches(docs["classes"]):
-            _, scale = chains.forward(model.unary(classes), starts, lengths, first, trans)
-            score[chosen] += np.add.reduceat(np.log10(scale.astype(np.float64)), starts)
-        return pa.table(
-            {
-                "doc_id": docs["doc_id"],
-                "held_out": docs["held_out"],
-                "n_tokens": length,
-                "n_known": known,
-                "train_tokens": np.full(n, corpus.tokens),
-                "base_score": base,
-                "score": score,
-            }
-        )
+        parts = []
+        for doc_ids, *row in zip(*(docs[n].to_pylist() for n in _TEXTS), strict=True):
+            block = _block(*row, words.num_rows)
+            starts = np.concatenate([[0], np.cumsum(block.lengths)])[:-1]
+            in_class = logs - class_norm[block.class_of]
+            base = np.add.reduceat(logs[block.ids], starts) - block.lengths * base_norm
+            score = np.add.reduceat(in_class[block.ids], starts)
+            for chosen, classes, first_of, lengths in _class_batches(block, np.arange(len(starts))):
+                _, scale = chains.forward(model.unary(classes), first_of, lengths, first, trans)
+                score[chosen] += np.add.reduceat(np.log10(scale.astype(np.float64)), first_of)
+            parts.append(
+                pa.table(
+                    {
+                        "doc_id": pa.array(doc_ids, pa.int64()),
+                        "held_out": block.held_out,
+                        "n_tokens": block.lengths,
+                        "n_known": np.add.reduceat((counts > 0)[block.ids].astype(np.int64), starts),
+                        "train_tokens": np.full(len(starts), corpus.tokens),
+                        "base_score": base,
+                        "score": score,
+                    }
+                )
+            )
+        return pa.concat_tables(parts)
 
     return run
 
 
+_TEXTS = ("doc_ids", "held_out", "lengths", "ids", "class_of")
+
+
 def score(blocks: DataFrame, counts: DataFrame, model: Model, corpus: Corpus) -> DataFrame:
     """Exact log10 likelihood of each document by the scaled forward recursion, and the base score."""
-    texts = blocks.filter("word IS NULL").select("block", "doc_id", "held_out", "ids", "classes")
-    listed = blocks.filter("word IS NOT NULL").select("block", "word", "number", "class")
-    known = listed.join(counts.select("word", "c"), "word", "left").select(
-        F.col("block").alias("of_block"), "number", "class", F.coalesce("c", F.lit(0)).alias("c")
-    )
+    texts = blocks.filter("word IS NULL").select("block", *_TEXTS)
     return (
         texts.groupBy("block")
-        .cogroup(known.groupBy("of_block"))
+        .cogroup(counts.select("of_block", "number", "c").groupBy("of_block"))
         .applyInArrow(_score(model, corpus), SCORES_DDL)
     )
 
@@ -303,8 +327,6 @@ def hmm_scores(docs: DataFrame, states: int = STATES, iterations: int = ITERATIO
     A null or empty text is the end token alone. Repeated rows are scored each, and counted each if they
     train. Without training documents every class is equally likely. Further columns play no part.
     """
-    from tracewaste.llm.tables import id_crc
-
     blocks = blocks_of(docs, id_crc(F.col("doc_id")) % 7 == 2)
     counts = count_words(blocks)
     corpus = corpus_of(counts)

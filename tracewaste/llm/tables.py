@@ -12,12 +12,8 @@ from pyspark.sql import functions as F
 
 from tracewaste.session import ensure_checkpoint_dir
 
-#: Rows of one Arrow batch; texts may be long, so batches stay short.
-BATCH_ROWS = 1_000
-
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -45,16 +41,6 @@ def ragged(parts: list[np.ndarray], dtype) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0)).astype(dtype, copy=False), lengths
 
 
-def binary_rows(values: np.ndarray, lengths: np.ndarray) -> pa.Array:
-    """An Arrow binary column whose rows are consecutive runs of ``values``."""
-    ends = np.concatenate([[0], np.cumsum(lengths)]) * values.dtype.itemsize
-    return pa.Array.from_buffers(
-        pa.large_binary(),
-        len(lengths),
-        [None, pa.py_buffer(ends.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))],
-    ).cast(pa.binary())
-
-
 def row_number(partition: int) -> Iterator[int]:
     """Numbers no other task gives out: the partition in the high bits, a counter below."""
     n = partition << 33
