@@ -1,0 +1,112 @@
+import hashlib
+import random
+
+import pytest
+import sentencepiece
+from conftest import texts
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tracewaste.llm import bpe_table
+from tracewaste.llm.queries import PIECE_MODEL
+
+
+@pytest.fixture(scope="module")
+def library():
+    return sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+
+
+@pytest.fixture(scope="module")
+def encoder():
+    return bpe_table.Encoder(bpe_table.tables_of(PIECE_MODEL))
+
+
+ODD = [
+    "", " ", "  ", "\n", " \n\n x", "▁", "a▁b", "▁▁x ▁", "<s>", "</s> <unk> <0x41>", "\t\x00\x01", "ﬁ ǅ é",
+    "日本語 と 한국어", "🙂🙂 x🙂", "a" * 3000, " " * 100, "ab" * 500, "　x y", "\r\n", "\x85  ",
+]
+
+
+@pytest.mark.parametrize("text", ODD)
+def test_odd_texts(library, encoder, text):
+    ids, said = encoder.encode(text)
+    assert ids == library.encode(text)
+    assert said == " ".join(map(str, ids))
+    assert encoder.decode(ids) == library.decode(ids)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(max_size=60))
+def test_any_text(text):
+    encoder, library = _shared()
+    assert encoder.encode(text)[0] == library.encode(text)
+
+
+@pytest.mark.parametrize("n", range(1, 60))
+def test_runs_of_spaces(library, encoder, n):
+    for text in (" " * n, "a" + " " * n + "b", " " * n + "\n" + " " * n):
+        assert encoder.encode(text)[0] == library.encode(text)
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet="aehinorst lé\n▁", max_size=80))
+def test_text_of_few_letters(text):
+    encoder, library = _shared()
+    assert encoder.encode(text)[0] == library.encode(text)
+
+
+_kept = []
+
+
+def _shared():
+    if not _kept:
+        _kept.append(
+            (
+                bpe_table.Encoder(bpe_table.tables_of(PIECE_MODEL)),
+                sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL),
+            )
+        )
+    return _kept[0]
+
+
+def test_pairs_against_merging(encoder):
+    rng = random.Random(4)
+    rank = {p: encoder.rank[i] for p, i in encoder.ids.items()}
+    made = [i for i in encoder.reached if len(encoder.text[i]) < 8]
+    for _ in range(3000):
+        a, b = rng.choice(made), rng.choice(made)
+        left = bpe_table.merge(encoder.text[a] + encoder.text[b], rank)
+        parts = [p for x, _, p in left if not x]
+        assert encoder.compatible(a, b) == (parts == [encoder.text[a], encoder.text[b]])
+
+
+def test_documents(make, library):
+    docs, rows = make(texts(80))
+    got = {r["doc_id"]: r for r in bpe_table.encoded_digests(docs, PIECE_MODEL).collect()}
+    for doc_id, text, *_ in rows:
+        ids = library.encode(text or "") + [2]
+        r = got[doc_id]
+        assert r["n_tokens"] == len(ids)
+        assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r["decoded_sha256"] == hashlib.sha256(library.decode(ids).encode()).hexdigest()
+    ids = bpe_table.encode_documents(docs, PIECE_MODEL, None).collect()
+    assert sorted(map(tuple, (r["ids"] for r in ids))) == sorted(tuple(library.encode(r[1] or "")) for r in rows)
+
+
+def test_whole_table(spark, library):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    got = {r["doc_id"]: r["ids_sha256"] for r in bpe_table.encoded_digests(docs, PIECE_MODEL).collect()}
+    for r in docs.collect():
+        ids = library.encode(r["text"]) + [2]
+        assert got[r["doc_id"]] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+
+
+def test_forgetting_changes_nothing(encoder, library, monkeypatch):
+    monkeypatch.setattr(bpe_table, "REMEMBERED", 3)
+    encoder.known.clear()
+    for text in texts(40)[1:]:
+        assert encoder.encode(text or "")[0] == library.encode(text or "")
+
+
+def test_empty_table(empty):
+    assert bpe_table.encoded_digests(empty, PIECE_MODEL).collect() == []
