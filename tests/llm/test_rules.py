@@ -1,4 +1,5 @@
 import re
+from collections import Counter
 
 from conftest import texts
 from pyspark.sql import functions as F
@@ -11,7 +12,8 @@ def slow_measures(text):
     words = re.findall(r"[^\x20\x09-\x0D]+", text)
     lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
     windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
-    covered = {i + o for i, w in enumerate(windows) if windows.count(w) > 1 for o in range(3)}
+    often = Counter(windows)
+    covered = {i + o for i, w in enumerate(windows) if often[w] > 1 for o in range(3)}
     return (
         len(words),
         sum(map(len, words)),
@@ -43,7 +45,7 @@ def slow_failures(m):
             "short_words": chars < 2 * words,
             "long_words": chars > 20 * words,
             "repeated_lines": lines >= 4 and 2 * dups > lines,
-            "few_letters": 2 * letters < words,
+            "few_letters": 10 * letters < 8 * words,
             "cut_lines": lines >= 4 and 10 * cut > 9 * lines,
         }.items()
         if bad

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracewaste.llm import chains
-from tracewaste.llm.tables import binary_text
+from tracewaste.llm.tables import appended, binary_text
 
 LANGUAGES = 64
 SAMPLE_ROWS = 400
@@ -296,14 +296,18 @@ def label_texts(field: Field | None, texts: list[bytes]):
     return pred, score, count, switches
 
 
-def _predict(field: Field | None):
+def _groups(field: Field | None, texts: list[bytes]) -> list[np.ndarray]:
+    """Numbers of neighbouring texts whose features are held at a time."""
     size = FEATURE_BYTES // max(1, len(field.languages) if field else 1)
+    ends = np.cumsum([len(t) for t in texts]) // size
+    return np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1) if texts else []
+
 
+def _predict(field: Field | None):
     def run(batches):
         for batch in batches:
             ids, held, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
-            ends = np.cumsum([len(t) for t in texts]) // size
-            for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends)) + 1) if texts else []:
+            for rows in _groups(field, texts):
                 pred, score, count, switches = label_texts(field, [texts[i] for i in rows])
                 yield pa.RecordBatch.from_arrays(
                     [ids.take(pa.array(rows)), held.take(pa.array(rows)), pa.array(pred, pa.string()),
@@ -314,6 +318,28 @@ def _predict(field: Field | None):
     return run
 
 
+def _append_languages(field: Field | None):
+    def make():
+        def run(texts: list[bytes]):
+            parts = [label_texts(field, [texts[i] for i in rows]) for rows in _groups(field, texts)]
+            pred, score = ([x for p in parts for x in p[i]] for i in (0, 1))
+            return [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
+
+        return run
+
+    return make
+
+
+def with_languages(docs: DataFrame) -> DataFrame:
+    """(row, lang_pred, score): whole rows of ``docs`` as a struct; every labelled row may train."""
+    slim = docs.select(
+        F.col("doc_id").cast("long").alias("key"),
+        binary_text(F.col("text")).alias("text"),
+        F.col("lang").cast("string").alias("lang"),
+    )
+    return appended(docs, F.col("text"), _append_languages(fit(*training_sample(slim))), "lang_pred string, score double")
+
+
 def predict_languages(docs: DataFrame, held_out: Column) -> DataFrame:
     """Language of each whole text of ``docs`` (doc_id, text, lang); rows held out do not train.
 

@@ -198,7 +198,7 @@ ORACLES: dict[str, str] = {
             SELECT *, (n_words < 50)::INT * 1 + (100 * n_repeat_words > 50 * n_words)::INT * 2
                  + (n_symbols > n_words)::INT * 4 + (word_chars < 2 * n_words)::INT * 8
                  + (word_chars > 20 * n_words)::INT * 16 + (n_lines >= 4 AND 2 * n_dup_lines > n_lines)::INT * 32
-                 + (2 * n_letter_words < n_words)::INT * 64
+                 + (10 * n_letter_words < 8 * n_words)::INT * 64
                  + (n_lines >= 4 AND 10 * n_ellipsis_lines > 9 * n_lines)::INT * 128 AS failed
             FROM m
         )

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewaste.llm.tables import binary_text
+from tracewaste.llm.tables import appended
 
 MEASURES = (
     "n_words",
@@ -26,7 +26,7 @@ MEASURES = (
     "n_letter_words",
     "n_ellipsis_lines",
 )
-MEASURES_DDL = "doc_id long, " + ", ".join(f"{m} long" for m in MEASURES)
+MEASURES_TYPES = ", ".join(f"{m} long" for m in MEASURES)
 
 #: A rule's bit is its place here; new rules go to the end.
 RULES = {
@@ -36,7 +36,7 @@ RULES = {
     "short_words": "word_chars < 2 * n_words",
     "long_words": "word_chars > 20 * n_words",
     "repeated_lines": "n_lines >= 4 AND 2 * n_dup_lines > n_lines",
-    "few_letters": "2 * n_letter_words < n_words",
+    "few_letters": "10 * n_letter_words < 8 * n_words",
     "cut_lines": "n_lines >= 4 AND 10 * n_ellipsis_lines > 9 * n_lines",
 }
 BITS = {name: 1 << i for i, name in enumerate(RULES)}
@@ -91,12 +91,17 @@ def measure(text: bytes) -> tuple[int, ...]:
     )
 
 
-def _measure(batches):
-    for batch in batches:
-        rows = np.array([measure(t) for t in batch.column(1).to_pylist()], np.int64).reshape(-1, len(MEASURES))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), *(pa.array(rows[:, i]) for i in range(len(MEASURES)))], names=["doc_id", *MEASURES]
-        )
+def measured(docs: DataFrame) -> DataFrame:
+    """(row, measures, failed): whole rows of ``docs`` as a struct, with their ledger entries."""
+    return appended(docs, F.col("text"), _append_measures, MEASURES_TYPES).withColumn("failed", failure_bits())
+
+
+def _append_measures():
+    def run(texts: list[bytes]):
+        rows = np.array([measure(t) for t in texts], np.int64).reshape(-1, len(MEASURES))
+        return [pa.array(rows[:, i]) for i in range(len(MEASURES))]
+
+    return run
 
 
 def failure_bits() -> Column:
@@ -118,8 +123,8 @@ def ledger(docs: DataFrame) -> DataFrame:
     Lines count if they have a word; copies are equal to the byte. Repeated rows have a row each, and
     further columns are left out.
     """
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), binary_text(F.col("text")).alias("text"))
-    return slim.mapInArrow(_measure, MEASURES_DDL).withColumn("failed", failure_bits())
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return measured(slim).select("row.doc_id", *MEASURES, "failed")
 
 
 def kept_by(rules, failed: Column | None = None) -> Column:

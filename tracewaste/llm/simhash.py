@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewaste.llm.tables import binary_text, written
+from tracewaste.llm.tables import appended, binary_text, written
 
 RADIUS = 3
 PARTS = 4
@@ -190,6 +190,33 @@ def components(links: DataFrame) -> DataFrame:
     )
 
 
+def _append_fingerprints():
+    def run(texts: list[bytes]):
+        return [pa.array(np.array([fingerprint(t) for t in texts], np.uint64).view(np.int64))]
+
+    return run
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Whole rows of ``docs``, one of each component: that with the least id, null ids last.
+
+    Of rows that share their id and fingerprint, any one stays. See near_duplicates.
+    """
+    order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("fp").alias("c"))
+    firsts, named = _components_of(fingerprints(docs))
+    kept = written(
+        firsts.join(named, F.col("fp") == F.col("named"))
+        .withColumn("doc_id", F.col("first"))
+        .groupBy("root")
+        .agg(F.min(order).alias("least"))
+        .select(F.col("least.c").alias("kept"), F.col("least.b").alias("kept_id")),
+        "simhash-kept",
+    )
+    prints = appended(docs, F.col("text"), _append_fingerprints, "fp long")
+    rows = prints.join(kept, (F.col("fp") == F.col("kept")) & F.col("row.doc_id").eqNullSafe(F.col("kept_id")))
+    return rows.groupBy("kept").agg(F.first("row").alias("row")).select("row.*")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fp, component_id) of every document; component_id is the least doc_id it is linked to.
 
@@ -200,6 +227,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     null ids only is named null. Further columns are left out.
     """
     prints = fingerprints(docs)
+    _, named = _components_of(prints)
+    return prints.join(named, F.col("fp") == F.col("named")).select("doc_id", "fp", "component_id")
+
+
+def _components_of(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(fp, first) of the distinct prints, and (named, root, component_id) of each."""
     firsts = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
     nodes = components(links_of(firsts))
     rooted = written(
@@ -209,11 +242,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "simhash-roots",
     )
     names = rooted.groupBy(F.col("root").alias("of")).agg(F.min("first").alias("component_id"))
-    named = written(
-        rooted.join(names, F.col("root") == F.col("of")).select(F.col("fp").alias("named"), "component_id"),
-        "simhash-components",
-    )
-    return prints.join(named, F.col("fp") == F.col("named")).select("doc_id", "fp", "component_id")
+    named = rooted.join(names, F.col("root") == F.col("of")).select(F.col("fp").alias("named"), "root", "component_id")
+    return firsts, written(named, "simhash-components")
 
 
 def near_duplicate_digests(docs: DataFrame) -> DataFrame:

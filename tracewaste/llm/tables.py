@@ -35,6 +35,23 @@ def binary_text(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit("")).cast("binary")
 
 
+def appended(df: DataFrame, text: Column, make, types: str) -> DataFrame:
+    """``df``'s rows as one struct column ``row``, and what ``make()(texts)`` says of each one's text.
+
+    ``make()`` is called once a task and gives a function from a list of texts (bytes, a null text being
+    empty) to Arrow arrays of the named ``types``. The struct keeps clashing names apart.
+    """
+    whole = df.select(F.struct("*").alias("row"), binary_text(text).alias("text"))
+    names = ["row", *(t.split()[0] for t in types.split(", "))]
+
+    def run(batches):
+        say = make()
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), *say(batch.column(1).to_pylist())], names=names)
+
+    return whole.mapInArrow(run, f"row {whole.schema['row'].dataType.simpleString()}, {types}")
+
+
 def ragged(parts: list[np.ndarray], dtype) -> tuple[np.ndarray, np.ndarray]:
     """Concatenated values and the length of each part."""
     lengths = np.fromiter(map(len, parts), np.int64, len(parts))
