@@ -212,9 +212,13 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         .select(F.col("least.c").alias("kept"), F.col("least.b").alias("kept_id")),
         "simhash-kept",
     )
+    # Texts go through one shuffle, on print and id: copies share a print only, so they do not meet.
     prints = appended(docs, F.col("text"), _append_fingerprints, "fp long")
-    rows = prints.join(kept, (F.col("fp") == F.col("kept")) & F.col("row.doc_id").eqNullSafe(F.col("kept_id")))
-    return rows.groupBy("kept").agg(F.first("row").alias("row")).select("row.*")
+    keyed = prints.withColumn("key", F.xxhash64("fp", F.col("row.doc_id").cast("long")))
+    wanted = kept.withColumn("kept_key", F.xxhash64("kept", "kept_id"))
+    same = (F.col("fp") == F.col("kept")) & F.col("row.doc_id").eqNullSafe(F.col("kept_id"))
+    rows = keyed.join(wanted, F.col("key") == F.col("kept_key")).filter(same)
+    return rows.groupBy("kept_key", "kept", "kept_id").agg(F.first("row").alias("row")).select("row.*")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
