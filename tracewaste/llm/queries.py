@@ -132,14 +132,14 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op2_nra_top_k": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, x -> floor(64 * x::DOUBLE)::BIGINT) AS v
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-              AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), scored AS (
             SELECT q.vec_id AS query_id, c.vec_id,
                    coalesce(list_sum(list_transform(list_zip(q.v, c.v),
-                       z -> coalesce(z[1], 0) * coalesce(z[2], 0))), 0)::BIGINT AS score
+                       lambda z: coalesce(z[1], 0) * coalesce(z[2], 0))), 0)::BIGINT AS score
             FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0
         )
         SELECT query_id, rank::INT AS rank, vec_id, score FROM (
@@ -177,22 +177,22 @@ ORACLES: dict[str, str] = {
             SELECT doc_id, coalesce(text, '') AS text,
                    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
                    list_filter(string_split(coalesce(text, ''), chr(10)),
-                       x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+                       lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
             FROM documents
-        ), at AS (
+        ), starts AS (
             SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d WHERE len(w) > 2
         ), grams AS (
-            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM at
+            SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w[i], w[i + 1], w[i + 2]) AS n FROM starts
         ), covered AS (
             SELECT doc_id, count(DISTINCT i + o) AS n
             FROM grams, (SELECT unnest([0, 1, 2]) AS o) WHERE n > 1 GROUP BY 1
         ), m AS (
-            SELECT d.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, x -> length(x))), 0) AS word_chars,
+            SELECT d.doc_id, len(w) AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
                    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
                    len(lines) AS n_lines, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
                    coalesce(c.n, 0) AS n_repeat_words,
-                   len(list_filter(w, x -> regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_letter_words,
-                   len(list_filter(lines, x -> regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis_lines
+                   len(list_filter(w, lambda x: regexp_matches(x, '[A-Za-z]|[^\x00-\x7F]'))) AS n_letter_words,
+                   len(list_filter(lines, lambda x: regexp_matches(x, '(\.\.\.|…)[\x20\x09-\x0D]*$'))) AS n_ellipsis_lines
             FROM d LEFT JOIN covered c ON d.doc_id = c.doc_id
         ), f AS (
             SELECT *, (n_words < 50)::INT * 1 + (100 * n_repeat_words > 50 * n_words)::INT * 2
