@@ -16,11 +16,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewaste.llm.tables import binary_text, row_number, written
+from tracewaste.llm.tables import binary_text, once_per_worker, row_number, written
 
 SEQUENCE_TOKENS = 4_096
 GROUP_DOCUMENTS = 4_096
-REMEMBERED = 500_000
+#: Words held by a worker, half of them from before.
+REMEMBERED = 1_000_000
 PIECES_DDL = (
     "piece long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 )
@@ -66,13 +67,18 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
         (self.mark,) = self._ids([self.MARK])[0]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
-        mark = self.MARK.encode()
+        mark, before = self.MARK.encode(), self.before
+        for word in words:
+            if word in before:
+                self.known[word] = before[word]
+        words = [w for w in words if w not in before]
         plain = [w for w in words if mark not in w]
         odd = [w for w in words if mark in w]
         for word, ids in zip(odd, self._ids([w.decode("utf-8", "replace") for w in odd]), strict=True):
@@ -89,9 +95,9 @@ class WordEncoder:
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        if len(self.known) >= REMEMBERED // 2:
+            self.known, self.before = {}, self.known
         known = self.known
-        if len(known) >= REMEMBERED:
-            known.clear()
         split = [t.split() for t in texts]
         self._learn(list({w for words in split for w in words if w not in known}))
         return [b"".join([known[w] for w in words]) for words in split]
@@ -101,7 +107,7 @@ def _pieces(tokenizer_path: str, end: int, capacity: int):
     closing = np.array([end], "<u4").tobytes()
 
     def run(batches):
-        encoder = WordEncoder(tokenizer_path)
+        encoder = once_per_worker(f"words {tokenizer_path}", lambda: WordEncoder(tokenizer_path))
         numbers = row_number(TaskContext.get().partitionId())
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()

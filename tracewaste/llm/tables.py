@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 import uuid
 from collections.abc import Iterator
 
@@ -58,6 +60,14 @@ def ragged(parts: list[np.ndarray], dtype) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0)).astype(dtype, copy=False), lengths
 
 
+def once_per_worker(key: str, make):
+    """``make()``, kept for the tasks to come of the same Python worker; for caches only."""
+    held = sys.modules.setdefault("_tracewaste_worker", types.ModuleType("_tracewaste_worker")).__dict__
+    if key not in held:
+        held[key] = make()
+    return held[key]
+
+
 def row_number(partition: int) -> Iterator[int]:
     """Numbers no other task gives out: the partition in the high bits, a counter below."""
     n = partition << 33
