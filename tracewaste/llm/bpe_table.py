@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from dataclasses import dataclass
 from itertools import chain
 
@@ -24,6 +25,8 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewaste.llm.tables import binary_text, once_per_worker
+
 REMEMBERED = 300_000
 SPACE = "▁"
 NEVER = 1 << 40
@@ -184,7 +187,7 @@ class Encoder:
 
 def _digests(tables: Tables, end: int):
     def run(batches):
-        encoder = Encoder(tables)
+        encoder = once_per_worker(f"pieces {zlib.crc32(tables.model)}", lambda: Encoder(tables))
         for batch in batches:
             rows = []
             for text in batch.column(1).to_pylist():
@@ -210,7 +213,7 @@ def _digests(tables: Tables, end: int):
 
 def _ids(tables: Tables, end: int | None):
     def run(batches):
-        encoder = Encoder(tables)
+        encoder = once_per_worker(f"pieces {zlib.crc32(tables.model)}", lambda: Encoder(tables))
         for batch in batches:
             ids = [encoder.encode(t.decode("utf-8", "replace"))[0] for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -222,8 +225,6 @@ def _ids(tables: Tables, end: int | None):
 
 
 def _slim(docs: DataFrame) -> DataFrame:
-    from tracewaste.llm.tables import binary_text
-
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), binary_text(F.col("text")).alias("text"))
 
 
