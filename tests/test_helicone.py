@@ -274,7 +274,13 @@ def test_empty_source(spark):
 def test_pages_beyond_the_stop_page_do_not_count(spark):
     full = [request(request_id=f"a{i}") for i in range(100)]
     pages = pages_of(spark, full, [request(request_id="b")], [request(request_id="c")])
-    result = analyze(spark, pages, "helicone", "demo", dry_run=True)
+    result = analyze(spark, pages, "helicone", "demo", dry_run=True, stop_at_last_page=True)
     summary = result.summary.first()
     assert (summary["fetched_traces"], summary["pages_fetched"]) == (101, 2)
-    assert result.calls.count() == 101
+    assert result.calls.count() == 101 and result.pages_beyond_stop == 1
+    every = analyze(spark, pages, "helicone", "demo", dry_run=True)
+    assert every.summary.first()["fetched_traces"] == every.calls.count() == 102
+    shorter = analyze(
+        spark, pages, "helicone", "demo", dry_run=True, stop_at_last_page=True, page_size=1
+    )
+    assert shorter.calls.count() == 102 and shorter.pages_beyond_stop == 0

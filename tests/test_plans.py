@@ -5,7 +5,7 @@ from decimal import Decimal
 import pytest
 from helpers import INGEST, calls_frame, pages_of, utc
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, VariantVal
 
 from tracewaste import Source, analyze, analyze_many
 from tracewaste.functions.times import parse_bound
@@ -34,7 +34,7 @@ def events_frame(spark, rows):
             "demo",
             r.get("session_id", "s1"),
             f"v0.{r['type']}",
-            {"tool": "web_search", "call_count": "5"},
+            {"tool": VariantVal.parseJson('"web_search"'), "call_count": VariantVal.parseJson("5")},
             Decimal(r.get("burn", "0.1")),
             "pause_for_human_review",
             r.get("raised_at", datetime(2026, 4, 9, 14, 30)),
@@ -126,7 +126,7 @@ def test_wire_format(spark):
         "project": "demo",
         "session_id": "s1",
         "rule": "v0.tool_loop",
-        "evidence": {"tool": "web_search", "call_count": "5"},
+        "evidence": {"tool": "web_search", "call_count": 5},
         "estimated_burn": 0.1,
         "suggested_action": "pause_for_human_review",
         "raised_at": "2026-04-09T14:30:00+00:00",
@@ -273,8 +273,40 @@ def test_page_readers(spark, tmp_path):
     assert read_page_table(spark, table).count() == 2
 
     (files / "notes.json").write_text("[]")
-    with pytest.raises(Exception, match="page ordinal"):
-        read_page_files(spark, str(files)).collect()
+    lines.write_text("\n" + json.dumps({"body": [{"a": 1}]}) + "\n{broken\n" + json.dumps(
+        {"page_idx": 0, "body": [{"request_id": "r"}]}
+    ) + "\n")
+    for pages, n_bad in ((read_page_files(spark, str(files)), 1), (read_page_lines(spark, str(lines)), 3)):
+        result = analyze(spark, pages, "helicone", "demo", dry_run=True, since=utc(2020, 1, 1))
+        assert {r["skip_reason"] for r in result.rejected.collect()} == {"page_without_ordinal"}
+        assert result.rejected.count() == n_bad
+        good = result.summary.first()
+        assert good["fetched_traces"] == good["pages_fetched"] == result.calls.count()
+
+
+def test_repeated_pages(spark):
+    from tracewaste.sources.pages import repeated_pages
+
+    pages = pages_of(spark, storm("a", 2), storm("b", 3))
+    twice = pages.unionByName(pages.filter("page_idx = 1"))
+    assert [tuple(r) for r in repeated_pages(twice).collect()] == [(1, 2)]
+    kept = analyze(spark, twice, "helicone", "demo", dry_run=True, drop_repeated_pages=True)
+    assert kept.calls.count() == 5
+    assert analyze(spark, twice, "helicone", "demo", dry_run=True).calls.count() == 8
+
+
+def test_delivery_keeps_other_projects_and_runs(spark, tmp_path):
+    out = str(tmp_path / "out")
+    pages = pages_of(spark, storm("a", 5) + storm("b", 3))
+    answers = spark.createDataFrame([('{"accepted": 2, "rejected": 1}',)], "body STRING")
+    first = analyze(spark, pages, "helicone", "one/1", out=out, chunk_size=1, run_id="r1", responses=answers)
+    row = first.summary.first()
+    assert (row["backfill_accepted"], row["backfill_rejected"]) == (2, 1)
+    for project, run in (("two", "r1"), ("one/1", "r2"), ("one/1", "r2")):
+        again = analyze(spark, pages, "helicone", project, out=out, chunk_size=1, run_id=run)
+        assert again.payloads.count() == 2
+    found = spark.read.json(out).groupBy("project", "run").count().collect()
+    assert sorted(map(tuple, found)) == [("one/1", "r1", 2), ("one/1", "r2", 2), ("two", "r1", 2)]
 
 
 def test_response_totals(spark):
@@ -311,11 +343,33 @@ def test_checkpoints_go_to_the_configured_folder(spark):
     assert spark.conf.get("spark.checkpoint.dir") in ensure_checkpoint_dir(spark)
 
 
-def test_oversized_pages_are_refused(spark):
+def test_ordinals_of_long_records_stay_apart(spark):
     from tracewaste.sources.pages import nested_sequence
 
-    rows = spark.range(1).select(
-        nested_sequence(F.lit(1), F.lit(65_536), F.lit(0)).alias("seq")
+    places = [(1, p, n) for p in (0, 1, 99) for n in (0, 1, 65_535, 65_536, 65_537, 40_000_000)]
+    rows = spark.createDataFrame(places, "page BIGINT, p BIGINT, n BIGINT").select(
+        nested_sequence(F.col("page"), F.col("p"), F.col("n"), F.lit(100)).alias("seq")
     )
-    with pytest.raises(Exception, match="smaller pages"):
-        rows.collect()
+    seqs = [r["seq"] for r in rows.collect()]
+    assert len(set(seqs)) == len(seqs) and all(2**32 <= s < 2**33 for s in seqs)
+    assert seqs[:3] == [2**32, 2**32 + 1, 2**32 + 65_535]
+
+
+def test_a_trace_of_many_observations(spark):
+    trace = {
+        "id": "x", "sessionId": "s", "timestamp": "2026-04-09T12:00:00Z",
+        "observations": [{"id": str(i), "type": "GENERATION", "model": "m"} for i in range(65_540)],
+    }
+    result = analyze(
+        spark, pages_of(spark, {"data": [trace, {**trace, "observations": trace["observations"][:3]}]}, first=1),
+        "langfuse", "demo", dry_run=True, rules={"model_misroute": RULES["model_misroute"]},
+    )
+    assert result.calls.count() == result.calls.select("src_seq").distinct().count() == 65_543
+    assert result.rejected.count() == 0
+
+
+def test_an_empty_keyword_list_fires_nothing(spark):
+    pages = pages_of(spark, storm("a", 2, body={"messages": [{"content": "classify"}]}))
+    result = analyze(spark, pages, "helicone", "demo", dry_run=True, config={"model_misroute.keywords": []},
+                     rules={"model_misroute": RULES["model_misroute"]})
+    assert result.events.count() == 0

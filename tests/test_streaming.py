@@ -2,7 +2,7 @@ import json
 import random
 
 import pytest
-from helpers import INGEST, calls_frame, pages_of
+from helpers import INGEST, calls_frame, pages_of, utc
 
 from tracewaste.operators.catalog import synthetic_catalog
 from tracewaste.operators.normalize import calls_of, normalize_records
@@ -84,7 +84,7 @@ def random_rows(seed, n):
 def as_set(events):
     return {
         (e["type"], e["session_id"], e["raised_at"], e["src_seq"], e["estimated_burn"],
-         e["evidence"]["call_count"])
+         e["evidence"]["call_count"].toPython())
         for e in events.collect()
     }
 
@@ -135,6 +135,23 @@ def test_late_calls_are_kept_apart_and_a_repeated_batch_changes_nothing(spark, t
     assert [r["src_seq"] for r in rows] == [9]
 
 
+def test_calls_without_a_time_do_not_move_the_mark(spark, tmp_path):
+    replayed = StreamingReplay(
+        str(tmp_path),
+        synthetic_catalog(spark),
+        "demo",
+        0,
+        {"tool_loop.min_calls": 99},
+        ingest_time=utc(1970, 1, 2),
+    )
+    untimed = {"at": 86_400, "request_hash": "x", "src_seq": 7}
+    replayed(calls_frame(spark, [{"at": 100, "request_hash": "r", "src_seq": 0}, untimed]), 0)
+    later = [{"at": 100 + i, "request_hash": "r", "src_seq": i} for i in (1, 2)]
+    replayed(calls_frame(spark, later), 1)
+    assert [e["src_seq"] for e in replayed.events(spark).collect()] == [2]
+    assert spark.read.parquet(str(tmp_path / "late")).count() == 0
+
+
 def test_edges_need_the_whole_history(spark, tmp_path):
     with pytest.raises(ValueError, match="stream"):
         StreamingReplay(str(tmp_path), synthetic_catalog(spark), "demo", 0, {"dedup": "edge"})

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
@@ -34,13 +35,15 @@ from tracewaste.operators.normalize import calls_of, normalize_records, rejected
 from tracewaste.operators.rules import RULES, RuleContext
 from tracewaste.operators.sessions import session_count, session_profile, session_rank
 from tracewaste.operators.trailing import AT, COST, FLAG, SEQ, trailing_window
-from tracewaste.plans.analyze import Source, analyze, analyze_many
+from tracewaste.plans.analyze import Source, analyze, analyze_many, deliver
 from tracewaste.plans.replay import replay
 from tracewaste.plans.reports import firings_report, savings_report, status_report
 from tracewaste.plans.summary import burn_by_type, events_by_type, total_burn, totals_by_type
+from tracewaste.session import ensure_checkpoint_dir
 from tracewaste.sources.pages import (
     page_ledger,
     parse_pages,
+    repeated_pages,
     sum_responses,
     truncate_pages,
     unwrap_records,
@@ -386,6 +389,70 @@ def truncated_pages(spark, sf_dir):
     return unwrap_records(kept, "langsmith").select("src_seq")
 
 
+ONE_RULE = {"model_misroute": RULES["model_misroute"]}
+
+
+@query(f"""WITH p AS (SELECT event_id // 100 AS page, {LEDGER_ROWS} AS n_rows FROM events GROUP BY 1)
+SELECT CAST(sum(n_rows) AS BIGINT) AS fetched_traces, count(*) FILTER (n_rows > 0) AS pages_fetched,
+  CAST(sum(n_rows) AS BIGINT) AS n_calls FROM p""")
+def short_pages_import(spark, sf_dir):
+    """Short and empty pages in the middle of a landing end nothing."""
+    records = event_base(spark, sf_dir).select("event_id", F.expr(RECORDS["helicone"]).alias("json"))
+    pages = paged(records, "helicone", LEDGER_KEEP)
+    result = analyze(
+        spark, pages, "helicone", PROJECT, dry_run=True, rules=ONE_RULE, ingest_time=INGEST
+    )
+    n_calls = result.calls.agg(F.count("*").alias("n_calls")).scalar()
+    return result.summary.select("fetched_traces", "pages_fetched", n_calls.alias("n_calls"))
+
+
+@query("""WITH p AS (SELECT (max(event_id) // 100) * 7 // 10 AS stop, max(event_id) // 100 AS last FROM events)
+SELECT count(*) FILTER (event_id // 100 <= stop) AS fetched_traces, any_value(stop) + 1 AS pages_fetched,
+  count(*) FILTER (event_id // 100 <= stop AND event_id % 6 <> 5) AS n_calls,
+  any_value(last) - any_value(stop) AS pages_beyond_stop FROM events, p""")
+def truncated_import(spark, sf_dir):
+    """On request an import ends where a client would have stopped paging."""
+    records = event_base(spark, sf_dir).select("event_id", F.expr(RECORDS["langsmith"]).alias("json"))
+    pages = paged(records, "langsmith", stop="last_page * 7 DIV 10")
+    result = analyze(
+        spark,
+        pages,
+        "langsmith",
+        PROJECT,
+        dry_run=True,
+        rules=ONE_RULE,
+        ingest_time=INGEST,
+        stop_at_last_page=True,
+    )
+    n_calls = result.calls.agg(F.count("*").alias("n_calls")).scalar()
+    return result.summary.select(
+        "fetched_traces",
+        "pages_fetched",
+        n_calls.alias("n_calls"),
+        F.lit(result.pages_beyond_stop).cast("bigint").alias("pages_beyond_stop"),
+    )
+
+
+@query("""SELECT CASE WHEN event_id // 100 % 5 = 3 THEN 'page_without_ordinal' ELSE 'call' END AS outcome,
+  count(*) AS n FROM events GROUP BY 1""")
+def unplaced_pages(spark, sf_dir):
+    """Every fifth page lost its ordinal; its records are rejected with that reason."""
+    lost = F.when(F.col("page_idx") % 5 != 3, F.col("page_idx"))
+    pages = event_pages(spark, sf_dir, "helicone").withColumn("page_idx", lost)
+    found = normalize_records(unwrap_records(parse_pages(pages, "helicone"), "helicone"), "helicone", INGEST)
+    return found.groupBy(F.coalesce("skip_reason", F.lit("call")).alias("outcome")).agg(
+        F.count("*").alias("n")
+    )
+
+
+@query("""SELECT event_id // 100 AS page_idx, CAST(2 AS BIGINT) AS n FROM events
+WHERE event_id // 100 % 4 = 1 GROUP BY 1""")
+def repeated_page_keys(spark, sf_dir):
+    """Every fourth page landed twice."""
+    pages = event_pages(spark, sf_dir, "helicone")
+    return repeated_pages(pages.unionByName(pages.filter("page_idx % 4 = 1")))
+
+
 @query("""SELECT CAST(sum(event_id % 50) AS BIGINT) AS accepted,
   CAST(sum(CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 7 END) AS BIGINT) AS rejected
 FROM events""")
@@ -519,7 +586,7 @@ def _flat(events: DataFrame, *evidence: str) -> DataFrame:
         F.unix_micros("raised_at").alias("at_us"),
         "src_seq",
         (F.col("estimated_burn") * 1_000_000).cast("bigint").alias("burn_micros"),
-        *[F.col("evidence")[e].alias(e) for e in evidence],
+        *[F.col("evidence")[e].cast("string").alias(e) for e in evidence],
     )
 
 
@@ -556,6 +623,25 @@ def tool_loop_every_firing(spark, sf_dir):
     return _flat(events, "tool", "call_count")
 
 
+# Keys of a dozen rows take the path for hot keys here.
+@query(_loop_sql("tool_loop", 60, 3, "session", "tool"))
+def tool_loop_hot(spark, sf_dir):
+    events = _fire(spark, sf_dir, "tool_loop", hot_rows=12, tool_loop__min_calls=3)
+    return _flat(events, "tool", "call_count")
+
+
+@query(_loop_sql("tool_loop", 60, 3, "edge", "tool"))
+def tool_loop_hot_edges(spark, sf_dir):
+    events = _fire(spark, sf_dir, "tool_loop", hot_rows=12, dedup="edge", tool_loop__min_calls=3)
+    return _flat(events, "tool", "call_count")
+
+
+@query(_loop_sql("tool_loop", 60, 3, "none", "tool"))
+def tool_loop_hot_every_firing(spark, sf_dir):
+    events = _fire(spark, sf_dir, "tool_loop", hot_rows=12, dedup="none", tool_loop__min_calls=3)
+    return _flat(events, "tool", "call_count")
+
+
 @query(f"""{COSTED}, {sql.windows(60)},
 facing AS (
   SELECT i.event_id, bool_or(j.event_id % 9 = 0) AS seen
@@ -612,6 +698,28 @@ def embedding_waste_every_repeat(spark, sf_dir):
     return _flat(_fire(spark, sf_dir, "embedding_waste", dedup="none"), "input_hash")
 
 
+@query(f"""WITH d AS (
+  SELECT event_id, user_id, {sql.START} + event_id AS at_us,
+    CASE WHEN event_id % 5 < 2 THEN 'hot' ELSE 'e' || event_id % 97 END AS item FROM events),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id % 2, item ORDER BY event_id) AS nth FROM d)
+SELECT 'embedding_waste' AS type, 's' || user_id % 2 AS session_id, at_us, event_id AS src_seq,
+  CAST(20 AS BIGINT) AS burn_micros, {ITEM_HASH} AS input_hash FROM r WHERE nth > 1""")
+def embedding_waste_hot_element(spark, sf_dir):
+    """Two fifths of all calls embed one text, and every repeat is an event."""
+    calls = table(spark, sf_dir, "events").selectExpr(
+        "event_id AS src_seq",
+        "concat('s', user_id % 2) AS session_id",
+        f"timestamp_micros({sql.START} + event_id) AS timestamp",
+        "'text-embedding-3-small' AS model",
+        "'embeddings.create' AS method",
+        "1000L AS prompt_tokens",
+        "0L AS completion_tokens",
+        """named_struct('messages', CAST(NULL AS VARIANT), 'input', CAST(
+             CASE WHEN event_id % 5 < 2 THEN 'hot' ELSE concat('e', event_id % 97) END AS VARIANT)) AS raw_request""",
+    )
+    return _flat(_fire(spark, sf_dir, "embedding_waste", calls, dedup="none"), "input_hash")
+
+
 @query("""WITH d AS (
   SELECT *, row_number() OVER (PARTITION BY source, text ORDER BY doc_id) AS nth FROM documents)
 SELECT 'embedding_waste' AS type, source AS session_id,
@@ -777,17 +885,19 @@ def _delivered(spark, sf_dir):
     """Events to deliver, and the rank of their sessions."""
     calls = event_calls(spark, sf_dir)
     config = {"dedup": "none", "tool_loop.min_calls": 3}
-    rules = {k: RULES[k] for k in ("tool_loop", "model_misroute")}
-    return replay(calls, synthetic_catalog(spark), PROJECT, config, rules), session_rank(calls)
+    return replay(calls, synthetic_catalog(spark), PROJECT, config), session_rank(calls)
 
 
 ORDERED = f"""{COSTED}, {sql.windows(60)}, {sql.fired("f", 3, "none")}, {sql.MISROUTE},
+{sql.windows(30).replace("wins AS", "wins30 AS")}, {sql.fired("storms", 3, "none", wins="wins30")}, {sql.ELEMENTS},
 ranks AS (SELECT session, min(event_id) AS session_rank FROM base GROUP BY 1),
 e AS (
-  SELECT 'tool_loop' AS type, session, at_us, event_id FROM f
-  UNION ALL SELECT 'model_misroute', session, at_us, event_id FROM misroute),
+  SELECT 'tool_loop' AS type, session, at_us, event_id, '' AS k FROM f
+  UNION ALL SELECT 'model_misroute', session, at_us, event_id, '' FROM misroute
+  UNION ALL SELECT 'retry_storm', session, at_us, event_id, '' FROM storms
+  UNION ALL SELECT 'embedding_waste', session, at_us, event_id, sha256('text:' || item) FROM repeats WHERE nth > 1),
 ordered AS (
-  SELECT e.*, row_number() OVER (ORDER BY session_rank, at_us, event_id, type) - 1 AS ordinal
+  SELECT e.*, row_number() OVER (ORDER BY session_rank, at_us, event_id, type, k) - 1 AS ordinal
   FROM e JOIN ranks USING (session))"""
 
 
@@ -852,6 +962,51 @@ def wire_events(spark, sf_dir):
     )
 
 
+SENT_AT = """CASE WHEN at_us % 1000000 = 0 THEN strftime(make_timestamp(at_us), '%Y-%m-%dT%H:%M:%S+00:00')
+    ELSE strftime(make_timestamp(at_us), '%Y-%m-%dT%H:%M:%S.%f+00:00') END"""
+
+
+@query(f"""{ORDERED}
+SELECT ordinal // 50 AS chunk_id, ordinal % 50 AS place, type, session AS session_id, {SENT_AT} AS raised_at
+FROM ordered""")
+def delivered_batches(spark, sf_dir):
+    """Batches written to the shared folder and read back, beside those of another project."""
+    events, ranks = _delivered(spark, sf_dir)
+    out = f"{ensure_checkpoint_dir(spark)}/delivered-{uuid.uuid4().hex}"
+    mine = deliver(delivery_chunks(events, ranks, PROJECT), out, PROJECT, "run")
+    deliver(delivery_chunks(events.limit(3), ranks, "other"), out, "other", "run")
+    sent = F.from_json("body", "project STRING, events ARRAY<STRUCT<type: STRING, session_id: STRING, raised_at: STRING>>")
+    return mine.select("chunk_id", F.posexplode(sent["events"]).alias("place", "event")).select(
+        "chunk_id", F.col("place").cast("bigint").alias("place"), "event.type", "event.session_id", "event.raised_at"
+    )
+
+
+@query(f"""{COSTED}, {sql.windows(60)}, {sql.fired("loops", 4)},
+{sql.windows(30).replace("wins AS", "wins30 AS")}, {sql.fired("storms", 3, wins="wins30")}, {sql.MISROUTE}, {sql.ELEMENTS}
+SELECT 'tool_loop' AS type, session AS session_id, event_id AS src_seq, event_type AS said, n AS call_count,
+  'BIGINT' AS count_type FROM loops
+UNION ALL SELECT 'retry_storm', session, event_id, event_type, n, 'BIGINT' FROM storms
+UNION ALL SELECT 'model_misroute', session, event_id, model, NULL, NULL FROM misroute
+UNION ALL SELECT 'embedding_waste', session, event_id, {ITEM_HASH}, NULL, NULL FROM repeats WHERE nth = 2""")
+def wire_evidence(spark, sf_dir):
+    """Numbers in the evidence of any rule are numbers on the wire."""
+    events = replay(event_calls(spark, sf_dir), synthetic_catalog(spark), PROJECT)
+    doc = F.parse_json("wire")
+
+    def text(path):
+        return F.try_variant_get(doc, f"$.evidence.{path}", "string")
+
+    count = F.try_variant_get(doc, "$.evidence.call_count", "variant")
+    return wire_json(events).select(
+        "type",
+        "session_id",
+        "src_seq",
+        F.coalesce(*(text(x) for x in ("tool", "request_hash", "model", "input_hash"))).alias("said"),
+        F.try_variant_get(doc, "$.evidence.call_count", "bigint").alias("call_count"),
+        F.when(count.isNotNull(), F.schema_of_variant(count)).alias("count_type"),
+    )
+
+
 # --- whole imports -----------------------------------------------------------------
 
 
@@ -950,6 +1105,6 @@ def merged_tool_loop(spark, sf_dir):
     return result.events.select(
         "session_id",
         F.unix_micros("raised_at").alias("at_us"),
-        F.col("evidence")["tool"].alias("tool"),
-        F.col("evidence")["call_count"].alias("call_count"),
+        F.col("evidence")["tool"].cast("string").alias("tool"),
+        F.col("evidence")["call_count"].cast("string").alias("call_count"),
     )

@@ -39,7 +39,8 @@ def in_delivery_order(events: DataFrame, ranks: DataFrame) -> DataFrame:
     The rows are range-sorted across partitions and numbered inside each; only
     one count per partition is gathered to turn that into a global ordinal.
     """
-    placed = events.join(ranks, "session_id", "left")
+    # Written ranks leave a plain exchange on both sides, so a large session may be split over tasks.
+    placed = events.join(cut_lineage(ranks), "session_id", "left")
     sorted_rows = placed.orderBy(
         "session_rank", "session_id", "raised_at", "src_seq", "type", "evidence_key"
     )

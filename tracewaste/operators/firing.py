@@ -70,8 +70,11 @@ def as_events(
     src_seq: Column,
     sdk_version: str = SDK_VERSION,
 ) -> DataFrame:
-    """Firings in the event layout; ``raised_at`` is the triggering call's own time."""
-    pairs = [part for k, v in evidence.items() for part in (F.lit(k), v.cast("string"))]
+    """Firings in the event layout; ``raised_at`` is the triggering call's own time.
+
+    Evidence keeps its types: a number stays a number on the wire.
+    """
+    pairs = [part for k, v in evidence.items() for part in (F.lit(k), v.cast("variant"))]
     return firings.select(
         F.lit(type).alias("type"),
         F.lit(confidence).cast("double").alias("confidence"),

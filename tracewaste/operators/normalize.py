@@ -30,7 +30,7 @@ from tracewaste.functions.values import (
     whole_number,
 )
 from tracewaste.schemas import CALLS, REJECTED, column_names
-from tracewaste.sources.pages import NESTED_POSITION_BITS, checked_position
+from tracewaste.sources.pages import NESTED_POSITION_BITS, nested_sequence
 
 NO_META = "CAST(map() AS MAP<STRING, STRING>)"
 
@@ -145,6 +145,7 @@ def helicone_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame:
     )
     return evaluated_once(derived).select(
         "provider_src",
+        "page_idx",
         "src_seq",
         "session_id",
         "timestamp",
@@ -188,7 +189,9 @@ def langfuse_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame:
         traces.withColumn("trace_reason", trace_reason)
         .select(
             "provider_src",
+            "page_idx",
             "src_seq",
+            "n_rows",
             "trace_reason",
             "v_outer",
             ids.session_id(
@@ -254,11 +257,11 @@ def langfuse_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame:
     def tokens(name: str) -> Column:
         return usage.zero_unless(F.col("countable"), usage.or_zero(F.col(name)))
 
+    position = F.shiftright("src_seq", NESTED_POSITION_BITS).bitwiseAND(F.lit(2**NESTED_POSITION_BITS - 1))
     return derived.select(
         "provider_src",
-        (F.col("src_seq") + checked_position(F.col("obs_pos"), NESTED_POSITION_BITS)).alias(
-            "src_seq"
-        ),
+        "page_idx",
+        nested_sequence(F.col("page_idx"), position, F.col("obs_pos"), F.col("n_rows")).alias("src_seq"),
         "session_id",
         "timestamp",
         models.provider_from_model(
@@ -355,6 +358,7 @@ def langsmith_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame
 
     return derived.select(
         "provider_src",
+        "page_idx",
         "src_seq",
         "session_id",
         "timestamp",
@@ -385,7 +389,13 @@ CANDIDATES = {
 def normalize_records(records: DataFrame, provider: str, ingest_time: datetime) -> DataFrame:
     """Candidate calls of one provider's records; rejected records carry no session."""
     found = CANDIDATES[provider](records, ingest_time)
-    no_session = F.coalesce(F.col("skip_reason") == "record_not_an_object", F.lit(False))
+    unplaced = F.when(F.col("page_idx").isNull(), F.lit("page_without_ordinal")).when(
+        F.col("src_seq").isNull(), F.lit("too_many_elements_in_page")
+    )
+    found = found.withColumn("skip_reason", F.coalesce(unplaced, "skip_reason"))
+    no_session = F.coalesce(
+        F.col("skip_reason").isin("record_not_an_object", "page_without_ordinal"), F.lit(False)
+    )
     return evaluated_once(
         found.withColumn("session_id", F.when(~no_session, F.col("session_id")))
     )

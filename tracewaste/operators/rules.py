@@ -26,6 +26,7 @@ from tracewaste.operators.firing import (
     deduplicate,
 )
 from tracewaste.operators.trailing import AT, COST, FLAG, HOT_ROWS, SEQ, trailing_window
+from tracewaste.session import cut_lineage
 
 SECOND_US = 1_000_000
 
@@ -196,7 +197,7 @@ def model_misroute(calls: DataFrame, prices: DataFrame, context: RuleContext) ->
     )
     said = F.lower(_spoken_text(F.col("raw_request.messages")))
     keywords = context.get("model_misroute.keywords")
-    classifies = reduce(lambda a, b: a | b, [said.contains(k.lower()) for k in keywords])
+    classifies = reduce(lambda a, b: a | b, [said.contains(k.lower()) for k in keywords], F.lit(False))
     firings = with_cost(small, prices).filter(
         F.col("is_frontier") & F.col("alternative").isNotNull() & classifies
     )
@@ -259,8 +260,10 @@ def embedding_waste(calls: DataFrame, prices: DataFrame, context: RuleContext) -
     )
     place = F.struct(*order)
     if mode == "none":
-        # A per-key minimum combines before the shuffle; no key is ranked as a whole.
-        first = rows.groupBy(*keys).agg(F.min(place).alias("first_place"))
+        # The minima combine before the shuffle. They are written, so that both sides of the join
+        # are plain exchanges and a frequent element's rows may be split over tasks.
+        rows = cut_lineage(rows)
+        first = cut_lineage(rows.groupBy(*keys).agg(F.min(place).alias("first_place")))
         repeats = rows.join(first, keys).filter(place > F.col("first_place"))
     else:
         repeats = _second_per_key(rows, keys, order)

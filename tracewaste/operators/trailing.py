@@ -8,11 +8,10 @@ frame for each row. Instead each row enters the window at its own time and
 leaves it one microsecond after ``at + span``, which turns every measure into
 a running sum over one sorted pass.
 
-Ordinary keys take one hash shuffle. Keys that hold a large share of the rows
-are found with a frequent-items sketch and take a range shuffle on
-``(key, time, seq)`` instead, which cuts a single key into many partitions;
-each partition then starts from the totals carried over from the earlier ones.
-Both paths return the same rows, so the sketch only ever decides about speed.
+Ordinary keys take one hash shuffle. Keys of many rows are counted exactly and
+take a range shuffle on ``(key, time, seq)`` instead, which cuts a single key
+into many partitions; each partition then starts from the totals carried over
+from the earlier ones. Both paths return the same rows.
 """
 
 from __future__ import annotations
@@ -27,10 +26,8 @@ from tracewaste.session import cut_lineage
 
 # A key below this many rows is left to a single task.
 HOT_ROWS = 1_000_000
-# Bounds of the frequent-items sketch; a key above about 0.1 % of all rows is always found.
-HOT_KEYS = 1_000
-SKETCH_ITEMS = 4_000
-SKETCH_MERGERS = 512
+# Up to so many hot keys (16 bytes each) are broadcast; more are joined by a shuffle.
+BROADCAST_KEYS = 100_000
 HOT_PARTITIONS = 20_000
 
 # The incoming row layout next to the key columns.
@@ -39,26 +36,14 @@ AT, SEQ, COST, FLAG = "at_us", "seq", "cost_nanos", "flag"
 MEASURES = ["ordinal", "n_window", "cost_window", "flagged_window", "first_cost"]
 
 
-def hot_key_hashes(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> dict[int, int]:
-    """Hash to row count of the keys that hold at least ``hot_rows`` rows.
+def hot_key_hashes(rows: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """(h, n): hash and row count of the keys that hold at least ``hot_rows`` rows.
 
-    Each task keeps a bounded sketch and the sketches merge in groups, so neither
-    the keys nor the rows are shuffled. At most ``HOT_KEYS`` come back.
+    The counts combine before the shuffle; no more than the rows divided by ``hot_rows`` remain, and
+    they are written, not collected.
     """
-    frequent = (
-        rows.select(F.xxhash64(*keys).alias("h"))
-        .groupBy((F.spark_partition_id() % SKETCH_MERGERS).alias("merger"))
-        .agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {SKETCH_ITEMS})").alias("top"))
-        .select(F.inline("top"))
-    )
-    hottest = (
-        frequent.groupBy("item")
-        .agg(F.sum("count").alias("n"))
-        .filter(F.col("n") >= hot_rows)
-        .orderBy(F.desc("n"), "item")
-        .limit(HOT_KEYS)
-    )
-    return {row["item"]: row["n"] for row in hottest.collect()}
+    counted = rows.groupBy(F.xxhash64(*keys).alias("h")).agg(F.count("*").alias("n"))
+    return cut_lineage(counted.filter(F.col("n") >= hot_rows))
 
 
 def _with_exits(rows: DataFrame, span_us: int) -> DataFrame:
@@ -158,13 +143,19 @@ def trailing_window(
     wanted = [*keys, AT, SEQ, COST, FLAG]
     rows = rows.select(*wanted)
     hot = hot_key_hashes(rows, keys, hot_rows)
-    if not hot:
+    size = hot.agg(F.count("*").alias("keys"), F.sum("n").alias("rows")).first()
+    if not size["keys"]:
         measured = _ordinary_path(rows, keys, span_us)
         return [measured.filter(F.col("n_window") >= min_calls).select(*wanted, *MEASURES)]
-    is_hot = F.xxhash64(*keys).isin(*hot)
-    partitions = min(max(2, ceil(2 * sum(hot.values()) / hot_rows)), HOT_PARTITIONS)
+    listed = hot.select("h")
+    if size["keys"] <= BROADCAST_KEYS:
+        listed = F.broadcast(listed)
+    partitions = min(max(2, ceil(2 * size["rows"] / hot_rows)), HOT_PARTITIONS)
+    hashed = rows.withColumn("h", F.xxhash64(*keys))
     parts = [
-        _ordinary_path(rows.filter(~is_hot), keys, span_us),
-        _hot_path(rows.filter(is_hot), keys, span_us, partitions, min_calls),
+        _ordinary_path(hashed.join(listed, "h", "left_anti").select(*wanted), keys, span_us),
+        _hot_path(
+            hashed.join(listed, "h", "left_semi").select(*wanted), keys, span_us, partitions, min_calls
+        ),
     ]
     return [p.filter(F.col("n_window") >= min_calls).select(*wanted, *MEASURES) for p in parts]

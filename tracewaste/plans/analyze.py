@@ -26,7 +26,9 @@ from tracewaste.sources.pages import (
     check_provider,
     is_last_page,
     parse_pages,
+    sum_responses,
     unwrap_records,
+    without_repeats,
 )
 from tracewaste.sources.windows import top_level_runs, within_bounds
 
@@ -40,17 +42,21 @@ class Source:
     since: datetime | None = None
     until: datetime | None = None
     page_size: int = PAGE_SIZE
-    stop_at_last_page: bool = True
+    stop_at_last_page: bool = False
     top_level_only: bool = False
+    drop_repeated_pages: bool = False
 
 
 @dataclass(frozen=True)
 class Result:
+    """What an import found; ``pages_beyond_stop`` is 0 unless a source was cut at its last page."""
+
     calls: DataFrame
     rejected: DataFrame
     events: DataFrame
     summary: DataFrame
     payloads: DataFrame | None
+    pages_beyond_stop: int = 0
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
@@ -65,9 +71,9 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _parsed_pages(source: Source, last_page: int | None) -> DataFrame:
-    parsed = parse_pages(source.pages, check_provider(source.provider))
-    return parsed if last_page is None else parsed.filter(F.col("page_idx") <= last_page)
+def _parsed_pages(source: Source) -> DataFrame:
+    pages = without_repeats(source.pages) if source.drop_repeated_pages else source.pages
+    return parse_pages(pages, check_provider(source.provider))
 
 
 def _bounded_records(source: Source, parsed: DataFrame) -> DataFrame:
@@ -76,36 +82,46 @@ def _bounded_records(source: Source, parsed: DataFrame) -> DataFrame:
     return top_level_runs(records) if source.top_level_only else records
 
 
-def import_source(
-    source: Source, ingest_time: datetime, last_page: int | None = None
-) -> tuple[DataFrame, dict[str, int]]:
+def import_source(source: Source, ingest_time: datetime) -> tuple[DataFrame, dict[str, int]]:
     """Written candidate calls of one source, and its page and record counts.
 
-    The counts and the stop page are observed while the candidates are written,
-    so the pages are parsed once. Only if pages lie beyond the stop page are they
-    read again without those.
+    The counts and the stop page are observed while the candidates are written, so
+    the pages are parsed once. Every landed page counts, unless the source is to be
+    cut at the page where a paging client would have stopped: then the written table
+    is filtered, and only the records of the pages before are counted again.
     """
     page_facts, record_facts = Observation(), Observation()
-    pages = _parsed_pages(source, last_page)
-    parsed = pages.withColumn("is_stop", is_last_page(source.provider, source.page_size)).observe(
+    placed = F.col("page_idx").isNotNull()
+    parsed = _parsed_pages(source).withColumn(
+        "is_stop", is_last_page(source.provider, source.page_size)
+    )
+    observed = parsed.observe(
         page_facts,
         F.min(F.when(F.col("is_stop"), F.col("page_idx"))).alias("stop_page"),
         F.max("page_idx").alias("last_page"),
-        F.count(F.when(F.col("n_rows") > 0, 1)).alias("pages_fetched"),
+        F.count(F.when(placed & (F.col("n_rows") > 0), 1)).alias("pages_fetched"),
     )
-    records = _bounded_records(source, parsed).observe(
-        record_facts, F.count(F.lit(1)).alias("fetched_traces")
+    records = _bounded_records(source, observed).observe(
+        record_facts, F.count(F.when(placed, 1)).alias("fetched_traces")
     )
     table = write_table(
         normalize_records(records, source.provider, ingest_time), f"{source.provider}-candidates"
     )
     seen = page_facts.get
-    if source.stop_at_last_page and seen["stop_page"] is not None:
-        if seen["last_page"] > seen["stop_page"]:
-            return import_source(source, ingest_time, seen["stop_page"])
-    return table, {
+    counts = {
         "fetched_traces": record_facts.get["fetched_traces"],
         "pages_fetched": seen["pages_fetched"],
+        "pages_beyond_stop": 0,
+    }
+    stop = seen["stop_page"]
+    if not source.stop_at_last_page or stop is None or seen["last_page"] <= stop:
+        return table, counts
+    kept = parsed.filter(F.col("page_idx") <= stop)
+    pages = kept.agg(F.count_if(F.col("n_rows") > 0).alias("n")).first()["n"]
+    return table.filter((F.col("page_idx") <= stop) | F.col("page_idx").isNull()), {
+        "fetched_traces": _bounded_records(source, kept).count(),
+        "pages_fetched": pages,
+        "pages_beyond_stop": counts["pages_fetched"] - pages,
     }
 
 
@@ -120,6 +136,8 @@ def _analyze(
     out: str | None,
     chunk_size: int,
     ingest_time: datetime | None,
+    run_id: str | None,
+    responses: DataFrame | None,
 ) -> Result:
     if not dry_run and not out:
         raise ValueError("an output path is required when dry_run=False")
@@ -139,10 +157,28 @@ def _analyze(
     payloads = None
     if not dry_run:
         chunks = delivery_chunks(events, session_rank(calls), project, chunk_size)
-        chunks.write.mode("overwrite").partitionBy("project").json(out)
-        payloads = spark.read.schema(chunks.schema).json(out)
-    summary = summary_row(events, session_count(calls), counts, dry_run)
-    return Result(calls, rejected, events, summary, payloads)
+        payloads = deliver(chunks, out, project, run_id or uuid.uuid4().hex)
+    delivered = None if responses is None else sum_responses(responses)
+    summary = summary_row(events, session_count(calls), counts, dry_run, delivered)
+    return Result(calls, rejected, events, summary, payloads, counts["pages_beyond_stop"])
+
+
+def deliver(chunks: DataFrame, out: str, project: str, run_id: str) -> DataFrame:
+    """The batches of one run of one project, written under ``out`` and read back.
+
+    Only that run's own folder is replaced; other runs and projects stay.
+    """
+    (
+        chunks.withColumn("run", F.lit(run_id))
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("project", "run")
+        .json(out)
+    )
+    layout = "chunk_id BIGINT, n BIGINT, body STRING, project STRING, run STRING"
+    written = chunks.sparkSession.read.schema(layout).json(out)
+    mine = (F.col("project") == project) & (F.col("run") == run_id)
+    return written.filter(mine).select(*chunks.columns)
 
 
 def analyze(
@@ -159,15 +195,46 @@ def analyze(
     out: str | None = None,
     chunk_size: int = CHUNK_SIZE,
     ingest_time: datetime | None = None,
+    page_size: int = PAGE_SIZE,
+    stop_at_last_page: bool = False,
+    top_level_only: bool = False,
+    drop_repeated_pages: bool = False,
+    run_id: str | None = None,
+    responses: DataFrame | None = None,
 ) -> Result:
     """Find wasted spend in one provider's landed pages.
 
     Without ``catalog`` the synthetic example prices apply. A dry run writes no
-    batches; otherwise they go to ``out`` as JSON, partitioned by project.
+    batches; otherwise they go to ``out`` as JSON, partitioned by project and run;
+    repeating a ``run_id`` replaces that run's batches. ``responses`` is a log of
+    answers to delivered batches, whose accepted and rejected counts the summary sums.
+
+    Every landed page is read. With ``stop_at_last_page`` the import ends where a
+    client with this ``page_size`` would have stopped paging.
     """
-    source = Source(pages, check_provider(provider), since, until)
+    source = Source(
+        pages,
+        check_provider(provider),
+        since,
+        until,
+        page_size,
+        stop_at_last_page,
+        top_level_only,
+        drop_repeated_pages,
+    )
     return _analyze(
-        spark, [source], project, config, catalog, rules, dry_run, out, chunk_size, ingest_time
+        spark,
+        [source],
+        project,
+        config,
+        catalog,
+        rules,
+        dry_run,
+        out,
+        chunk_size,
+        ingest_time,
+        run_id,
+        responses,
     )
 
 
@@ -182,12 +249,25 @@ def analyze_many(
     out: str | None = None,
     chunk_size: int = CHUNK_SIZE,
     ingest_time: datetime | None = None,
+    run_id: str | None = None,
+    responses: DataFrame | None = None,
 ) -> Result:
     """Calls of several sources together, through one replay."""
     if not sources:
         raise ValueError("at least one source is required")
     return _analyze(
-        spark, sources, project, config, catalog, rules, dry_run, out, chunk_size, ingest_time
+        spark,
+        sources,
+        project,
+        config,
+        catalog,
+        rules,
+        dry_run,
+        out,
+        chunk_size,
+        ingest_time,
+        run_id,
+        responses,
     )
 
 

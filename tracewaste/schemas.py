@@ -8,7 +8,7 @@ from pyspark.sql.types import StructType
 PAGES = "page_idx BIGINT, body STRING"
 
 # One element of a page.
-RECORDS = "provider_src STRING, page_idx BIGINT, src_seq BIGINT, rec VARIANT"
+RECORDS = "provider_src STRING, page_idx BIGINT, src_seq BIGINT, n_rows BIGINT, rec VARIANT"
 
 # One normalised model call.
 CALLS = (
@@ -25,7 +25,7 @@ REJECTED = "provider_src STRING, src_seq BIGINT, session_id STRING, skip_reason
 # One firing of a rule.
 EVENTS = (
     "type STRING, confidence DOUBLE, project STRING, session_id STRING, rule STRING, "
-    "evidence MAP<STRING, STRING>, estimated_burn DECIMAL(18,6), suggested_action STRING, "
+    "evidence MAP<STRING, VARIANT>, estimated_burn DECIMAL(18,6), suggested_action STRING, "
     "raised_at TIMESTAMP, src_seq BIGINT, sdk_version STRING"
 )
 

@@ -8,6 +8,7 @@ table or the line layout, since one file per response means many small files.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracewaste.functions.values import at, elements, is_string, is_truthy, whole_number
@@ -18,6 +19,7 @@ PAGE_SIZE = 100
 # src_seq = page_idx, then position in the page, then (for nested formats) position in the record.
 POSITION_BITS = 20
 NESTED_POSITION_BITS = 16
+MAX_PAGES = 2**31
 
 
 def check_provider(provider: str) -> str:
@@ -26,9 +28,9 @@ def check_provider(provider: str) -> str:
     return provider
 
 
-def required_ordinal(ordinal: Column) -> Column:
-    missing = F.raise_error(F.lit("a landed page carries no page ordinal")).cast("bigint")
-    return F.coalesce(ordinal, missing).alias("page_idx")
+def page_ordinal(ordinal: Column) -> Column:
+    """A page's ordinal; none if it is missing or out of range, which rejects the page's records."""
+    return F.when((ordinal >= 0) & (ordinal < MAX_PAGES), ordinal).alias("page_idx")
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
@@ -36,7 +38,7 @@ def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     files = spark.read.text(path, wholetext=True)
     name = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1)
     return files.select(
-        required_ordinal(name.try_cast("bigint")), F.col("value").alias("body")
+        page_ordinal(name.try_cast("bigint")), F.col("value").alias("body")
     )
 
 
@@ -49,7 +51,7 @@ def read_page_lines(spark: SparkSession, path: str) -> DataFrame:
     parsed = spark.read.text(path).select(line.alias("line"))
     body = at(F.col("line"), "$.body")
     return parsed.select(
-        required_ordinal(F.try_variant_get("line", "$.page_idx", "bigint")),
+        page_ordinal(F.try_variant_get("line", "$.page_idx", "bigint")),
         F.when(is_string(body), F.try_variant_get(body, "$", "string"))
         .otherwise(F.to_json(body))
         .alias("body"),
@@ -73,12 +75,18 @@ def _page_elements(provider: str, body: Column) -> Column:
 def parse_pages(pages: DataFrame, provider: str) -> DataFrame:
     """Pages with their parsed ``doc``, element array and row count.
 
-    Text that is not JSON becomes a NULL document without rows, not a failed job.
+    Text that is not JSON becomes a NULL document without rows, not a failed job; a page without an
+    ordinal keeps its records, or an empty one, which are rejected with that reason.
     """
     check_provider(provider)
     parsed = pages.select("page_idx", F.try_parse_json("body").alias("doc"))
-    return parsed.withColumn("items", _page_elements(provider, F.col("doc"))).withColumn(
-        "n_rows", F.size("items").cast("bigint")
+    found = _page_elements(provider, F.col("doc"))
+    # A page without an ordinal keeps one empty record at least, so that it is reported.
+    lost = F.col("page_idx").isNull() & (F.size("items") == 0)
+    return (
+        parsed.withColumn("items", found)
+        .withColumn("n_rows", F.size("items").cast("bigint"))
+        .withColumn("items", F.when(lost, F.expr("array(CAST(NULL AS VARIANT))")).otherwise(F.col("items")))
     )
 
 
@@ -116,20 +124,26 @@ def truncate_pages(parsed: DataFrame, provider: str, page_size: int = PAGE_SIZE)
     )
 
 
-def checked_position(position: Column, bits: int) -> Column:
-    message = f"a page or record holds more than {2**bits} elements; land it in smaller pages"
-    return F.when(position < 2**bits, position.cast("bigint")).otherwise(
-        F.raise_error(F.lit(message)).cast("bigint")
-    )
+def record_sequence(page_idx: Column, position: Column) -> Column:
+    """Arrival ordinal of an element of a page; none beyond 2**20 elements, which rejects it."""
+    fits = position < 2**POSITION_BITS
+    return F.when(fits, page_idx * 2**POSITION_BITS + position.cast("bigint"))
 
 
-def nested_sequence(page_idx: Column, position: Column, nested: Column) -> Column:
-    """Arrival ordinal of an element nested in a record."""
-    bits = NESTED_POSITION_BITS
-    return (
-        page_idx * 2 ** (2 * bits)
-        + checked_position(position, bits) * 2**bits
-        + checked_position(nested, bits)
+def nested_sequence(page_idx: Column, position: Column, nested: Column, n_rows: Column) -> Column:
+    """Arrival ordinal of an element nested in a record of a page of ``n_rows`` records.
+
+    A page has 2**32 ordinals. Each record owns 2**16 of them, and a longer one goes on in its share of
+    those that no record of the page owns, so a page of a hundred records takes 40 million elements in
+    one. Where even those run out there is none, which rejects the element.
+    """
+    slot, page = 2**NESTED_POSITION_BITS, 2 ** (2 * NESTED_POSITION_BITS)
+    position, nested = position.cast("bigint"), nested.cast("bigint")
+    owned = F.least(n_rows, F.lit(slot)) * slot
+    share = F.floor((F.lit(page) - owned) / n_rows)
+    further = nested - slot
+    return page_idx * page + F.when((position < slot) & (nested < slot), position * slot + nested).when(
+        (position < slot) & (further < share), owned + position * share + further
     )
 
 
@@ -141,19 +155,34 @@ def unwrap_records(parsed: DataFrame, provider: str) -> DataFrame:
     the parse, which would parse every page a second time.
     """
     exploded = parsed.select(
-        "page_idx", F.posexplode_outer("items").alias("pos", "rec")
+        "page_idx", "n_rows", F.posexplode_outer("items").alias("pos", "rec")
     ).filter("pos IS NOT NULL")
     if provider == "langfuse":
-        seq = nested_sequence(F.col("page_idx"), F.col("pos"), F.lit(0))
+        seq = nested_sequence(F.col("page_idx"), F.col("pos"), F.lit(0), F.col("n_rows"))
     else:
-        seq = F.col("page_idx") * 2**POSITION_BITS + checked_position(
-            F.col("pos"), POSITION_BITS
-        )
+        seq = record_sequence(F.col("page_idx"), F.col("pos"))
     return exploded.select(
-        F.lit(provider).alias("provider_src"), "page_idx", seq.alias("src_seq"), "rec"
+        F.lit(provider).alias("provider_src"), "page_idx", seq.alias("src_seq"), "n_rows", "rec"
     )
 
 
+def repeated_pages(pages: DataFrame) -> DataFrame:
+    """(page_idx, n) of the ordinals that several landed pages carry."""
+    return (
+        pages.filter("page_idx IS NOT NULL")
+        .groupBy("page_idx")
+        .agg(F.count("*").alias("n"))
+        .filter("n > 1")
+    )
+
+
+def without_repeats(pages: DataFrame) -> DataFrame:
+    """One page of each ordinal, the first by the digest of its text; pages without one all stay."""
+    first = W.partitionBy("page_idx").orderBy(F.sha2(F.coalesce("body", F.lit("")), 256))
+    ranked = pages.filter("page_idx IS NOT NULL").withColumn("nth", F.row_number().over(first))
+    return ranked.filter("nth = 1").drop("nth").unionByName(pages.filter("page_idx IS NULL"))
+
+
 def sum_responses(responses: DataFrame, column: str = "body") -> DataFrame:
     """Accepted and rejected totals over a log of delivery responses; missing counts are 0."""
     doc = F.try_parse_json(column)

@@ -32,7 +32,8 @@ def within_bounds(
 
     The first format drops only records known to be older than ``since`` (to the
     microsecond) and takes no upper bound. The other two compare whole seconds,
-    half-open, and drop records without a readable time.
+    half-open, and drop records without a readable time. Records of a page without
+    an ordinal stay, to be rejected with that reason.
     """
     if provider == "helicone":
         if until is not None:
@@ -41,10 +42,11 @@ def within_bounds(
             return records
         too_old = F.coalesce(_record_time(provider) < moment_literal(since), F.lit(False))
         return records.filter(~too_old)
+    lost = F.col("page_idx").isNull()
     if since is not None:
-        records = records.filter(_record_time(provider) >= _whole_second(since))
+        records = records.filter(lost | (_record_time(provider) >= _whole_second(since)))
     if until is not None:
-        records = records.filter(_record_time(provider) < _whole_second(until))
+        records = records.filter(lost | (_record_time(provider) < _whole_second(until)))
     return records
 
 

@@ -14,7 +14,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 from tracewaste.operators.normalize import normalize_records
 from tracewaste.schemas import PAGES
 from tracewaste.session import prepare_session
-from tracewaste.sources.pages import parse_pages, required_ordinal, unwrap_records
+from tracewaste.sources.pages import parse_pages, page_ordinal, unwrap_records
 
 
 def stream_page_files(spark: SparkSession, path: str) -> DataFrame:
@@ -22,7 +22,7 @@ def stream_page_files(spark: SparkSession, path: str) -> DataFrame:
     prepare_session(spark)
     files = spark.readStream.format("text").option("wholetext", True).load(path)
     name = F.regexp_extract(F.col("_metadata.file_name"), r"(\d+)\D*$", 1)
-    return files.select(required_ordinal(name.try_cast("bigint")), F.col("value").alias("body"))
+    return files.select(page_ordinal(name.try_cast("bigint")), F.col("value").alias("body"))
 
 
 def stream_page_table(spark: SparkSession, path: str) -> DataFrame:

@@ -14,12 +14,14 @@ mark are too late to be evaluated; they go to a table of their own.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from datetime import datetime
 from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tracewaste.functions.times import moment_literal
 from tracewaste.operators.catalog import price_table
 from tracewaste.operators.firing import first_per_key
 from tracewaste.operators.rules import SECOND_US, RuleContext, WindowedRule, retry_storm, tool_loop
@@ -47,6 +49,9 @@ class StreamingReplay:
 
     De-duplication is ``session`` (one event per key, remembered in the state) or
     ``none``. Events of batch ``n`` are in ``<folder>/events/batch=n``.
+
+    ``ingest_time`` is what the normaliser gave calls without a time of their own.
+    Those do not move the mark, or all older calls still to come would be late.
     """
 
     folder: str
@@ -55,6 +60,7 @@ class StreamingReplay:
     delay_seconds: float
     config: dict[str, Any] = field(default_factory=dict)
     rules: tuple[WindowedRule, ...] = (tool_loop, retry_storm)
+    ingest_time: datetime | None = None
 
     def __post_init__(self) -> None:
         if self._context().get("dedup") not in ("session", "none"):
@@ -97,7 +103,10 @@ class StreamingReplay:
         waiting = previous("held").unionByName(incoming.filter(at_us > passed))
         mark = end
         if mark is None:
-            latest = waiting.agg(F.max(at_us).alias("at")).first()["at"]
+            timed = waiting
+            if self.ingest_time is not None:
+                timed = waiting.filter(F.col("timestamp") != moment_literal(self.ingest_time))
+            latest = timed.agg(F.max(at_us).alias("at")).first()["at"]
             delay = int(self.delay_seconds * SECOND_US)
             mark = passed if latest is None else max(passed, latest - delay)
         self._write(waiting.filter(at_us > mark), "held", batch_id)
