@@ -202,8 +202,12 @@ def one_of_each(docs: DataFrame) -> DataFrame:
 
     Of rows that share their id and fingerprint, any one stays. See near_duplicates.
     """
+    return least_of_each(docs, *_components_of(fingerprints(docs)), _append_fingerprints)
+
+
+def least_of_each(docs: DataFrame, firsts: DataFrame, named: DataFrame, append_prints) -> DataFrame:
+    """The rows of ``docs`` with the least id of each component; ``append_prints`` gives each text's print."""
     order = F.struct(F.col("doc_id").isNull().alias("a"), F.col("doc_id").alias("b"), F.col("fp").alias("c"))
-    firsts, named = _components_of(fingerprints(docs))
     kept = written(
         firsts.join(named, F.col("fp") == F.col("named"))
         .withColumn("doc_id", F.col("first"))
@@ -213,7 +217,7 @@ def one_of_each(docs: DataFrame) -> DataFrame:
         "simhash-kept",
     )
     # Texts go through one shuffle, on print and id: copies share a print only, so they do not meet.
-    prints = appended(docs, F.col("text"), _append_fingerprints, "fp long")
+    prints = appended(docs, F.col("text"), append_prints, "fp long")
     keyed = prints.withColumn("key", F.xxhash64("fp", F.col("row.doc_id").cast("long")))
     wanted = kept.withColumn("kept_key", F.xxhash64("kept", "kept_id"))
     same = (F.col("fp") == F.col("kept")) & F.col("row.doc_id").eqNullSafe(F.col("kept_id"))
@@ -238,7 +242,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 def _components_of(prints: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(fp, first) of the distinct prints, and (named, root, component_id) of each."""
     firsts = written(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-distinct")
-    nodes = components(links_of(firsts))
+    return named_components(firsts, links_of(firsts))
+
+
+def named_components(firsts: DataFrame, links: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``firsts`` (fp, first), and (named, root, component_id) of each of its prints by the links."""
+    nodes = components(links)
     rooted = written(
         firsts.join(nodes, F.col("fp") == F.col("node"), "left").select(
             "fp", "first", F.coalesce("root", "fp").alias("root")
