@@ -271,6 +271,14 @@ def _has_letter(text: bytes) -> bool:
 
 def label_texts(field: Field | None, texts: list[bytes]):
     """(language or `und`, score, number of words, number of switches) arrays of a batch of texts."""
+    return _labelled(field, texts)[:4]
+
+
+def _labelled(field: Field | None, texts: list[bytes]):
+    """label_texts, and how sure the field is of each text's words, whatever their languages.
+
+    That is the mean of each word's largest label probability: 0 without a letter, 1 without a field.
+    """
     n = len(texts)
     pred = np.full(n, UNDETERMINED, object)
     score, count, switches = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -279,6 +287,7 @@ def label_texts(field: Field | None, texts: list[bytes]):
     for i in np.flatnonzero(count):
         if not re.search(rb"[A-Za-z]", texts[i]) and not _has_letter(texts[i]):
             count[i] = 0
+    sure = np.where(count > 0, 1.0, 0.0)
     if field is not None and len(words.starts):
         probability, _ = label_probabilities(field, words)
         some = np.flatnonzero(words.lengths)
@@ -291,9 +300,12 @@ def label_texts(field: Field | None, texts: list[bytes]):
         switches[some] = np.add.reduceat(changed.astype(np.int64), starts)
         pred[some] = np.array(field.languages, object)[best]
         score[some] = np.minimum(1.0, mean[np.arange(len(some)), best])
+        largest = np.add.reduceat(probability.max(axis=1).astype(np.float64), starts)
+        sure[some] = np.minimum(1.0, largest / words.lengths[some])
         blank = count == 0
+        sure[blank] = 0.0
         pred[blank], score[blank], switches[blank] = UNDETERMINED, 0.0, 0
-    return pred, score, count, switches
+    return pred, score, count, switches, sure
 
 
 def _groups(field: Field | None, texts: list[bytes]) -> list[np.ndarray]:
@@ -321,9 +333,9 @@ def _predict(field: Field | None):
 def _append_languages(field: Field | None):
     def make():
         def run(texts: list[bytes]):
-            parts = [label_texts(field, [texts[i] for i in rows]) for rows in _groups(field, texts)]
-            pred, score = ([x for p in parts for x in p[i]] for i in (0, 1))
-            return [pa.array(pred, pa.string()), pa.array(score, pa.float64())]
+            parts = [_labelled(field, [texts[i] for i in rows]) for rows in _groups(field, texts)]
+            pred, score, sure = ([x for p in parts for x in p[i]] for i in (0, 1, 4))
+            return [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(sure, pa.float64())]
 
         return run
 
@@ -331,13 +343,18 @@ def _append_languages(field: Field | None):
 
 
 def with_languages(docs: DataFrame) -> DataFrame:
-    """(row, lang_pred, score): whole rows of ``docs`` as a struct; every labelled row may train."""
+    """(row, lang_pred, score, sure): whole rows of ``docs`` as a struct; every labelled row may train.
+
+    ``sure`` does not ask for one language: it is high for a text that switches between languages the field
+    tells apart, 0 for a text without a letter, and 1 for any other if no labelled row can train.
+    """
     slim = docs.select(
         F.col("doc_id").cast("long").alias("key"),
         binary_text(F.col("text")).alias("text"),
         F.col("lang").cast("string").alias("lang"),
     )
-    return appended(docs, F.col("text"), _append_languages(fit(*training_sample(slim))), "lang_pred string, score double")
+    types = "lang_pred string, score double, sure double"
+    return appended(docs, F.col("text"), _append_languages(fit(*training_sample(slim))), types)
 
 
 def predict_languages(docs: DataFrame, held_out: Column) -> DataFrame:
