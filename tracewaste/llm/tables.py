@@ -19,11 +19,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
     """``df`` written once to the shared folder and read back; a lost executor costs a re-read."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -60,10 +61,49 @@ def ragged(parts: list[np.ndarray], dtype) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0)).astype(dtype, copy=False), lengths
 
 
+class Remembered:
+    """Answers for byte strings, kept in two generations of ``limit`` / 2 bytes; for caches only.
+
+    When the newer one is full the older one goes, so the limit holds whatever the strings' lengths.
+    """
+
+    #: Bytes of an entry beside its key's and value's, about.
+    ENTRY = 170
+
+    def __init__(self, limit: int):
+        self.limit, self.size = limit // 2, 0
+        self.new: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+
+    def of(self, lists: list[list[bytes]], answer) -> dict[bytes, bytes]:
+        """A table that holds all listed strings; ``answer`` gets those not known, each once."""
+        known, older = self.new, self.old
+        missing = {k for some in lists for k in some if k not in known}
+        if not missing:
+            return known
+        found = {k: older[k] for k in missing if k in older} if older else {}
+        if len(found) < len(missing):
+            found |= answer([k for k in missing if k not in found])
+        size = sum(map(len, found)) + sum(map(len, found.values())) + self.ENTRY * len(found)
+        if self.size + size <= self.limit:
+            known |= found
+            self.size += size
+            return known
+        self.old, self.new, self.size = known, found, size
+        if size > self.limit:
+            self.new, self.size = {}, 0
+        return known | found
+
+
 def once_per_worker(key: str, make):
-    """``make()``, kept for the tasks to come of the same Python worker; for caches only."""
+    """``make()``, kept for the tasks to come of the same Python worker; for caches only.
+
+    A worker keeps one thing: what an earlier stage kept under another key goes.
+    """
     held = sys.modules.setdefault("_tracewaste_worker", types.ModuleType("_tracewaste_worker")).__dict__
+    held = held.setdefault("held", {})
     if key not in held:
+        held.clear()
         held[key] = make()
     return held[key]
 
