@@ -8,6 +8,7 @@ sequences' room finds in logarithmic time.
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
@@ -16,12 +17,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewaste.llm.tables import binary_text, once_per_worker, row_number, written
+from tracewaste.llm.tables import Remembered, binary_text, once_per_worker, row_number, written
 
 SEQUENCE_TOKENS = 4_096
 GROUP_DOCUMENTS = 4_096
-#: Words held by a worker, half of them from before.
-REMEMBERED = 1_000_000
+#: Bytes of words and their ids held by a worker: whole words, and parts of words.
+WORD_BYTES, PART_BYTES = 64 << 20, 144 << 20
 PIECES_DDL = (
     "piece long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 )
@@ -54,10 +55,13 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int],
 class WordEncoder:
     """Ids of whole texts, word by word: no token of these vocabularies spans white space.
 
-    New words are encoded together, with a word of one token between them that marks their borders.
+    A word of Latin letters with ASCII signs behind it is two tokens' worth of text, each learned once
+    whatever its capitals. New ones are encoded together, with a word of one token between them that
+    marks their borders. What is remembered is bounded in bytes; a word too long to keep is encoded anew.
     """
 
     MARK = "~"
+    SPLIT = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-}]*)").fullmatch
 
     def __init__(self, path: str):
         import os
@@ -66,23 +70,18 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}
+        self.words, self.parts = Remembered(WORD_BYTES), Remembered(PART_BYTES)
         (self.mark,) = self._ids([self.MARK])[0]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[bytes]) -> None:
-        mark, before = self.MARK.encode(), self.before
-        for word in words:
-            if word in before:
-                self.known[word] = before[word]
-        words = [w for w in words if w not in before]
-        plain = [w for w in words if mark not in w]
-        odd = [w for w in words if mark in w]
+    def _encoded(self, parts: list[bytes]) -> dict[bytes, bytes]:
+        mark, out = self.MARK.encode(), {b"": b""}
+        plain = [w for w in parts if w and mark not in w]
+        odd = [w for w in parts if mark in w]
         for word, ids in zip(odd, self._ids([w.decode("utf-8", "replace") for w in odd]), strict=True):
-            self.known[word] = np.array(ids, "<u4").tobytes()
+            out[word] = np.array(ids, "<u4").tobytes()
         for i in range(0, len(plain), 10_000):
             some = plain[i : i + 10_000]
             joined = f" {self.MARK} ".join([w.decode("utf-8", "replace") for w in some])
@@ -91,15 +90,24 @@ class WordEncoder:
             data = ids.tobytes()
             starts = [0, *((ends + 1) * 4).tolist()]
             for word, start, end in zip(some, starts, [*(ends * 4).tolist(), len(data)], strict=True):
-                self.known[word] = data[start:end]
+                out[word] = data[start:end]
+        return out
+
+    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        cores, tails = [], []
+        for found, word in zip(map(self.SPLIT, words), words, strict=True):
+            core, tail = found.groups() if found else (word, b"")
+            if found:
+                core = core.lower() if core.isascii() else core.decode().lower().encode()
+            cores.append(core)
+            tails.append(tail)
+        known = self.parts.of([cores, tails], self._encoded)
+        return {w: known[c] + known[t] for w, c, t in zip(words, cores, tails, strict=True)}
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if len(self.known) >= REMEMBERED // 2:
-            self.known, self.before = {}, self.known
-        known = self.known
         split = [t.split() for t in texts]
-        self._learn(list({w for words in split for w in words if w not in known}))
+        known = self.words.of(split, self._learn)
         return [b"".join([known[w] for w in words]) for words in split]
 
 

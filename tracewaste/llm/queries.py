@@ -6,14 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tracewaste.llm.best_fit import best_fit_documents
 from tracewaste.llm.bpe_table import encoded_digests
 from tracewaste.llm.crf import predict_languages
 from tracewaste.llm.hmm import hmm_scores
 from tracewaste.llm.packing import packed_documents
+from tracewaste.llm.piece_table import fim_digests
 from tracewaste.llm.rules import rule_verdicts
 from tracewaste.llm.separators import byte_bpe, document_token_counts
 from tracewaste.llm.sharding import sharded_documents
 from tracewaste.llm.simhash import near_duplicate_digests
+from tracewaste.llm.spelling import spelling_variants
 from tracewaste.llm.tables import id_crc, read_table
 from tracewaste.llm.topk import nearest
 from tracewaste.llm.url_lists import address_of, domains_of, host_of, temporal_list_join
@@ -113,6 +116,18 @@ def op10_first_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed_documents(read_table(spark, sf_dir, "documents"), WORD_MODEL)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(read_table(spark, sf_dir, "documents"))
+
+
+def op12_fim_piece_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim_digests(read_table(spark, sf_dir, "documents"))
+
+
+def op13_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_documents(read_table(spark, sf_dir, "documents"), WORD_MODEL)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -126,6 +141,9 @@ QUERIES = {
         op8_simhash_components,
         op9_rule_ledger,
         op10_first_fit_packing,
+        op11_spelling_variants,
+        op12_fim_piece_table,
+        op13_best_fit_packing,
     )
 }
 
@@ -210,4 +228,31 @@ ORACLES: dict[str, str] = {
                    WHEN 64 THEN 'few_letters' WHEN 128 THEN 'cut_lines' END AS sole_failure
         FROM f
     """,
+    "op12_fim_piece_table": r"""
+        WITH h AS (
+            SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n,
+                   sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+        ), draws AS (
+            SELECT doc_id, t, n, ('0x' || h[1:8])::BIGINT % (n + 1) AS a, ('0x' || h[9:16])::BIGINT % (n + 1) AS b,
+                   ('0x' || h[17:24])::BIGINT % 100 AS c, ('0x' || h[25:32])::BIGINT % 100 AS d FROM h
+        ), cuts AS (
+            SELECT doc_id, t, n, least(a, b) AS p, greatest(a, b) - least(a, b) AS m,
+                   CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR c >= 90
+                        THEN 'plain' WHEN d < 20 THEN 'spm' ELSE 'psm' END AS form FROM draws
+        ), made AS (
+            SELECT *, CASE form WHEN 'plain' THEN t
+                WHEN 'psm' THEN '<P>' || t[1:p] || '<S>' || t[p + m + 1:] || '<M>' || t[p + 1:p + m]
+                ELSE '<S>' || t[p + m + 1:] || '<P>' || t[1:p] || '<M>' || t[p + 1:p + m] END AS output FROM cuts
+        ), found AS (
+            SELECT *, instr(output, '<P>') AS ip, instr(output, '<S>') AS i_s, instr(output, '<M>') AS im FROM made
+        )
+        SELECT doc_id, n::BIGINT AS n, form,
+               CASE WHEN form <> 'plain' THEN p::BIGINT END AS prefix_chars,
+               CASE WHEN form <> 'plain' THEN m::BIGINT END AS middle_chars,
+               sha256(output) AS output_sha256,
+               sha256(CASE form WHEN 'plain' THEN output
+                   WHEN 'psm' THEN output[ip + 3:i_s - 1] || output[im + 3:] || output[i_s + 3:im - 1]
+                   ELSE output[ip + 3:im - 1] || output[im + 3:] || output[i_s + 3:ip - 1] END) AS restored_sha256
+        FROM found
+    """,
 }
