@@ -118,3 +118,42 @@ def test_blocks_do_not_change_scores(make, monkeypatch):
 
 def test_empty_table(empty):
     assert hmm.hmm_scores(empty, iterations=1).collect() == []
+
+
+@pytest.mark.parametrize("n", [1, 9, 10, 11, 57])
+def test_long_texts_in_segments(monkeypatch, n):
+    """A sequence cut into segments has the likelihood and the expected counts of the whole one."""
+    rng = np.random.default_rng(n)
+    unary = rng.random((n, 3)) + 0.01
+    first, trans = rng.dirichlet(np.ones(3)), rng.dirichlet(np.ones(3), 3)
+    starts, lengths = np.zeros(1, np.int64), np.array([n])
+    alpha, scale = chains.forward(unary, starts, lengths, first, trans)
+    beta, ahead = chains.backward(unary, scale, starts, lengths, trans)
+    moves = chains.expected_transitions(alpha, ahead, starts, lengths, trans)
+    monkeypatch.setattr(chains, "BATCH_TOKENS", 10)
+    scales = [s for _, _, s in chains.forward_segments(lambda part: unary[part], n, first, trans)]
+    assert np.allclose(np.concatenate(scales), scale)
+    state, moved = np.zeros((n, 3)), np.zeros((3, 3))
+    for part, own, some in chains.expected_segments(lambda part: unary[part], n, first, trans):
+        state[part] = own
+        moved += some
+    assert np.allclose(state, alpha * beta) and np.allclose(moved, moves)
+
+
+def test_scores_do_not_depend_on_segments(make, monkeypatch):
+    docs, _ = make(texts(40))
+    whole = sorted(map(str, hmm.hmm_scores(docs).select("doc_id", "n_tokens", F.round("score", 2)).collect()))
+    monkeypatch.setattr(chains, "BATCH_TOKENS", 16)
+    block = hmm.blocks_of(docs, F.lit(False))
+    row = block.filter("word IS NULL").select("held_out", "lengths", "ids", "class_of", "number").first()
+    counts = hmm.corpus_of(hmm.count_words(block))
+    expect = hmm._expect(hmm.start_model(counts))
+    import pyarrow as pa
+
+    batch = pa.RecordBatch.from_pylist([row.asDict()])
+    (small,) = expect([batch])
+    monkeypatch.setattr(chains, "BATCH_TOKENS", 10**6)
+    (large,) = expect([batch])
+    assert small.column(0) == large.column(0)
+    assert all(np.allclose(small.column(i), large.column(i), rtol=1e-3, atol=1e-3) for i in range(1, 9))
+    assert len(whole) == docs.count()

@@ -1,4 +1,8 @@
+import base64
+import random
+
 import corpus_pipeline as p
+import numpy as np
 import pytest
 from conftest import DDL
 from pyspark.sql import functions as F
@@ -47,13 +51,42 @@ def test_clean_texts_of_several_languages_stay(spark, documents, clean, size):
     assert {NEW + i for i in range(len(some))} <= got
 
 
-def test_unsure_words_are_rejected(make, monkeypatch, spark, documents):
-    sure = {r["row"]["doc_id"]: r["sure"] for r in crf.with_languages(documents).collect()}
-    assert min(sure.values()) >= 0 and max(sure.values()) <= 1
-    cut = sorted(sure.values())[len(sure) // 10]
-    monkeypatch.setattr(p, "LEAST_SURE", cut)
-    got = {r["doc_id"] for r in p.language(spark, documents, SF).collect()}
-    assert got == {i for i, s in sure.items() if s >= cut and s > 0}
+POLISH = "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw są obdarzeni rozumem i sumieniem"
+FINNISH = "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan heille on annettu järki ja omatunto"
+RUSSIAN = "Все люди рождаются свободными и равными в своем достоинстве и правах они наделены разумом и совестью"
+
+
+def foreign_texts():
+    rng = random.Random(3)
+    letters = [
+        " ".join("".join(rng.choice("bcdfghjklmnpqrstvwxz0123456789") for _ in range(rng.randint(3, 10))) for _ in range(80))
+        for _ in range(20)
+    ]
+    encoded = [base64.b64encode(rng.randbytes(600)).decode() for _ in range(10)]
+    lines = [" ".join(base64.b64encode(rng.randbytes(57)).decode() for _ in range(12)) for _ in range(10)]
+    return [*letters, *encoded, *lines, POLISH, FINNISH, RUSSIAN, RUSSIAN.upper()]
+
+
+def test_texts_of_no_learned_language_go(spark, documents):
+    """Unlearned languages, random letters and encoded data are rejected at the stage's own threshold."""
+    some = foreign_texts()
+    docs = documents.unionByName(spark.createDataFrame([(NEW + i, t, None, None, None) for i, t in enumerate(some)], DDL))
+    got = {r["doc_id"] for r in p.language(spark, docs, SF).select("doc_id").collect()}
+    assert not {i for i in got if i >= NEW}
+    assert len(got) > 0.98 * documents.count()
+
+
+def test_familiar_shares_against_a_loop():
+    texts = [b"abc abd", b"", b"xyz abc", "ÉTÉ été".encode(), b"..."]
+    words = crf.words_of(texts)
+    seen = crf.known_trigrams(words, np.array([True, False, True, True, False]))
+    by_text = [set(words.trigrams[a:b].tolist()) for a, b in ((0, 6), (6, 12), (12, 22))]
+    held = {t for s in by_text for t in s if sum(t in other for other in by_text) >= 2}
+    assert set(np.flatnonzero(seen).tolist()) == held
+    shares = crf.familiar_shares(seen, words)
+    granted = crf.GRANTED_BYTES
+    # "abc" is in two windows, the capitals are the same word, but in one window only.
+    assert shares.tolist() == [(3 + granted) / (6 + granted), 1, (3 + granted) / (6 + granted), granted / (10 + granted), 1]
 
 
 def test_no_labels(make, spark):

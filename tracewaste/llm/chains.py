@@ -10,8 +10,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
-#: Tokens of one batch; bounds the memory of a recursion to a few dozen bytes a token and state.
-BATCH_TOKENS = 1_000_000
+#: Tokens of one batch or of one segment of a long sequence; bounds the memory of a recursion.
+BATCH_TOKENS = 250_000
 
 
 def batches(lengths: np.ndarray) -> Iterator[np.ndarray]:
@@ -53,10 +53,17 @@ def forward(unary, starts, lengths, first, trans):
     return alpha, scale
 
 
-def backward(unary, scale, starts, lengths, trans):
-    """Scaled backward recursion: beta, and unary * beta / scale, which the transitions need."""
+def backward(unary, scale, starts, lengths, trans, last=None):
+    """Scaled backward recursion: beta, and unary * beta / scale, which the transitions need.
+
+    ``last`` is the beta of the sequences' last tokens, 1 if they end there.
+    """
     beta = np.ones_like(unary)
     ahead = unary / scale[:, None]
+    if last is not None:
+        ends = starts + lengths - 1
+        beta[ends] = last
+        ahead[ends] *= last
     back = np.ascontiguousarray(trans.T)
     counts = running(lengths)
     for t in range(len(counts) - 2, -1, -1):
@@ -73,3 +80,46 @@ def expected_transitions(alpha, ahead, starts, lengths, trans) -> np.ndarray:
     inner[starts + lengths - 1] = False
     at = np.flatnonzero(inner)
     return trans * (alpha[at].T @ ahead[at + 1]).astype(np.float64)
+
+
+def segments(n: int) -> list[slice]:
+    """A long sequence cut into segments of BATCH_TOKENS."""
+    return [slice(i, min(n, i + BATCH_TOKENS)) for i in range(0, n, BATCH_TOKENS)]
+
+
+def forward_segments(unary_of, n: int, first, trans):
+    """(segment, alpha, scale) of one long sequence in turn; ``unary_of(segment)`` gives its unaries.
+
+    Only the last alpha of a segment is carried into the next.
+    """
+    start = first
+    for part in segments(n):
+        length = np.array([part.stop - part.start])
+        alpha, scale = forward(unary_of(part), np.zeros(1, np.int64), length, start, trans)
+        yield part, alpha, scale
+        start = alpha[-1] @ trans
+
+
+def expected_segments(unary_of, n: int, first, trans):
+    """(segment, state probabilities, expected transitions) of one long sequence, last segment first.
+
+    The forward pass keeps what each segment starts from, one row a segment; the segments' recursions
+    are then run again from there, backwards, so that one segment is held at a time.
+    """
+    parts, starts, start = segments(n), [], first
+    for part, alpha, _ in forward_segments(unary_of, n, first, trans):
+        starts.append(start)
+        start = alpha[-1] @ trans
+        del part
+    zero, last, following = np.zeros(1, np.int64), None, None
+    for part, start in zip(reversed(parts), reversed(starts), strict=True):
+        unary, length = unary_of(part), np.array([part.stop - part.start])
+        alpha, scale = forward(unary, zero, length, start, trans)
+        if following is not None:
+            last = (following @ trans.T)[None, :]
+        beta, ahead = backward(unary, scale, zero, length, trans, last)
+        moves = expected_transitions(alpha, ahead, zero, length, trans)
+        if following is not None:
+            moves = moves + trans * np.outer(alpha[-1], following).astype(np.float64)
+        following = ahead[0].copy()
+        yield part, alpha * beta, moves

@@ -5,8 +5,13 @@ lexicons hold it. Learned transitions tie neighbouring words, so that a label ch
 switches and not at every borrowed word. Forward-backward gives each word's label probabilities; a
 text's language is the one with the largest mean over its words.
 
-The field is fitted on a bounded sample of the labelled rows: at most ``SAMPLE_ROWS`` rows a language
-of the ``LANGUAGES`` most frequent, one window of ``SAMPLE_BYTES`` of each. Prediction reads whole texts.
+The field is fitted on a bounded sample of the labelled rows: every labelled language has an equal share
+of ``SAMPLE_TOTAL`` rows, at most ``SAMPLE_ROWS``, with one window of ``SAMPLE_BYTES`` of each. Prediction
+reads whole texts.
+
+What is of no learned language shows by its words: a word is familiar if all its trigrams were seen in
+several windows of the sample. A text whose share of familiar words, by bytes, is under half of what held-out
+windows of the sample have is foreign, be it another language, random letters or encoded data.
 """
 
 from __future__ import annotations
@@ -21,9 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracewaste.llm import chains
-from tracewaste.llm.tables import appended, binary_text
+from tracewaste.llm.tables import appended, binary_text, by_bytes, give_back
 
-LANGUAGES = 64
+SAMPLE_TOTAL = 25_600
 SAMPLE_ROWS = 400
 SAMPLE_BYTES = 1_500
 LEXICON = 2_000
@@ -34,8 +39,12 @@ EPOCHS = 6
 BATCH_SEQUENCES = 256
 RATE = 0.3
 #: Bytes of text whose features are looked up at a time, for one language.
-FEATURE_BYTES = 8_000_000
+FEATURE_BYTES = 2_000_000
 UNDETERMINED = "und"
+#: Windows that make a trigram known, and bytes a text is granted, so that one or two odd words do not decide.
+SEEN_WINDOWS, GRANTED_BYTES = 2, 16
+#: Bytes that a word counts for at most in that share, so that one key or number does not outweigh a text.
+WORD_BYTES = 24
 PREDICTIONS = pa.schema(
     [
         ("doc_id", pa.int64()),
@@ -74,7 +83,11 @@ def _bucket(code: np.ndarray, salt: int) -> np.ndarray:
 
 
 def words_of(texts: list[bytes]) -> Words:
-    data = np.frombuffer(b" " + b" ".join(t.lower() for t in texts) + b" ", np.uint8)
+    data = np.frombuffer(bytearray(b" " + b" ".join(t.lower() for t in texts) + b" "), np.uint8)
+    # Capitals from U+00C0 to U+00DE, two bytes each.
+    second = np.flatnonzero(data[:-1] == 0xC3) + 1
+    second = second[(data[second] >= 0x80) & (data[second] <= 0x9E) & (data[second] != 0x97)]
+    data[second] += 0x20
     space = _SPACE[data]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1
     first, last = edge[::2], edge[1::2]  # a word is data[first:last]
@@ -113,6 +126,12 @@ class Field:
     holds: np.ndarray  # lexicon word x language
     lexical: np.ndarray  # language of the lexicon x language
     trans: np.ndarray  # language x language, as logarithms
+    seen: np.ndarray  # which buckets of trigrams are known
+    least: float  # share of familiar words below which a text is foreign
+
+    def familiar(self, words: Words) -> np.ndarray:
+        """Share of familiar words of each text, by bytes, GRANTED_BYTES more counted as such; 1 without words."""
+        return familiar_shares(self.seen, words)
 
     def scores(self, words: Words) -> np.ndarray:
         """(word, language) sums of weights."""
@@ -133,6 +152,36 @@ class Field:
         return found, at[found]
 
 
+def familiar_shares(seen: np.ndarray, words: Words) -> np.ndarray:
+    """Share of each text's bytes in words that is in familiar ones."""
+    known, all_ = np.zeros(len(words.lengths)), np.zeros(len(words.lengths))
+    some = np.flatnonzero(words.lengths)
+    if len(some):
+        sizes = np.minimum(np.diff(np.append(words.starts, len(words.trigrams))), WORD_BYTES)
+        whole = np.logical_and.reduceat(seen[words.trigrams], words.starts)
+        starts = np.concatenate([[0], np.cumsum(words.lengths)])[:-1][some]
+        known[some] = np.add.reduceat(sizes * whole, starts)
+        all_[some] = np.add.reduceat(sizes, starts)
+    return (known + GRANTED_BYTES) / (all_ + GRANTED_BYTES)
+
+
+def known_trigrams(words: Words, windows: np.ndarray) -> np.ndarray:
+    """Which buckets SEEN_WINDOWS of the chosen windows hold, or one if there are fewer windows."""
+    owner = np.repeat(np.repeat(np.arange(len(words.lengths)), words.lengths), np.diff(np.append(words.starts, len(words.trigrams))))
+    pairs = np.unique(owner[windows[owner]] * BUCKETS + words.trigrams[windows[owner]])
+    held = np.bincount(pairs % BUCKETS, minlength=BUCKETS)
+    return held >= min(SEEN_WINDOWS, max(1, int(windows.sum())))
+
+
+def least_familiar(words: Words) -> float:
+    """Half the median share of familiar words that one half of the windows has by the other half's trigrams."""
+    odd = np.arange(len(words.lengths)) % 2 == 1
+    if not (odd & (words.lengths > 0)).any() or not (~odd & (words.lengths > 0)).any():
+        return 0.0
+    shares = familiar_shares(known_trigrams(words, ~odd), words)
+    return float(np.median(shares[odd & (words.lengths > 0)])) / 2
+
+
 def label_probabilities(field: Field, words: Words, scores: np.ndarray | None = None):
     """Forward-backward: (probability of each label of each word, expected transitions)."""
     k = len(field.languages)
@@ -201,6 +250,8 @@ def fit(texts: list[bytes], langs: list[str], seed: int = 5) -> Field | None:
         holds,
         np.eye(k, dtype=np.float32),
         np.log(np.where(np.eye(k, dtype=bool), 0.9, 0.1 / max(1, k - 1))),
+        known_trigrams(words, np.ones(len(texts), bool)),
+        least_familiar(words),
     )
     squares = [np.full_like(x, 1e-3) for x in (field.weights, field.lexical, field.trans)]
     sizes = np.diff(np.append(words.starts, len(words.trigrams)))
@@ -238,17 +289,20 @@ def fit(texts: list[bytes], langs: list[str], seed: int = 5) -> Field | None:
 def training_sample(docs: DataFrame) -> tuple[list[bytes], list[str]]:
     """A bounded sample of the labelled rows on the driver: rows by hash, one window of each text.
 
-    ``docs`` has key, text (binary) and lang. At most LANGUAGES x SAMPLE_ROWS windows are collected.
+    ``docs`` has key, text (binary) and lang. At most SAMPLE_TOTAL windows are collected, or one for each
+    language if there are more of those. Rows are drawn by a hash of the id and the text, so rows with
+    null or equal ids are drawn one by one; equal rows are drawn together, up to the bound.
     """
     labelled = docs.filter(F.col("lang").isNotNull() & (F.length("text") > 0))
     counts = {
         r["lang"]: r["n"]
-        for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()
+        for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).collect()
     }
     if not counts:
         return [], []
-    share = F.create_map(*(x for lang, n in counts.items() for x in (F.lit(lang), F.lit(2.0 * SAMPLE_ROWS / n))))
-    u = F.shiftrightunsigned(F.xxhash64(F.lit("crf"), "key"), 11).cast("double") * 2.0**-53
+    rows_each = max(1, min(SAMPLE_ROWS, SAMPLE_TOTAL // len(counts)))
+    share = F.create_map(*(x for lang, n in counts.items() for x in (F.lit(lang), F.lit(2.0 * rows_each / n))))
+    u = F.shiftrightunsigned(F.xxhash64(F.lit("crf"), "key", F.substr("text", F.lit(1), F.lit(SAMPLE_BYTES))), 11).cast("double") * 2.0**-53
     room = F.greatest(F.lit(1), F.length("text") - SAMPLE_BYTES)
     window = F.substr("text", 1 + F.pmod(F.xxhash64("key"), room).cast("int"), F.lit(SAMPLE_BYTES))
     order = Window.partitionBy("lang").orderBy("u", "window")
@@ -257,7 +311,7 @@ def training_sample(docs: DataFrame) -> tuple[list[bytes], list[str]]:
         .filter(F.col("u") < F.coalesce(F.element_at(share, F.col("lang")), F.lit(-1.0)))
         .select("lang", "u", window.alias("window"))
         .withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= SAMPLE_ROWS)
+        .filter(F.col("rank") <= rows_each)
         .select("lang", "window")
         .collect()
     )
@@ -275,10 +329,7 @@ def label_texts(field: Field | None, texts: list[bytes]):
 
 
 def _labelled(field: Field | None, texts: list[bytes]):
-    """label_texts, and how sure the field is of each text's words, whatever their languages.
-
-    That is the mean of each word's largest label probability: 0 without a letter, 1 without a field.
-    """
+    """label_texts, and whether each text has a letter and is not foreign; without a field none is foreign."""
     n = len(texts)
     pred = np.full(n, UNDETERMINED, object)
     score, count, switches = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
@@ -287,7 +338,7 @@ def _labelled(field: Field | None, texts: list[bytes]):
     for i in np.flatnonzero(count):
         if not re.search(rb"[A-Za-z]", texts[i]) and not _has_letter(texts[i]):
             count[i] = 0
-    sure = np.where(count > 0, 1.0, 0.0)
+    native = count > 0
     if field is not None and len(words.starts):
         probability, _ = label_probabilities(field, words)
         some = np.flatnonzero(words.lengths)
@@ -300,12 +351,10 @@ def _labelled(field: Field | None, texts: list[bytes]):
         switches[some] = np.add.reduceat(changed.astype(np.int64), starts)
         pred[some] = np.array(field.languages, object)[best]
         score[some] = np.minimum(1.0, mean[np.arange(len(some)), best])
-        largest = np.add.reduceat(probability.max(axis=1).astype(np.float64), starts)
-        sure[some] = np.minimum(1.0, largest / words.lengths[some])
+        native &= field.familiar(words) >= field.least
         blank = count == 0
-        sure[blank] = 0.0
         pred[blank], score[blank], switches[blank] = UNDETERMINED, 0.0, 0
-    return pred, score, count, switches, sure
+    return pred, score, count, switches, native
 
 
 def _groups(field: Field | None, texts: list[bytes]) -> list[np.ndarray]:
@@ -318,14 +367,15 @@ def _groups(field: Field | None, texts: list[bytes]) -> list[np.ndarray]:
 def _predict(field: Field | None):
     def run(batches):
         for batch in batches:
-            ids, held, texts = batch.column(0), batch.column(1), batch.column(2).to_pylist()
-            for rows in _groups(field, texts):
-                pred, score, count, switches = label_texts(field, [texts[i] for i in rows])
+            size = FEATURE_BYTES // max(1, len(field.languages) if field else 1)
+            for at, n in by_bytes(batch.column(2), size):
+                pred, score, count, switches = label_texts(field, batch.column(2).slice(at, n).to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(rows)), held.take(pa.array(rows)), pa.array(pred, pa.string()),
+                    [batch.column(0).slice(at, n), batch.column(1).slice(at, n), pa.array(pred, pa.string()),
                      pa.array(score), pa.array(count), pa.array(switches)],
                     schema=PREDICTIONS,
                 )
+        give_back()
 
     return run
 
@@ -334,8 +384,8 @@ def _append_languages(field: Field | None):
     def make():
         def run(texts: list[bytes]):
             parts = [_labelled(field, [texts[i] for i in rows]) for rows in _groups(field, texts)]
-            pred, score, sure = ([x for p in parts for x in p[i]] for i in (0, 1, 4))
-            return [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(sure, pa.float64())]
+            pred, score, native = ([x for p in parts for x in p[i]] for i in (0, 1, 4))
+            return [pa.array(pred, pa.string()), pa.array(score, pa.float64()), pa.array(native, pa.bool_())]
 
         return run
 
@@ -343,18 +393,20 @@ def _append_languages(field: Field | None):
 
 
 def with_languages(docs: DataFrame) -> DataFrame:
-    """(row, lang_pred, score, sure): whole rows of ``docs`` as a struct; every labelled row may train.
+    """(row, lang_pred, score, native): whole rows of ``docs`` as a struct; every labelled row may train.
 
-    ``sure`` does not ask for one language: it is high for a text that switches between languages the field
-    tells apart, 0 for a text without a letter, and 1 for any other if no labelled row can train.
+    ``native`` does not ask for one language: it holds for a text whose words are of learned languages,
+    one or several. It does not for a text without a letter, null and empty ones included, nor for a
+    foreign one; if no labelled row can train, it holds for every text with a letter. Each row is
+    answered, repeated ones too, texts are read whole, and the struct keeps clashing names apart.
     """
     slim = docs.select(
         F.col("doc_id").cast("long").alias("key"),
         binary_text(F.col("text")).alias("text"),
         F.col("lang").cast("string").alias("lang"),
     )
-    types = "lang_pred string, score double, sure double"
-    return appended(docs, F.col("text"), _append_languages(fit(*training_sample(slim))), types)
+    types = "lang_pred string, score double, native boolean"
+    return appended(docs, "text", _append_languages(fit(*training_sample(slim))), types)
 
 
 def predict_languages(docs: DataFrame, held_out: Column) -> DataFrame:
@@ -363,7 +415,7 @@ def predict_languages(docs: DataFrame, held_out: Column) -> DataFrame:
     A null text, an empty one and one without a letter give `und` with score 0, as does every text if no
     labelled row can train. The score is the mean probability of the language over the text's words with
     a letter. A null language does not train; ties go to the first language in order. Repeated rows are
-    answered each, and further columns play no part. The id takes no part in a prediction; it only
+    answered each, texts of any length are read whole, and further columns play no part. The id takes no part in a prediction; it only
     decides by hash which rows are in the sample.
     """
     slim = docs.select(

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracewaste.llm import chains
-from tracewaste.llm.tables import binary_text, id_crc, ragged, row_number, written
+from tracewaste.llm.tables import binary_text, give_back, id_crc, ragged, row_number, written
 
 STATES = 8
 CLASSES = 1 << 14
@@ -112,6 +112,8 @@ def _encode(batches):
                 words, docs, tokens = {END: 0}, [], 0
     if docs:
         yield from block()
+    del words, docs
+    give_back()
 
 
 def blocks_of(docs: DataFrame, held_out) -> DataFrame:
@@ -216,6 +218,17 @@ def _class_batches(block: Block, chosen: np.ndarray):
         yield chosen[some], block.class_of[block.ids[at]], first, lengths[some]
 
 
+def _long_classes(block: Block, chosen: np.ndarray):
+    """The classes of each chosen document's tokens."""
+    ends = np.cumsum(block.lengths)
+    for i in chosen:
+        yield block.class_of[block.ids[ends[i] - block.lengths[i] : ends[i]]]
+
+
+def _unaries(model: Model, classes: np.ndarray):
+    return lambda part: model.unary(classes[part])
+
+
 def _expect(model: Model):
     def run(batches):
         k = len(model.first)
@@ -224,7 +237,16 @@ def _expect(model: Model):
         for batch in batches:
             for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 block = _block(*row)
-                for _, classes, starts, lengths in _class_batches(block, np.flatnonzero(~block.held_out)):
+                train = np.flatnonzero(~block.held_out)
+                short = block.lengths[train] <= chains.BATCH_TOKENS
+                for classes in _long_classes(block, train[~short]):
+                    unary_of = _unaries(model, classes)
+                    for part, state, moves in chains.expected_segments(unary_of, len(classes), first, trans):
+                        rows[CLASSES + 1 : -1] += moves
+                        for s in range(k):
+                            rows[: CLASSES + 1, s] += np.bincount(classes[part], state[:, s], CLASSES + 1)
+                        rows[-1] += state[0] if part.start == 0 else 0
+                for _, classes, starts, lengths in _class_batches(block, train[short]):
                     unary = model.unary(classes)
                     alpha, scale = chains.forward(unary, starts, lengths, first, trans)
                     beta, ahead = chains.backward(unary, scale, starts, lengths, trans)
@@ -233,6 +255,7 @@ def _expect(model: Model):
                     for s in range(k):
                         rows[: CLASSES + 1, s] += np.bincount(classes, alpha[:, s], CLASSES + 1)
                     rows[-1] += alpha[starts].sum(axis=0)
+        give_back()
         some = np.flatnonzero(rows.any(axis=1))
         yield pa.RecordBatch.from_arrays(
             [pa.array(some.astype(np.int32)), *(pa.array(rows[some, s]) for s in range(k))],
@@ -286,7 +309,12 @@ def _score(model: Model, corpus: Corpus):
             in_class = logs - class_norm[block.class_of]
             base = np.add.reduceat(logs[block.ids], starts) - block.lengths * base_norm
             score = np.add.reduceat(in_class[block.ids], starts)
-            for chosen, classes, first_of, lengths in _class_batches(block, np.arange(len(starts))):
+            short = block.lengths <= chains.BATCH_TOKENS
+            for i in np.flatnonzero(~short):
+                (classes,) = _long_classes(block, [i])
+                for _, _, scale in chains.forward_segments(_unaries(model, classes), len(classes), first, trans):
+                    score[i] += np.log10(scale.astype(np.float64)).sum()
+            for chosen, classes, first_of, lengths in _class_batches(block, np.flatnonzero(short)):
                 _, scale = chains.forward(model.unary(classes), first_of, lengths, first, trans)
                 score[chosen] += np.add.reduceat(np.log10(scale.astype(np.float64)), first_of)
             parts.append(
@@ -302,6 +330,7 @@ def _score(model: Model, corpus: Corpus):
                     }
                 )
             )
+        give_back()
         return pa.concat_tables(parts)
 
     return run
@@ -325,7 +354,8 @@ def hmm_scores(docs: DataFrame, states: int = STATES, iterations: int = ITERATIO
 
     Documents with crc32(doc_id as text) mod 7 = 2 are held out; a null id counts as the empty text.
     A null or empty text is the end token alone. Repeated rows are scored each, and counted each if they
-    train. Without training documents every class is equally likely. Further columns play no part.
+    train. A text of any length is scored whole, a long one in segments that carry the state over. Without
+    training documents every class is equally likely. Further columns play no part.
     """
     blocks = blocks_of(docs, id_crc(F.col("doc_id")) % 7 == 2)
     counts = count_words(blocks)

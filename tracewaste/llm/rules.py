@@ -93,7 +93,7 @@ def measure(text: bytes) -> tuple[int, ...]:
 
 def measured(docs: DataFrame) -> DataFrame:
     """(row, measures, failed): whole rows of ``docs`` as a struct, with their ledger entries."""
-    return appended(docs, F.col("text"), _append_measures, MEASURES_TYPES).withColumn("failed", failure_bits())
+    return appended(docs, "text", _append_measures, MEASURES_TYPES).withColumn("failed", failure_bits())
 
 
 def _append_measures():

@@ -217,7 +217,7 @@ def least_of_each(docs: DataFrame, firsts: DataFrame, named: DataFrame, append_p
         "simhash-kept",
     )
     # Texts go through one shuffle, on print and id: copies share a print only, so they do not meet.
-    prints = appended(docs, F.col("text"), append_prints, "fp long")
+    prints = appended(docs, "text", append_prints, "fp long")
     keyed = prints.withColumn("key", F.xxhash64("fp", F.col("row.doc_id").cast("long")))
     wanted = kept.withColumn("kept_key", F.xxhash64("kept", "kept_id"))
     same = (F.col("fp") == F.col("kept")) & F.col("row.doc_id").eqNullSafe(F.col("kept_id"))

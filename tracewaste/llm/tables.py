@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 import uuid
@@ -9,6 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,19 +40,49 @@ def binary_text(text: Column) -> Column:
     return F.coalesce(text.cast("string"), F.lit("")).cast("binary")
 
 
-def appended(df: DataFrame, text: Column, make, types: str) -> DataFrame:
+#: Bytes of texts turned into Python objects at a time.
+PART_BYTES = 4 << 20
+
+
+def by_bytes(texts: pa.Array, limit: int = PART_BYTES) -> Iterator[tuple[int, int]]:
+    """(offset, length) of neighbouring rows whose texts hold about ``limit`` bytes together; a text is never cut."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < len(texts):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        yield at, stop - at
+        at = stop
+
+
+def give_back() -> None:
+    """Return freed memory to the machine, so that a kept worker does not hold the most it ever used."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def appended(df: DataFrame, text: str, make, types: str) -> DataFrame:
     """``df``'s rows as one struct column ``row``, and what ``make()(texts)`` says of each one's text.
 
     ``make()`` is called once a task and gives a function from a list of texts (bytes, a null text being
-    empty) to Arrow arrays of the named ``types``. The struct keeps clashing names apart.
+    empty) to Arrow arrays of the named ``types``. The struct keeps clashing names apart; the text is read
+    from it, not sent twice, and a few megabytes of texts are Python objects at a time.
     """
-    whole = df.select(F.struct("*").alias("row"), binary_text(text).alias("text"))
+    whole = df.select(F.struct("*").alias("row"))
+    place = df.columns.index(text)
     names = ["row", *(t.split()[0] for t in types.split(", "))]
 
     def run(batches):
         say = make()
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), *say(batch.column(1).to_pylist())], names=names)
+            rows = batch.column(0)
+            texts = rows.field(place).cast(pa.binary())
+            for at, n in by_bytes(texts):
+                some = [t or b"" for t in texts.slice(at, n).to_pylist()]
+                yield pa.RecordBatch.from_arrays([rows.slice(at, n), *say(some)], names=names)
+        give_back()
 
     return whole.mapInArrow(run, f"row {whole.schema['row'].dataType.simpleString()}, {types}")
 
