@@ -52,9 +52,10 @@ def test_cursor_pages(spark):
         {"runs": [run(id="2")], "cursors": {"next": None}},
         {"runs": [run(id="3")], "cursors": {"next": "late"}},
     ]
-    result = analyze_langsmith(spark, pages_of(spark, *bodies), "demo", dry_run=True)
-    row = result.summary.first()
-    assert (row["fetched_traces"], row["pages_fetched"]) == (2, 2)
+    for options, wanted in (({}, (3, 3)), ({"stop_at_last_page": True}, (2, 2))):
+        result = analyze_langsmith(spark, pages_of(spark, *bodies), "demo", dry_run=True, **options)
+        row = result.summary.first()
+        assert (row["fetched_traces"], row["pages_fetched"]) == wanted
 
 
 def test_ledger_shapes(spark):

@@ -12,6 +12,8 @@ from tracewaste.functions.times import parse_bound
 from tracewaste.operators.chunks import delivery_chunks, wire_json
 from tracewaste.operators.rules import RULES
 from tracewaste.operators.sessions import session_profile, session_rank
+from tracewaste.plans import analyze as analyze_module
+from tracewaste.plans.analyze import delivered
 from tracewaste.plans.reports import firings_report, savings_report, status_report
 from tracewaste.plans.summary import summary_row, totals_by_type
 from tracewaste.schemas import EVENTS
@@ -305,10 +307,38 @@ def test_delivery_keeps_other_projects_and_runs(spark, tmp_path):
     for project, run in (("two", "r1"), ("one/1", "r2"), ("one/1", "r2")):
         again = analyze(spark, pages, "helicone", project, out=out, chunk_size=1, run_id=run)
         assert again.payloads.count() == 2
-    found = spark.read.json(out).groupBy("project", "run").count().collect()
+    found = delivered(spark, out).groupBy("project", "run").count().collect()
     assert sorted(map(tuple, found)) == [("one/1", "r1", 2), ("one/1", "r2", 2), ("two", "r1", 2)]
 
 
+def test_a_run_is_replaced_as_a_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+
+    def chunks(n):
+        rows = [(i, "demo", 1, f"body{n}-{i}") for i in range(n)]
+        return spark.createDataFrame(rows, "chunk_id BIGINT, project STRING, n BIGINT, body STRING")
+
+    def bodies(*where):
+        return sorted(r["body"] for r in analyze_module.delivered(spark, out, *where).collect())
+
+    for n in (3, 1, 0, 2):
+        got = analyze_module.deliver(chunks(n), out, "demo", "r")
+        assert got.count() == n and bodies("demo", "r") == [f"body{n}-{i}" for i in range(n)]
+    analyze_module.deliver(chunks(4), out, "other", "r")
+
+    def crash(*args):
+        raise RuntimeError("lost between files and marker")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(analyze_module, "_commit", crash)
+        with pytest.raises(RuntimeError):
+            analyze_module.deliver(chunks(5), out, "demo", "r")
+        with pytest.raises(RuntimeError):
+            analyze_module.deliver(chunks(5), out, "demo", "never")
+    assert bodies("demo") == ["body2-0", "body2-1"] and len(bodies()) == 6
+    assert bodies("demo", "never") == []
+
+
 def test_response_totals(spark):
     bodies = ['{"accepted": 1, "rejected": 0}', '{"accepted": "4"}', "{}", "broken", "[1]"]
     responses = spark.createDataFrame([(b,) for b in bodies], "body STRING")

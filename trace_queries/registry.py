@@ -35,11 +35,11 @@ from tracewaste.operators.normalize import calls_of, normalize_records, rejected
 from tracewaste.operators.rules import RULES, RuleContext
 from tracewaste.operators.sessions import session_count, session_profile, session_rank
 from tracewaste.operators.trailing import AT, COST, FLAG, SEQ, trailing_window
-from tracewaste.plans.analyze import Source, analyze, analyze_many, deliver
+from tracewaste.plans.analyze import Source, analyze, analyze_many, deliver, delivered
 from tracewaste.plans.replay import replay
 from tracewaste.plans.reports import firings_report, savings_report, status_report
 from tracewaste.plans.summary import burn_by_type, events_by_type, total_burn, totals_by_type
-from tracewaste.session import ensure_checkpoint_dir
+from tracewaste.session import ensure_checkpoint_dir, write_table
 from tracewaste.sources.pages import (
     page_ledger,
     parse_pages,
@@ -970,11 +970,24 @@ SENT_AT = """CASE WHEN at_us % 1000000 = 0 THEN strftime(make_timestamp(at_us),
 SELECT ordinal // 50 AS chunk_id, ordinal % 50 AS place, type, session AS session_id, {SENT_AT} AS raised_at
 FROM ordered""")
 def delivered_batches(spark, sf_dir):
-    """Batches written to the shared folder and read back, beside those of another project."""
+    """Batches of all of a project's runs, read back from the shared folder.
+
+    One run is delivered twice, at first with events of one rule only, and another again without any;
+    another project's run lies beside them.
+    """
     events, ranks = _delivered(spark, sf_dir)
     out = f"{ensure_checkpoint_dir(spark)}/delivered-{uuid.uuid4().hex}"
-    mine = deliver(delivery_chunks(events, ranks, PROJECT), out, PROJECT, "run")
+    events, ranks = write_table(events, "to-deliver"), write_table(ranks, "ranks")
+    some = delivery_chunks(events.filter("type = 'retry_storm'"), ranks, PROJECT)
+    for run, batches in (
+        ("run", some),
+        ("taken-back", some),
+        ("run", delivery_chunks(events, ranks, PROJECT)),
+        ("taken-back", some.limit(0)),
+    ):
+        deliver(batches, out, PROJECT, run)
     deliver(delivery_chunks(events.limit(3), ranks, "other"), out, "other", "run")
+    mine = delivered(spark, out, PROJECT)
     sent = F.from_json("body", "project STRING, events ARRAY<STRUCT<type: STRING, session_id: STRING, raised_at: STRING>>")
     return mine.select("chunk_id", F.posexplode(sent["events"]).alias("place", "event")).select(
         "chunk_id", F.col("place").cast("bigint").alias("place"), "event.type", "event.session_id", "event.raised_at"

@@ -8,6 +8,7 @@ from tracewaste.plans.analyze import (
     analyze_langfuse,
     analyze_langsmith,
     analyze_many,
+    delivered,
 )
 from tracewaste.plans.replay import replay
 
@@ -19,5 +20,6 @@ __all__ = [
     "analyze_langfuse",
     "analyze_langsmith",
     "analyze_many",
+    "delivered",
     "replay",
 ]

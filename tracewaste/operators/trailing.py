@@ -8,10 +8,13 @@ frame for each row. Instead each row enters the window at its own time and
 leaves it one microsecond after ``at + span``, which turns every measure into
 a running sum over one sorted pass.
 
-Ordinary keys take one hash shuffle. Keys of many rows are counted exactly and
-take a range shuffle on ``(key, time, seq)`` instead, which cuts a single key
-into many partitions; each partition then starts from the totals carried over
-from the earlier ones. Both paths return the same rows.
+Ordinary keys take one hash shuffle. One sort in arrival order and a lag tell which rows fire at all: those
+whose ``min_calls - 1``-th predecessor is not too old. Only the keys of such rows enter and leave windows,
+in the same partitions. Keys of many rows are counted exactly and take a range shuffle on ``(key, time,
+seq)`` instead, which cuts a single key into many partitions; each partition then starts from the totals
+carried over from the earlier ones. Both paths return the same rows.
+
+The rows are written once; the count of keys and the windows read the written table.
 """
 
 from __future__ import annotations
@@ -22,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tracewaste.session import cut_lineage
+from tracewaste.session import cut_lineage, written_rows
 
 # A key below this many rows is left to a single task.
 HOT_ROWS = 1_000_000
@@ -64,11 +67,21 @@ def _deltas() -> dict:
     }
 
 
-def _ordinary_path(rows: DataFrame, keys: list[str], span_us: int) -> DataFrame:
+def _firing_keys(rows: DataFrame, keys: list[str], span_us: int, min_calls: int) -> DataFrame:
+    """All rows of the keys that have a full window somewhere, in the partitions of the keys."""
+    placed = rows.repartition(*keys)
+    if min_calls <= 1:
+        return placed
     arrival = W.partitionBy(*keys).orderBy(AT, SEQ)
-    moves = _with_exits(
-        rows.repartition(*keys).withColumn("next_cost", F.lead(COST).over(arrival)), span_us
-    )
+    full = F.coalesce(F.col(AT) - F.lag(AT, min_calls - 1).over(arrival) <= span_us, F.lit(False))
+    fires = F.max("full").over(W.partitionBy(*keys))
+    return placed.withColumn("full", full).withColumn("fires", fires).filter("fires").drop("full", "fires")
+
+
+def _ordinary_path(rows: DataFrame, keys: list[str], span_us: int, min_calls: int) -> DataFrame:
+    arrival = W.partitionBy(*keys).orderBy(AT, SEQ)
+    firing = _firing_keys(rows, keys, span_us, min_calls)
+    moves = _with_exits(firing.withColumn("next_cost", F.lead(COST).over(arrival)), span_us)
     running = (
         W.partitionBy(*keys)
         .orderBy("step_at", "step", SEQ)
@@ -81,9 +94,7 @@ def _ordinary_path(rows: DataFrame, keys: list[str], span_us: int) -> DataFrame:
     return moves.withColumns(measured).filter("step = 1").drop("step_at", "step", "next_cost")
 
 
-def _hot_path(
-    rows: DataFrame, keys: list[str], span_us: int, partitions: int, min_calls: int
-) -> DataFrame:
+def _hot_path(rows: DataFrame, keys: list[str], span_us: int, partitions: int) -> DataFrame:
     order = ["step_at", "step", SEQ]
     # Partition borders come from a sample, so the split is written once and read back.
     split = cut_lineage(
@@ -92,37 +103,36 @@ def _hot_path(
         .withColumn("pid", F.spark_partition_id())
     )
     deltas = _deltas()
+    leaving = F.when(F.col("step") == -1, F.struct("step_at", SEQ, F.col(COST)))
     # A key fills consecutive partitions, so there are fewer totals than partitions plus hot keys.
-    totals = split.groupBy("pid", *keys).agg(*[F.sum(d).alias(n) for n, d in deltas.items()])
-    earlier = W.partitionBy(*keys).orderBy("pid").rowsBetween(W.unboundedPreceding, -1)
-    carried = totals.select(
-        "pid", *keys, *[F.sum(n).over(earlier).alias(f"carried_{n}") for n in deltas]
+    totals = split.groupBy("pid", *keys).agg(
+        *[F.sum(d).alias(n) for n, d in deltas.items()], F.min(leaving).alias("next_out")
     )
-    within = (
-        W.partitionBy("pid", *keys)
-        .orderBy(*order)
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
+    by_pid = W.partitionBy(*keys).orderBy("pid")
+    earlier = by_pid.rowsBetween(W.unboundedPreceding, -1)
+    # Later partitions are earlier ones in falling order; the nearest that lets a row out counts.
+    later = W.partitionBy(*keys).orderBy(F.desc("pid")).rowsBetween(W.unboundedPreceding, -1)
+    carried = totals.select(
+        "pid",
+        *keys,
+        *[F.sum(n).over(earlier).alias(f"carried_{n}") for n in deltas],
+        F.last(F.col(f"next_out.{COST}"), ignorenulls=True).over(later).alias("carried_out"),
     )
-    measured = (
+    within = W.partitionBy("pid", *keys).rowsBetween(W.unboundedPreceding, W.currentRow)
+    onward, back = within.orderBy(*order), within.orderBy(*[F.desc(c) for c in order])
+    # The oldest row inside a window is the next one to leave, here or in a later partition.
+    next_out = F.last(F.when(F.col("step") == -1, F.col(COST)), ignorenulls=True).over(back)
+    return (
         split.join(F.broadcast(carried), ["pid", *keys], "left")
         .withColumns(
             {
-                n: F.sum(d).over(within) + F.coalesce(F.col(f"carried_{n}"), F.lit(0))
+                n: F.sum(d).over(onward) + F.coalesce(F.col(f"carried_{n}"), F.lit(0))
                 for n, d in deltas.items()
             }
         )
+        .withColumn("first_cost", F.coalesce(next_out, F.col("carried_out")))
         .filter("step = 1")
-        .drop("pid", "step_at", "step", *[f"carried_{n}" for n in deltas])
-    )
-    # The oldest row inside is the one n_window - 1 places earlier in the key.
-    costs = measured.select(
-        *keys, F.col("ordinal").alias("first_ordinal"), F.col(COST).alias("first_cost")
-    )
-    return (
-        measured.filter(F.col("n_window") >= min_calls)
-        .withColumn("first_ordinal", F.col("ordinal") - F.col("n_window") + 1)
-        .join(costs, [*keys, "first_ordinal"])
-        .drop("first_ordinal")
+        .drop("pid", "step_at", "step", "carried_out", *[f"carried_{n}" for n in deltas])
     )
 
 
@@ -141,11 +151,14 @@ def trailing_window(
     no key is in both.
     """
     wanted = [*keys, AT, SEQ, COST, FLAG]
-    rows = rows.select(*wanted)
-    hot = hot_key_hashes(rows, keys, hot_rows)
-    size = hot.agg(F.count("*").alias("keys"), F.sum("n").alias("rows")).first()
+    rows, n_rows = written_rows(rows.select(*wanted), "window-rows")
+    size = {"keys": 0}
+    # Fewer rows than a hot key has cannot hold one.
+    if n_rows >= hot_rows:
+        hot = hot_key_hashes(rows, keys, hot_rows)
+        size = hot.agg(F.count("*").alias("keys"), F.sum("n").alias("rows")).first()
     if not size["keys"]:
-        measured = _ordinary_path(rows, keys, span_us)
+        measured = _ordinary_path(rows, keys, span_us, min_calls)
         return [measured.filter(F.col("n_window") >= min_calls).select(*wanted, *MEASURES)]
     listed = hot.select("h")
     if size["keys"] <= BROADCAST_KEYS:
@@ -153,9 +166,7 @@ def trailing_window(
     partitions = min(max(2, ceil(2 * size["rows"] / hot_rows)), HOT_PARTITIONS)
     hashed = rows.withColumn("h", F.xxhash64(*keys))
     parts = [
-        _ordinary_path(hashed.join(listed, "h", "left_anti").select(*wanted), keys, span_us),
-        _hot_path(
-            hashed.join(listed, "h", "left_semi").select(*wanted), keys, span_us, partitions, min_calls
-        ),
+        _ordinary_path(hashed.join(listed, "h", "left_anti").select(*wanted), keys, span_us, min_calls),
+        _hot_path(hashed.join(listed, "h", "left_semi").select(*wanted), keys, span_us, partitions),
     ]
     return [p.filter(F.col("n_window") >= min_calls).select(*wanted, *MEASURES) for p in parts]

@@ -11,6 +11,7 @@ from functools import reduce
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tracewaste.operators.catalog import synthetic_catalog
@@ -20,7 +21,7 @@ from tracewaste.operators.rules import Rule
 from tracewaste.operators.sessions import session_count, session_rank
 from tracewaste.plans.replay import replay
 from tracewaste.plans.summary import summary_row
-from tracewaste.session import ensure_checkpoint_dir, prepare_session
+from tracewaste.session import prepare_session, write_table
 from tracewaste.sources.pages import (
     PAGE_SIZE,
     check_provider,
@@ -59,18 +60,6 @@ class Result:
     pages_beyond_stop: int = 0
 
 
-def write_table(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder and read back.
-
-    Every later reader prunes columns of the written copy instead of parsing
-    the pages again, and a lost executor costs a re-read only.
-    """
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _parsed_pages(source: Source) -> DataFrame:
     pages = without_repeats(source.pages) if source.drop_repeated_pages else source.pages
     return parse_pages(pages, check_provider(source.provider))
@@ -163,22 +152,48 @@ def _analyze(
     return Result(calls, rejected, events, summary, payloads, counts["pages_beyond_stop"])
 
 
+# A marker's layout. Spark's readers pass over folders that begin with an underscore.
+MARKS = "project STRING, run STRING, attempt STRING, n_chunks BIGINT, marked_us BIGINT"
+BATCHES = "chunk_id BIGINT, n BIGINT, body STRING, project STRING, run STRING, attempt STRING"
+MARK_FOLDER = "_committed"
+
+
+def _commit(chunks: DataFrame, out: str, project: str, run_id: str, attempt: str, n_chunks: int) -> None:
+    """The marker that makes an attempt the run's delivery; written last, beside earlier ones."""
+    marked = int(datetime.now(timezone.utc).timestamp() * 1_000_000)
+    row = [(project, run_id, attempt, n_chunks, marked)]
+    chunks.sparkSession.createDataFrame(row, MARKS).coalesce(1).write.mode("append").json(f"{out}/{MARK_FOLDER}")
+
+
 def deliver(chunks: DataFrame, out: str, project: str, run_id: str) -> DataFrame:
     """The batches of one run of one project, written under ``out`` and read back.
 
-    Only that run's own folder is replaced; other runs and projects stay.
+    Each attempt has a folder of its own, ``out/project=…/run=…/attempt=…``. Its marker follows once all
+    its files are there, so a run that is repeated, also with fewer batches or none, replaces its earlier
+    delivery at once, and one that fails half-way leaves it standing. Other runs and projects stay.
     """
+    attempt, seen = uuid.uuid4().hex, Observation()
     (
-        chunks.withColumn("run", F.lit(run_id))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("project", "run")
+        chunks.withColumns({"project": F.lit(project), "run": F.lit(run_id), "attempt": F.lit(attempt)})
+        .observe(seen, F.count("*").alias("n"))
+        .write.mode("append")
+        .partitionBy("project", "run", "attempt")
         .json(out)
     )
-    layout = "chunk_id BIGINT, n BIGINT, body STRING, project STRING, run STRING"
-    written = chunks.sparkSession.read.schema(layout).json(out)
-    mine = (F.col("project") == project) & (F.col("run") == run_id)
-    return written.filter(mine).select(*chunks.columns)
+    _commit(chunks, out, project, run_id, attempt, seen.get["n"])
+    return delivered(chunks.sparkSession, out, project, run_id).select(*chunks.columns)
+
+
+def delivered(spark: SparkSession, out: str, project: str | None = None, run_id: str | None = None) -> DataFrame:
+    """The batches of committed runs: of each run those of its last marked attempt."""
+    marks = spark.read.schema(MARKS).json(f"{out}/{MARK_FOLDER}")
+    batches = spark.read.schema(BATCHES).json(out)
+    for name, value in (("project", project), ("run", run_id)):
+        if value is not None:
+            marks, batches = marks.filter(F.col(name) == value), batches.filter(F.col(name) == value)
+    last = W.partitionBy("project", "run").orderBy(F.desc("marked_us"), F.desc("attempt"))
+    current = marks.withColumn("nth", F.row_number().over(last)).filter("nth = 1")
+    return batches.join(current.select("project", "run", "attempt"), ["project", "run", "attempt"], "left_semi")
 
 
 def analyze(
@@ -205,8 +220,8 @@ def analyze(
     """Find wasted spend in one provider's landed pages.
 
     Without ``catalog`` the synthetic example prices apply. A dry run writes no
-    batches; otherwise they go to ``out`` as JSON, partitioned by project and run;
-    repeating a ``run_id`` replaces that run's batches. ``responses`` is a log of
+    batches; otherwise they go to ``out`` as JSON, partitioned by project, run and attempt;
+    repeating a ``run_id`` replaces that run's batches for readers of :func:`delivered`. ``responses`` is a log of
     answers to delivered batches, whose accepted and rejected counts the summary sums.
 
     Every landed page is read. With ``stop_at_last_page`` the import ends where a

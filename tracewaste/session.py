@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 SESSION_SETTINGS = {
     # All timestamps are UTC; formatting functions follow the session zone.
@@ -33,7 +35,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
+        if not (context.master == "local" or context.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         configured = tempfile.mkdtemp(prefix="tracewaste-checkpoint-")
     context.setCheckpointDir(configured)
@@ -44,3 +46,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and continue from the written copy."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder and read back.
+
+    Every later reader prunes columns of the written copy instead of deriving
+    the rows again, and a lost executor costs a re-read only.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def written_rows(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """:func:`write_table`, and how many rows were written, counted on the way."""
+    seen = Observation()
+    table = write_table(df.observe(seen, F.count("*").alias("n")), name)
+    return table, seen.get["n"]
