@@ -21,8 +21,8 @@ from tracewaste.llm.tables import Remembered, binary_text, once_per_worker, row_
 
 SEQUENCE_TOKENS = 4_096
 GROUP_DOCUMENTS = 4_096
-#: Bytes of words and their ids held by a worker: whole words, and parts of words.
-WORD_BYTES, PART_BYTES = 64 << 20, 144 << 20
+#: Bytes of words and their ids held by a worker.
+REMEMBERED_BYTES = 160 << 20
 PIECES_DDL = (
     "piece long, doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 )
@@ -55,13 +55,20 @@ def first_fit_decreasing(lengths: list[int], capacity: int) -> tuple[list[int],
 class WordEncoder:
     """Ids of whole texts, word by word: no token of these vocabularies spans white space.
 
-    A word of Latin letters with ASCII signs behind it is two tokens' worth of text, each learned once
-    whatever its capitals. New ones are encoded together, with a word of one token between them that
-    marks their borders. What is remembered is bounded in bytes; a word too long to keep is encoded anew.
+    ASCII capitals are lowered first, and signs behind a Latin letter that end a word are set apart, as the
+    tokenizer does itself, so that a word is learned once whatever its capitals and signs. New words are
+    encoded together, with a word of one token between them that marks their borders. What is remembered
+    is bounded in bytes; a word too long to keep is encoded anew.
     """
 
     MARK = "~"
-    SPLIT = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-/:-@\[-`{-}]*)").fullmatch
+    SIGN = rb"[!-/:-@\[-`{-~]"
+    TAIL = re.compile(
+        SIGN
+        + rb"(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))"
+        + SIGN
+        + rb"*(?=[ \t\n\r\x0b\x0c]|$)"
+    )
 
     def __init__(self, path: str):
         import os
@@ -70,21 +77,21 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words, self.parts = Remembered(WORD_BYTES), Remembered(PART_BYTES)
+        self.known = Remembered(REMEMBERED_BYTES)
         (self.mark,) = self._ids([self.MARK])[0]
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encoded(self, parts: list[bytes]) -> dict[bytes, bytes]:
-        mark, out = self.MARK.encode(), {b"": b""}
-        plain = [w for w in parts if w and mark not in w]
-        odd = [w for w in parts if mark in w]
+    def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
+        mark, out = self.MARK.encode(), {}
+        plain = [w for w in words if mark not in w]
+        odd = [w for w in words if mark in w]
         for word, ids in zip(odd, self._ids([w.decode("utf-8", "replace") for w in odd]), strict=True):
             out[word] = np.array(ids, "<u4").tobytes()
         for i in range(0, len(plain), 10_000):
             some = plain[i : i + 10_000]
-            joined = f" {self.MARK} ".join([w.decode("utf-8", "replace") for w in some])
+            joined = f" {self.MARK} ".encode().join(some).decode("utf-8", "replace")
             ids = np.array(self._ids([joined])[0], "<u4")
             ends = np.flatnonzero(ids == self.mark)
             data = ids.tobytes()
@@ -93,21 +100,14 @@ class WordEncoder:
                 out[word] = data[start:end]
         return out
 
-    def _learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        cores, tails = [], []
-        for found, word in zip(map(self.SPLIT, words), words, strict=True):
-            core, tail = found.groups() if found else (word, b"")
-            if found:
-                core = core.lower() if core.isascii() else core.decode().lower().encode()
-            cores.append(core)
-            tails.append(tail)
-        known = self.parts.of([cores, tails], self._encoded)
-        return {w: known[c] + known[t] for w, c, t in zip(words, cores, tails, strict=True)}
+    def _words(self, text: bytes) -> list[bytes]:
+        # The strings of special tokens are known as they are written only.
+        return text.split() if b"<|" in text else self.TAIL.sub(rb" \g<0>", text.lower()).split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [t.split() for t in texts]
-        known = self.words.of(split, self._learn)
+        split = [self._words(t) for t in texts]
+        known = self.known.of(split, self._encoded)
         return [b"".join([known[w] for w in words]) for words in split]
 
 
