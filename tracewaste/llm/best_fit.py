@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracewaste.llm.packing import WordEncoder
-from tracewaste.llm.tables import binary_text, once_per_worker, written
+from tracewaste.llm.tables import binary_text, by_bytes, give_back, once_per_worker, written
 
 SEQUENCE_TOKENS = 4_096
 END = 1
@@ -150,9 +150,8 @@ def _cut(tokenizer_path: str, end: int, capacity: int):
         seen = [0] * (capacity + 1)
         for batch in batches:
             rows = []
-            for i in range(0, batch.num_rows, 500):
-                some = batch.slice(i, 500)
-                ids, texts = some.column(0).to_pylist(), some.column(1).to_pylist()
+            for i, n in by_bytes(batch.column(1)):
+                ids, texts = (batch.column(c).slice(i, n).to_pylist() for c in (0, 1))
                 for doc_id, encoded in zip(ids, encoder.encode(texts), strict=True):
                     encoded += closing
                     for piece, at in enumerate(range(0, len(encoded), 4 * capacity)):
@@ -164,6 +163,7 @@ def _cut(tokenizer_path: str, end: int, capacity: int):
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, f.type) for c, f in zip(columns, _CUT, strict=True)], schema=_CUT
             )
+        give_back()
 
     return run
 

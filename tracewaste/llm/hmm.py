@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tracewaste.llm import chains
-from tracewaste.llm.tables import binary_text, give_back, id_crc, ragged, row_number, written
+from tracewaste.llm.tables import binary_text, by_bytes, give_back, id_crc, ragged, row_number, written
 
 STATES = 8
 CLASSES = 1 << 14
@@ -100,16 +100,18 @@ def _encode(batches):
         )
 
     for batch in batches:
-        for doc_id, held_out, text in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            found = text.lower().split()
-            ids = np.empty(len(found) + 1, np.int32)
-            ids[:-1] = [words.setdefault(w, len(words)) for w in found]
-            ids[-1] = 0
-            docs.append((doc_id, held_out, ids))
-            tokens += len(ids)
-            if tokens >= BLOCK_TOKENS or len(words) >= BLOCK_WORDS:
-                yield from block()
-                words, docs, tokens = {END: 0}, [], 0
+        for at, n in by_bytes(batch.column(2)):
+            some = batch.slice(at, n)
+            for doc_id, held_out, text in zip(*(c.to_pylist() for c in some.columns), strict=True):
+                found = text.lower().split()
+                ids = np.empty(len(found) + 1, np.int32)
+                ids[:-1] = [words.setdefault(w, len(words)) for w in found]
+                ids[-1] = 0
+                docs.append((doc_id, held_out, ids))
+                tokens += len(ids)
+                if tokens >= BLOCK_TOKENS or len(words) >= BLOCK_WORDS:
+                    yield from block()
+                    words, docs, tokens = {END: 0}, [], 0
     if docs:
         yield from block()
     del words, docs

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewaste.llm.tables import Remembered, binary_text, once_per_worker, row_number, written
+from tracewaste.llm.tables import Remembered, binary_text, by_bytes, give_back, once_per_worker, row_number, written
 
 SEQUENCE_TOKENS = 4_096
 GROUP_DOCUMENTS = 4_096
@@ -118,10 +118,10 @@ def _pieces(tokenizer_path: str, end: int, capacity: int):
         encoder = once_per_worker(f"words {tokenizer_path}", lambda: WordEncoder(tokenizer_path))
         numbers = row_number(TaskContext.get().partitionId())
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             rows = []
-            for i in range(0, len(texts), 500):
-                for doc_id, encoded in zip(ids[i : i + 500], encoder.encode(texts[i : i + 500]), strict=True):
+            for at, n in by_bytes(batch.column(1)):
+                ids, texts = (batch.column(i).slice(at, n).to_pylist() for i in (0, 1))
+                for doc_id, encoded in zip(ids, encoder.encode(texts), strict=True):
                     encoded += closing
                     total = len(encoded) // 4
                     for start in range(0, total, capacity):
@@ -132,6 +132,7 @@ def _pieces(tokenizer_path: str, end: int, capacity: int):
                 [pa.array(c, pa.int64()) for c in columns],
                 names=["piece", "doc_id", "start", "length", "ids_crc32", "doc_tokens"],
             )
+        give_back()
 
     return run
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tracewaste.llm.tables import appended, binary_text, written
+from tracewaste.llm.tables import appended, binary_text, by_bytes, give_back, written
 
 RADIUS = 3
 PARTS = 4
@@ -52,10 +52,12 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def _fingerprints(batches):
     for batch in batches:
-        prints = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], np.uint64)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fp"]
-        )
+        for at, n in by_bytes(batch.column(1)):
+            prints = np.array([fingerprint(t) for t in batch.column(1).slice(at, n).to_pylist()], np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(at, n), pa.array(prints.view(np.int64))], names=["doc_id", "fp"]
+            )
+    give_back()
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -158,12 +160,14 @@ def components(links: DataFrame) -> DataFrame:
 
     ``links`` has u > v. Each round ties a node's larger neighbours to its least one, then the node and
     its smaller neighbours likewise, until nothing changes; the rounds grow as the logarithm of a
-    component's size. Minima combine before the shuffle, so a node with many links is not gathered.
+    component's size. Minima combine before the shuffle and are written before they are joined, so a node
+    with many links is not gathered.
     """
     before = _checksum(links)
     while before["n"]:
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy(F.col("u").alias("w")).agg(F.least(F.min("v"), F.col("w")).alias("m"))
+        # Written, so that both sides of the join are plain exchanges and a star's centre may be split over tasks.
+        least = written(both.groupBy(F.col("u").alias("w")).agg(F.least(F.min("v"), F.col("w")).alias("m")), "stars-least")
         large = (
             both.join(least, F.col("u") == F.col("w"))
             .filter("v > u AND v <> m")
@@ -171,7 +175,7 @@ def components(links: DataFrame) -> DataFrame:
             .distinct()
         )
         large = written(large, "stars")
-        least = large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m"))
+        least = written(large.groupBy(F.col("u").alias("w")).agg(F.min("v").alias("m")), "stars-least")
         joined = large.join(least, F.col("u") == F.col("w"))
         small = (
             joined.filter("v <> m")
