@@ -40,7 +40,7 @@ def events_frame(spark, rows):
             Decimal(r.get("burn", "0.1")),
             "pause_for_human_review",
             r.get("raised_at", datetime(2026, 4, 9, 14, 30)),
-            r.get("src_seq", i),
+            Decimal(r.get("src_seq", i)),
             "0.5.0",
         )
         for i, r in enumerate(rows)
@@ -373,16 +373,22 @@ def test_checkpoints_go_to_the_configured_folder(spark):
     assert spark.conf.get("spark.checkpoint.dir") in ensure_checkpoint_dir(spark)
 
 
-def test_ordinals_of_long_records_stay_apart(spark):
-    from tracewaste.sources.pages import nested_sequence
-
-    places = [(1, p, n) for p in (0, 1, 99) for n in (0, 1, 65_535, 65_536, 65_537, 40_000_000)]
-    rows = spark.createDataFrame(places, "page BIGINT, p BIGINT, n BIGINT").select(
-        nested_sequence(F.col("page"), F.col("p"), F.col("n"), F.lit(100)).alias("seq")
-    )
-    seqs = [r["seq"] for r in rows.collect()]
-    assert len(set(seqs)) == len(seqs) and all(2**32 <= s < 2**33 for s in seqs)
-    assert seqs[:3] == [2**32, 2**32 + 1, 2**32 + 65_535]
+def test_ordinals_have_no_bounds(spark):
+    """Any page number, position and nested position gives an ordinal of its own, in that order."""
+    from tracewaste.sources.pages import arrival_ordinal, interleaved, nested_ordinal
+
+    top = 2**31 - 1
+    pages = (0, 1, 20_240_101_120_000, 1_704_110_400_000_000_000, 2**63 - 1)
+    places = [(a, p, n) for a in pages for p in (0, 99, 70_000, top) for n in (0, 1, 65_536, top)]
+    frame = spark.createDataFrame(places, "page BIGINT, p INT, n INT")
+    seq = nested_ordinal(arrival_ordinal(F.col("page"), F.col("p")), F.col("n"))
+    two = [interleaved(seq, 2, number).alias(f"of{number}") for number in (0, 1)]
+    rows = sorted(frame.select("page", "p", "n", seq.alias("seq"), *two).collect())
+    seqs = [int(r["seq"]) for r in rows]
+    assert seqs == sorted(seqs) == [((r["page"] << 31) + r["p"] << 31) + r["n"] for r in rows]
+    assert [(int(r["of0"]), int(r["of1"])) for r in rows] == [(2 * s, 2 * s + 1) for s in seqs]
+    many = frame.select(interleaved(seq, 50, 3).alias("s")).collect()
+    assert sum(r["s"] is None for r in many) == 32  # only those of the last two pages
 
 
 def test_a_trace_of_many_observations(spark):

@@ -15,7 +15,7 @@ from tracewaste.streaming.imports import (
     stream_page_table,
     write_candidates,
 )
-from tracewaste.streaming.replay import StreamingReplay
+from tracewaste.streaming.replay import StreamingRule
 
 
 def records(page):
@@ -63,7 +63,8 @@ def test_page_tables_stream_too(spark, tmp_path):
 
 
 def random_rows(seed, n):
-    rng, at = random.Random(seed), 0
+    # The first mark is 1970, and what is not after it is late.
+    rng, at = random.Random(seed), 10**9
     rows = []
     for i in range(n):
         at += rng.choice([0, 0, 1, 2_000_000, 9_000_000, 30_000_000])
@@ -89,69 +90,107 @@ def as_set(events):
     }
 
 
-@pytest.mark.parametrize("mode, hot_rows", [("session", 10**9), ("none", 20)])
-def test_stream_equals_batch(spark, tmp_path, mode, hot_rows):
+WINDOWED = ("tool_loop", "retry_storm")
+#: A call of its own session long after all others moves the mark past them.
+LAST = {"at": 10**6, "session_id": "last", "request_hash": "last", "src_seq": 10**6,
+        "tools": [{"name": "last", "arguments": {}}]}
+
+
+class Landing:
+    """A folder of calls read as a stream, one file a batch, and the rules over it."""
+
+    def __init__(self, spark, folder, delay, config=None, ingest_time=None):
+        self.spark, self.source = spark, str(folder / "calls")
+        spark.conf.set("spark.sql.shuffle.partitions", 2)
+        calls_frame(spark, [LAST]).limit(0).write.parquet(self.source)
+        self.rules = [
+            StreamingRule(RULES[name], str(folder), synthetic_catalog(spark), "demo", delay, config or {}, ingest_time)
+            for name in WINDOWED
+        ]
+
+    def land(self, rows):
+        calls_frame(self.spark, rows).coalesce(1).write.mode("append").parquet(self.source)
+
+    def run(self):
+        schema = self.spark.read.parquet(self.source).schema
+        calls = self.spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(self.source)
+        for rule in self.rules:
+            rule.start(calls).awaitTermination()
+
+    def calls(self):
+        return self.spark.read.parquet(self.source)
+
+    def union(self, method, *args):
+        first, second = (getattr(rule, method)(*args) for rule in self.rules)
+        return first.unionByName(second)
+
+
+@pytest.mark.parametrize("mode", ["session", "none"])
+def test_stream_equals_batch(spark, tmp_path, mode):
     rows = random_rows(len(mode), 160)
-    config = {"dedup": mode, "hot_rows": hot_rows}
-    replayed = StreamingReplay(
-        str(tmp_path / "state"), synthetic_catalog(spark), "demo", 20, config
-    )
+    config = {"dedup": mode}
+    landing = Landing(spark, tmp_path, 20, config)
     # Arrivals are out of order, but never by more than the allowed delay.
     rng = random.Random(5)
     arrival = sorted(rows, key=lambda r: r["at"] + rng.random() * 19)
-    source = str(tmp_path / "calls")
-    calls_frame(spark, rows[:1]).limit(0).write.parquet(source)
-    schema = spark.read.parquet(source).schema
-    query = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(source)
-        .writeStream.foreachBatch(replayed)
-        .option("checkpointLocation", str(tmp_path / "checkpoint"))
-    )
-    for part in range(4):
-        calls_frame(spark, arrival[part * 40 : part * 40 + 40]).coalesce(1).write.mode(
-            "append"
-        ).parquet(source)
-        query.trigger(availableNow=True).start().awaitTermination()
-    batches = len(list((tmp_path / "state" / "mark").iterdir()))
-    replayed.finish(spark.read.parquet(source), batches)
-    windowed = {k: RULES[k] for k in ("tool_loop", "retry_storm")}
+    for part in range(2):
+        landing.land(arrival[part * 80 : part * 80 + 80])
+        landing.run()
+    windowed = {k: RULES[k] for k in WINDOWED}
     batch = replay(calls_frame(spark, rows), synthetic_catalog(spark), "demo", config, windowed)
     want = as_set(batch)
-    assert want and as_set(replayed.events(spark)) == want
-    assert spark.read.parquet(str(tmp_path / "state" / "late")).count() == 0
-
-
-def test_late_calls_are_kept_apart_and_a_repeated_batch_changes_nothing(spark, tmp_path):
-    replayed = StreamingReplay(
-        str(tmp_path), synthetic_catalog(spark), "demo", 0, {"tool_loop.min_calls": 99}
-    )
-    storm = [{"at": 100 + i, "request_hash": "r", "src_seq": i} for i in range(3)]
-    late = [{"at": 50, "request_hash": "r", "src_seq": 9}]
-    replayed(calls_frame(spark, storm), 0)
-    for _ in range(2):
-        replayed(calls_frame(spark, late + [{"at": 104, "request_hash": "r", "src_seq": 5}]), 1)
-    assert [e["src_seq"] for e in replayed.events(spark).collect()] == [2]
-    rows = spark.read.parquet(str(tmp_path / "late")).collect()
-    assert [r["src_seq"] for r in rows] == [9]
+    # Before the end some calls wait; the batch rules over the written calls add what they would fire.
+    assert want and as_set(landing.union("corrected_events", landing.calls())) == want
+    landing.land([LAST])
+    landing.run()
+    assert as_set(landing.union("events", spark)) == want
+    assert all(rule.corrections(landing.calls()).isEmpty() for rule in landing.rules)
+
+
+def test_late_calls_are_corrected_from_the_written_calls(spark, tmp_path):
+    rows = random_rows(3, 120)
+    landing = Landing(spark, tmp_path, 0, {"dedup": "none"})
+    early, late = [r for i, r in enumerate(rows) if i % 5], [r for i, r in enumerate(rows) if i % 5 == 0]
+    for part in (early, [LAST], late):
+        landing.land(part)
+        landing.run()
+    storm = landing.rules[1]
+    changes = {r["change"] for r in storm.corrections(landing.calls()).collect()}
+    assert changes == {"add", "drop"}
+    windowed = {k: RULES[k] for k in WINDOWED}
+    everything = calls_frame(spark, [*rows, LAST])
+    want = as_set(replay(everything, synthetic_catalog(spark), "demo", {"dedup": "none"}, windowed))
+    assert as_set(landing.union("corrected_events", landing.calls())) == want
+    assert as_set(landing.union("events", spark)) != want
+
+
+def test_state_is_bounded_by_the_slices_ahead_of_the_mark(spark, tmp_path):
+    landing = Landing(spark, tmp_path, 0)
+    for start in (1_000, 10_000, 20_000):
+        landing.land([{"at": start + i, "request_hash": "r", "src_seq": start + i} for i in range(50)])
+        landing.run()
+    landing.land([LAST])
+    storm = landing.rules[1]
+    calls = spark.readStream.schema(landing.calls().schema).parquet(landing.source)
+    query = storm.start(calls)
+    query.awaitTermination()
+    rows = [p["stateOperators"][0]["customMetrics"] for p in query.recentProgress if p["stateOperators"]]
+    assert rows and storm.firings(spark).count() == 3 * 48
+    left = spark.read.format("statestore").option("stateVarName", "rows").load(f"{tmp_path}/checkpoint-retry_storm")
+    assert left.count() <= 1
 
 
 def test_calls_without_a_time_do_not_move_the_mark(spark, tmp_path):
-    replayed = StreamingReplay(
-        str(tmp_path),
-        synthetic_catalog(spark),
-        "demo",
-        0,
-        {"tool_loop.min_calls": 99},
-        ingest_time=utc(1970, 1, 2),
-    )
-    untimed = {"at": 86_400, "request_hash": "x", "src_seq": 7}
-    replayed(calls_frame(spark, [{"at": 100, "request_hash": "r", "src_seq": 0}, untimed]), 0)
-    later = [{"at": 100 + i, "request_hash": "r", "src_seq": i} for i in (1, 2)]
-    replayed(calls_frame(spark, later), 1)
-    assert [e["src_seq"] for e in replayed.events(spark).collect()] == [2]
-    assert spark.read.parquet(str(tmp_path / "late")).count() == 0
+    landing = Landing(spark, tmp_path, 0, {"tool_loop.min_calls": 99}, ingest_time=utc(1970, 1, 3))
+    untimed = {"at": 2 * 86_400, "request_hash": "x", "src_seq": 7}
+    landing.land([{"at": 100, "request_hash": "r", "src_seq": 0}, untimed])
+    landing.run()
+    landing.land([{"at": 100 + i, "request_hash": "r", "src_seq": i} for i in (1, 2)])
+    landing.land([LAST])
+    landing.run()
+    assert [e["src_seq"] for e in landing.union("events", spark).collect()] == [2]
 
 
 def test_edges_need_the_whole_history(spark, tmp_path):
     with pytest.raises(ValueError, match="stream"):
-        StreamingReplay(str(tmp_path), synthetic_catalog(spark), "demo", 0, {"dedup": "edge"})
+        StreamingRule(RULES["tool_loop"], str(tmp_path), synthetic_catalog(spark), "demo", 0, {"dedup": "edge"})

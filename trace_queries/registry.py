@@ -7,7 +7,7 @@ from collections.abc import Callable
 from datetime import datetime, timezone
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from trace_queries import oracles as sql
@@ -40,6 +40,7 @@ from tracewaste.plans.replay import replay
 from tracewaste.plans.reports import firings_report, savings_report, status_report
 from tracewaste.plans.summary import burn_by_type, events_by_type, total_burn, totals_by_type
 from tracewaste.session import ensure_checkpoint_dir, write_table
+from tracewaste.sources.landing import file_pages, read_filed_pages
 from tracewaste.sources.pages import (
     page_ledger,
     parse_pages,
@@ -49,6 +50,8 @@ from tracewaste.sources.pages import (
     unwrap_records,
 )
 from tracewaste.sources.windows import top_level_runs, within_bounds
+from tracewaste.streaming.imports import stream_candidates, stream_page_table, write_candidates
+from tracewaste.streaming.replay import StreamingRule
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,7 +84,7 @@ def _candidates(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
 
 def _call_columns(calls: DataFrame) -> DataFrame:
     return calls.select(
-        "src_seq",
+        _seq(),
         "session_id",
         F.unix_micros("timestamp").alias("at_us"),
         "provider",
@@ -96,6 +99,16 @@ def _call_columns(calls: DataFrame) -> DataFrame:
     )
 
 
+# Arrival ordinals, as text since they go beyond 64 bits.
+PAGE_SEQ = "CAST((CAST(event_id // 100 AS HUGEINT) * 2147483648 + event_id % 100) * 2147483648 AS VARCHAR)"
+LANGFUSE_SEQ = """CAST((CAST(event_id // 100 + 1 AS HUGEINT) * 2147483648 + event_id % 100) * 2147483648
+  + (event_id + 1) % 2 AS VARCHAR)"""
+
+
+def _seq() -> Column:
+    return F.col("src_seq").cast("string").alias("src_seq")
+
+
 # --- normalisation -----------------------------------------------------------------
 
 HELICONE_SESSION = """CASE WHEN event_id % 5 = 4 THEN session || '-' || event_type
@@ -103,7 +116,7 @@ HELICONE_SESSION = """CASE WHEN event_id % 5 = 4 THEN session || '-' || event_ty
 
 
 @query(f"""WITH {sql.BASE}
-SELECT event_id // 100 * 1048576 + event_id % 100 AS src_seq,
+SELECT {PAGE_SEQ} AS src_seq,
   {HELICONE_SESSION} AS session_id, at_us, vendor AS provider, model,
   CASE WHEN event_type = 'signup' THEN 'embeddings.create'
     WHEN vendor = 'anthropic' THEN 'messages.create' ELSE 'chat.completions.create' END AS method,
@@ -120,7 +133,6 @@ LANGFUSE_SESSION = """CASE event_id % 5
   WHEN 4 THEN 'tr-' || event_id ELSE session END"""
 LANGFUSE_HASH = f"""substr(sha256(({LANGFUSE_SESSION}) || '|' ||
   CASE WHEN event_id % 7 = 0 THEN '' ELSE 'obs-' || event_id END), 1, 16)"""
-LANGFUSE_SEQ = "((event_id // 100 + 1) * 65536 + event_id % 100) * 65536 + (event_id + 1) % 2"
 
 
 @query(f"""WITH {sql.BASE}
@@ -148,7 +160,7 @@ LANGSMITH_HASH = f"""substr(sha256(({LANGSMITH_SESSION}) || '|' ||
 
 
 @query(f"""WITH {sql.BASE}
-SELECT event_id // 100 * 1048576 + event_id % 100 AS src_seq,
+SELECT {PAGE_SEQ} AS src_seq,
   {LANGSMITH_SESSION} AS session_id, at_us,
   CASE WHEN event_id % 7 = 0 THEN 'google' WHEN event_id % 7 = 1 THEN 'anthropic'
     WHEN event_id % 3 = 0 OR event_type = 'signup' THEN 'unknown' ELSE vendor END AS provider,
@@ -196,7 +208,9 @@ def request_hash(spark, sf_dir):
 SELECT event_id,
   CASE WHEN event_type = 'signup' THEN 'embeddings.create'
     WHEN vendor = 'anthropic' THEN 'messages.create' ELSE 'chat.completions.create' END AS method,
-  CASE event_type WHEN 'signup' THEN 'unknown' ELSE vendor END AS provider
+  CASE event_type WHEN 'signup' THEN 'unknown' ELSE vendor END AS provider,
+  CASE event_id % 7 WHEN 3 THEN 'mistral' WHEN 4 THEN 'mistral' WHEN 5 THEN 'meta' WHEN 6 THEN 'unknown'
+    ELSE 'openai' END AS named
 FROM base""")
 def method_provider(spark, sf_dir):
     base = event_base(spark, sf_dir)
@@ -204,6 +218,11 @@ def method_provider(spark, sf_dir):
         "event_id",
         method_from_model(F.col("vendor"), F.col("model")).alias("method"),
         provider_from_model(F.upper("model"), F.lit("unknown")).alias("provider"),
+        provider_from_model(
+            F.expr("""element_at(array('O1-mini', 'o3', 'next-o4', 'Mistral-large', 'open-mixtral', 'Llama-3', 'own'),
+              CAST(event_id % 7 AS INT) + 1)"""),
+            F.lit("unknown"),
+        ).alias("named"),
     )
 
 
@@ -219,8 +238,8 @@ SELECT event_id % 4, 'langsmith',
 FROM base WHERE event_id % 6 <> 5 GROUP BY 1""")
 def usage_units(spark, sf_dir):
     positions = {
-        "langfuse": "((src_seq >> 32) - 1) * 100 + (src_seq >> 16 & 65535)",
-        "langsmith": "(src_seq >> 20) * 100 + (src_seq & 1048575)",
+        "langfuse": "(src_seq DIV 4611686018427387904 - 1) * 100 + src_seq DIV 2147483648 % 2147483648",
+        "langsmith": "src_seq DIV 4611686018427387904 * 100 + src_seq DIV 2147483648 % 2147483648",
     }
     parts = [
         calls_of(_candidates(spark, sf_dir, p)).selectExpr(
@@ -244,14 +263,14 @@ SELECT 'langfuse' AS provider_src, {LANGFUSE_SEQ} AS src_seq, 0 AS pos, event_ty
 FROM base WHERE event_id % 4 <> 3
 UNION ALL SELECT 'langfuse', {LANGFUSE_SEQ}, 1, '', '{{}}' FROM base WHERE event_id % 4 = 1
 UNION ALL
-SELECT 'langsmith', event_id // 100 * 1048576 + event_id % 100, 0, event_type,
+SELECT 'langsmith', {PAGE_SEQ}, 0, event_type,
   CASE event_id % 4 WHEN 0 THEN '{{"k":' || tokens || ',"z":1}}' WHEN 1 THEN '{{}}' ELSE '"s"' END
 FROM base WHERE event_id % 4 <> 3 AND event_id % 6 <> 5""")
 def tool_calls(spark, sf_dir):
     calls = [calls_of(_candidates(spark, sf_dir, p)) for p in ("langfuse", "langsmith")]
     return reduce(DataFrame.unionByName, calls).select(
         "provider_src", "src_seq", F.posexplode("tool_calls").alias("pos", "tool")
-    ).select("provider_src", "src_seq", "pos", F.col("tool.name").alias("tool"), "tool.arguments")
+    ).select("provider_src", _seq(), "pos", F.col("tool.name").alias("tool"), "tool.arguments")
 
 
 def _message_json(role: bool) -> str:
@@ -260,10 +279,10 @@ def _message_json(role: bool) -> str:
 
 
 @query(f"""WITH {sql.BASE}
-SELECT 'helicone' AS provider_src, event_id // 100 * 1048576 + event_id % 100 AS src_seq,
+SELECT 'helicone' AS provider_src, {PAGE_SEQ} AS src_seq,
   {_message_json(True)} AS messages, '"' || replace(props, '"', '\\"') || '"' AS input FROM base
 UNION ALL SELECT 'langfuse', {LANGFUSE_SEQ}, {_message_json(True)}, NULL FROM base
-UNION ALL SELECT 'langsmith', event_id // 100 * 1048576 + event_id % 100,
+UNION ALL SELECT 'langsmith', {PAGE_SEQ},
   CASE event_id % 3 WHEN 0 THEN {_message_json(False)} WHEN 1 THEN {_message_json(True)} END,
   CASE WHEN event_id % 3 = 2 THEN '["' || session || '"]' END
 FROM base WHERE event_id % 6 <> 5""")
@@ -271,7 +290,42 @@ def raw_requests(spark, sf_dir):
     calls = [calls_of(_candidates(spark, sf_dir, p)) for p in RECORDS]
     return reduce(DataFrame.unionByName, calls).select(
         "provider_src",
-        "src_seq",
+        _seq(),
+        F.to_json("raw_request.messages").alias("messages"),
+        F.to_json("raw_request.input").alias("input"),
+    )
+
+
+@query(f"""WITH {sql.BASE}
+SELECT 'helicone' AS provider_src, {PAGE_SEQ} AS src_seq,
+  CASE event_id % 4 WHEN 0 THEN 'own-' || event_id WHEN 1 THEN 'helicone-orphan-OpenAI-2024-02-03'
+    WHEN 2 THEN 'helicone-orphan-unknown-0' ELSE 'req-' || event_id END AS session_id,
+  CASE WHEN event_id % 4 = 1 THEN 1706918400000000 ELSE 1717200000000000 END AS at_us,
+  '[]' AS messages, CAST(NULL AS VARCHAR) AS input FROM base
+UNION ALL SELECT 'langfuse', CAST((CAST(event_id // 100 + 1 AS HUGEINT) * 2147483648 + event_id % 100) * 2147483648 AS VARCHAR),
+  'tr-' || event_id, 1717200000000000,
+  CASE event_id % 3 WHEN 0 THEN '[{{"content":"a' || event_id || '"}}]' WHEN 1 THEN '[{{"content":"b"}}]'
+    ELSE '[{{"content":"s' || event_id || '","role":"user"}}]' END,
+  CASE WHEN event_id % 3 = 1 THEN '"e' || event_id || '"' END FROM base""")
+def fallback_records(spark, sf_dir):
+    """Records without a time, without a session of their own, and observations that carry their input."""
+    helicone = """CASE event_id % 4 WHEN 0 THEN concat('{"id":"own-', event_id, '"}')
+      WHEN 1 THEN '{"provider":"OpenAI","created_at":"2024-02-03"}'
+      WHEN 2 THEN '{"model":"m"}' ELSE concat('{"request_id":"req-', event_id, '"}') END"""
+    langfuse = """concat('{"id":"tr-', event_id, '","observations":[{"type":"GENERATION","input":',
+      CASE event_id % 3 WHEN 0 THEN concat('[{"content":"a', event_id, '"}]')
+        WHEN 1 THEN concat('{"messages":[{"content":"b"}],"input":"e', event_id, '"}')
+        ELSE concat('"s', event_id, '"') END, '}]}')"""
+    parts = []
+    for provider, json_text in (("helicone", helicone), ("langfuse", langfuse)):
+        records = event_base(spark, sf_dir).select("event_id", F.expr(json_text).alias("json"))
+        parsed = parse_pages(paged(records, provider), provider)
+        parts.append(calls_of(normalize_records(unwrap_records(parsed, provider), provider, INGEST)))
+    return reduce(DataFrame.unionByName, parts).select(
+        "provider_src",
+        _seq(),
+        "session_id",
+        F.unix_micros("timestamp").alias("at_us"),
         F.to_json("raw_request.messages").alias("messages"),
         F.to_json("raw_request.input").alias("input"),
     )
@@ -284,7 +338,7 @@ BROKEN = """CASE event_id % 97
   WHEN 4 THEN concat('"', event_type, '"') WHEN 5 THEN '[1]' """
 
 
-@query("""SELECT event_id // 100 * 1048576 + event_id % 100 AS src_seq,
+@query(f"""SELECT {PAGE_SEQ} AS src_seq,
   CASE event_id % 97 WHEN 0 THEN 'prompt_tokens_not_a_number'
     WHEN 1 THEN 'completion_tokens_not_a_number' WHEN 2 THEN 'latency_not_a_number'
     WHEN 3 THEN 'usage_not_an_object' ELSE 'record_not_an_object' END AS skip_reason
@@ -295,7 +349,7 @@ def quarantine(spark, sf_dir):
     )
     parsed = parse_pages(paged(records, "helicone"), "helicone")
     found = normalize_records(unwrap_records(parsed, "helicone"), "helicone", INGEST)
-    return rejected_of(found).select("src_seq", "skip_reason")
+    return rejected_of(found).select(_seq(), "skip_reason")
 
 
 @query(f"""WITH {sql.BASE},
@@ -325,8 +379,25 @@ def since_until(spark, sf_dir):
     )
 
 
+@query("""SELECT count(*) AS n, count(*) FILTER (event_id % 1000 = 300) AS n_untimed FROM events
+WHERE event_id % 1000 = 300 OR ts >= TIMESTAMP '2024-01-20 06:00:00.5'""")
+def since_on_filed_pages(spark, sf_dir):
+    """Pages of a month filed by date; a bound leaves folders unread and keeps records without a time."""
+    stamp = "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'\")"
+    record = f"""concat('{{"request_id":"', event_id, '"', CASE WHEN event_id % 1000 = 300 THEN ''
+      ELSE concat(',"created_at":"', {stamp}, '"') END, '}}')"""
+    records = table(spark, sf_dir, "events").select("event_id", F.expr(record).alias("json"))
+    path = f"{ensure_checkpoint_dir(spark)}/filed-{uuid.uuid4().hex}"
+    file_pages(paged(records, "helicone"), "helicone", path)
+    since = datetime(2024, 1, 20, 6, 0, 0, 500_000, tzinfo=timezone.utc)
+    pages = read_filed_pages(spark, path, since)
+    kept = within_bounds(unwrap_records(parse_pages(pages, "helicone"), "helicone"), "helicone", since)
+    untimed = F.try_variant_get("rec", "$.created_at", "string").isNull()
+    return kept.agg(F.count("*").alias("n"), F.count_if(untimed).alias("n_untimed"))
+
+
 @query(f"""WITH {sql.BASE}
-SELECT event_id // 100 * 1048576 + event_id % 100 AS src_seq FROM base
+SELECT {PAGE_SEQ} AS src_seq FROM base
 WHERE event_id % 10 <> 7""")
 def top_level(spark, sf_dir):
     order = """CASE event_id % 10 WHEN 7 THEN ',"execution_order":2}'
@@ -335,7 +406,7 @@ def top_level(spark, sf_dir):
         "event_id", F.expr(f"""concat('{{"run":', event_id, {order})""").alias("json")
     )
     parsed = parse_pages(paged(records, "langsmith"), "langsmith")
-    return top_level_runs(unwrap_records(parsed, "langsmith")).select("src_seq")
+    return top_level_runs(unwrap_records(parsed, "langsmith")).select(_seq())
 
 
 # --- pages -------------------------------------------------------------------------
@@ -377,7 +448,7 @@ def page_ledgers(spark, sf_dir):
     )
 
 
-@query("""SELECT event_id // 100 * 1048576 + event_id % 100 AS src_seq FROM events
+@query(f"""SELECT {PAGE_SEQ} AS src_seq FROM events
 WHERE event_id // 100 <= (SELECT (max(event_id) // 100) * 7 // 10 FROM events)""")
 def truncated_pages(spark, sf_dir):
     """Pages end where the cursor ends, seven tenths in; later pages do not count."""
@@ -386,7 +457,7 @@ def truncated_pages(spark, sf_dir):
     )
     pages = paged(records, "langsmith", stop="last_page * 7 DIV 10")
     kept = truncate_pages(parse_pages(pages, "langsmith"), "langsmith")
-    return unwrap_records(kept, "langsmith").select("src_seq")
+    return unwrap_records(kept, "langsmith").select(_seq())
 
 
 ONE_RULE = {"model_misroute": RULES["model_misroute"]}
@@ -457,12 +528,16 @@ def repeated_page_keys(spark, sf_dir):
   CAST(sum(CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 7 END) AS BIGINT) AS rejected
 FROM events""")
 def response_ledger(spark, sf_dir):
-    responses = table(spark, sf_dir, "events").selectExpr(
+    return sum_responses(_responses(spark, sf_dir))
+
+
+def _responses(spark, sf_dir):
+    """One answer to a batch for each event."""
+    return table(spark, sf_dir, "events").selectExpr(
         """concat('{"accepted":', event_id % 50,
              CASE WHEN event_id % 3 = 0 THEN '' ELSE concat(',"rejected":"', event_id % 7, '"') END,
              '}') AS body"""
     )
-    return sum_responses(responses)
 
 
 # --- scalar functions --------------------------------------------------------------
@@ -540,7 +615,7 @@ def _window_rows(spark, sf_dir, keys):
 
 def _window_measures(parts):
     return reduce(DataFrame.unionByName, parts).select(
-        F.col(SEQ).alias("event_id"),
+        F.col(SEQ).cast("bigint").alias("event_id"),
         F.col("n_window").alias("n"),
         F.col("cost_window").alias("cost_all"),
         F.col("first_cost").alias("cost_first"),
@@ -584,7 +659,7 @@ def _flat(events: DataFrame, *evidence: str) -> DataFrame:
         "type",
         "session_id",
         F.unix_micros("raised_at").alias("at_us"),
-        "src_seq",
+        F.col("src_seq").cast("bigint").alias("src_seq"),
         (F.col("estimated_burn") * 1_000_000).cast("bigint").alias("burn_micros"),
         *[F.col("evidence")[e].cast("string").alias(e) for e in evidence],
     )
@@ -804,7 +879,7 @@ def custom_rule(spark, sf_dir):
 def call_costs(spark, sf_dir):
     prices = price_table(synthetic_catalog(spark))
     return with_cost(event_calls(spark, sf_dir), prices).select(
-        "src_seq",
+        F.col("src_seq").cast("bigint").alias("src_seq"),
         F.bround(F.col("cost_nanos").cast("decimal(20,0)") / 1000, 0)
         .cast("bigint")
         .alias("cost_micros"),
@@ -907,7 +982,8 @@ def event_order(spark, sf_dir):
     events, ranks = _delivered(spark, sf_dir)
     keyed = events.withColumn("evidence_key", F.to_json("evidence"))
     return in_delivery_order(keyed, ranks).select(
-        "ordinal", "type", "session_id", F.unix_micros("raised_at").alias("at_us"), "src_seq"
+        "ordinal", "type", "session_id", F.unix_micros("raised_at").alias("at_us"),
+        F.col("src_seq").cast("bigint").alias("src_seq")
     )
 
 
@@ -950,7 +1026,7 @@ def wire_events(spark, sf_dir):
     sent = wire_json(_fire(spark, sf_dir, "model_misroute"))
     burn = F.round(F.variant_get(doc, "$.estimated_burn", "double") * 1_000_000)
     return sent.select(
-        "src_seq",
+        F.col("src_seq").cast("bigint").alias("src_seq"),
         text("$.type").alias("type"),
         text("$.project").alias("project"),
         text("$.session_id").alias("session_id"),
@@ -1013,13 +1089,92 @@ def wire_evidence(spark, sf_dir):
     return wire_json(events).select(
         "type",
         "session_id",
-        "src_seq",
+        F.col("src_seq").cast("bigint").alias("src_seq"),
         F.coalesce(*(text(x) for x in ("tool", "request_hash", "model", "input_hash"))).alias("said"),
         F.try_variant_get(doc, "$.evidence.call_count", "bigint").alias("call_count"),
         F.when(count.isNotNull(), F.schema_of_variant(count)).alias("count_type"),
     )
 
 
+# --- arrival without bounds ----------------------------------------------------------
+
+
+@query("""WITH t AS (SELECT event_id, r FROM events, (SELECT unnest(range(7)) AS r))
+SELECT 'langfuse' AS provider_src, 20240101120000 + event_id // 10000 AS page_idx, count(*) AS n,
+  CAST(sum(CAST(((CAST(20240101120000 + event_id // 10000 AS HUGEINT) * 2147483648
+    + (event_id % 10000) * 7 + r) * 2147483648) * 2 AS HUGEINT) % 1000003) AS BIGINT) AS checksum
+FROM t GROUP BY ALL
+UNION ALL
+SELECT 'langsmith', 1704110400000000000 + event_id // 100, count(*),
+  CAST(sum(CAST(((CAST(1704110400000000000 + event_id // 100 AS HUGEINT) * 2147483648
+    + event_id % 100) * 2147483648) * 2 + 1 AS HUGEINT) % 1000003) AS BIGINT)
+FROM events GROUP BY ALL""")
+def unbounded_ordinals(spark, sf_dir):
+    """Pages numbered by clock times down to nanoseconds, 70,000 traces in a page, two sources: none is rejected."""
+    base = event_base(spark, sf_dir)
+
+    def pages(rows: DataFrame, ordinal: str, envelope: str) -> DataFrame:
+        body = F.array_join(F.transform(F.array_sort(F.collect_list("item")), lambda i: i["json"]), ",")
+        grouped = rows.groupBy(F.expr(ordinal).alias("page_idx")).agg(body.alias("rows"))
+        return grouped.select("page_idx", F.expr(envelope).alias("body"))
+
+    traces = base.select("event_id", F.explode(F.sequence(F.lit(0), F.lit(6))).alias("r")).select(
+        "event_id",
+        F.struct("event_id", "r", F.lit('{"id":"t","observations":[{"type":"GENERATION"}]}').alias("json")).alias("item"),
+    )
+    runs = base.select(
+        "event_id", F.struct("event_id", F.lit('{"id":"r","run_type":"llm"}').alias("json")).alias("item")
+    )
+    langfuse = pages(traces, "20240101120000 + event_id DIV 10000", "concat('{\"data\":[', rows, ']}')")
+    langsmith = pages(runs, "1704110400000000000 + event_id DIV 100", "concat('{\"runs\":[', rows, ']}')")
+    result = analyze_many(
+        spark,
+        [Source(langfuse, "langfuse"), Source(langsmith, "langsmith")],
+        PROJECT,
+        rules=ONE_RULE,
+        dry_run=True,
+        ingest_time=INGEST,
+    )
+    # Two sources share the ordinals, so a page has twice 2**62 of them.
+    return result.calls.groupBy(
+        "provider_src", F.expr("src_seq DIV CAST(9223372036854775808 AS DECIMAL(38,0))").alias("page_idx")
+    ).agg(F.count("*").alias("n"), F.sum(F.expr("CAST(src_seq % 1000003 AS BIGINT)")).alias("checksum"))
+
+
+# --- streams ------------------------------------------------------------------------
+
+
+@query(f"""WITH {sql.BASE}
+SELECT {HELICONE_SESSION} AS session_id, count(*) AS n, CAST(sum(tokens) AS BIGINT) AS prompt_tokens
+FROM base GROUP BY 1""")
+def streamed_calls(spark, sf_dir):
+    """Landed pages through a stream that takes all that is there, a few files a batch."""
+    folder = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    event_pages(spark, sf_dir, "helicone").repartition(8).write.parquet(f"{folder}/pages")
+    pages = stream_page_table(spark, f"{folder}/pages", files_per_batch=4)
+    candidates = stream_candidates(pages, "helicone", INGEST)
+    write_candidates(candidates, f"{folder}/calls", f"{folder}/checkpoint").awaitTermination()
+    calls = calls_of(spark.read.parquet(f"{folder}/calls"))
+    return calls.groupBy("session_id").agg(
+        F.count("*").alias("n"), F.sum("prompt_tokens").alias("prompt_tokens")
+    )
+
+
+@query(_loop_sql("retry_storm", 30, 3, "session", "request_hash"))
+def streamed_retry_storm(spark, sf_dir):
+    """The rule over a stream of calls on Spark's state; one last call far ahead moves the mark past all."""
+    folder = f"{ensure_checkpoint_dir(spark)}/stream-{uuid.uuid4().hex}"
+    calls = event_calls(spark, sf_dir)
+    last = calls.limit(1).withColumns(
+        {"timestamp": F.lit(INGEST), "session_id": F.lit("last"), "src_seq": F.lit(-1).cast("decimal(38,0)")}
+    )
+    calls.unionByName(last).write.parquet(f"{folder}/calls")
+    landed = spark.readStream.schema(spark.read.parquet(f"{folder}/calls").schema).parquet(f"{folder}/calls")
+    storm = StreamingRule(RULES["retry_storm"], folder, synthetic_catalog(spark), PROJECT, 60)
+    storm.start(landed).awaitTermination()
+    return _flat(storm.events(spark), "request_hash", "call_count")
+
+
 # --- whole imports -----------------------------------------------------------------
 
 
@@ -1038,6 +1193,12 @@ def _summary_columns(row: DataFrame) -> DataFrame:
         of("n_model_misroute", "model_misroute"),
         of("n_tool_loop", "tool_loop"),
         (F.col("estimated_burn_total_usd") * 100).cast("bigint").alias("burn_cents"),
+        *[
+            F.coalesce((F.col("burn_by_type")[kind] * 100).cast("bigint"), F.lit(0)).alias(f"{kind}_cents")
+            for kind in ("retry_storm", "model_misroute", "tool_loop")
+        ],
+        "backfill_accepted",
+        "backfill_rejected",
         F.col("dry_run").cast("int").alias("dry_run"),
     )
 
@@ -1063,22 +1224,38 @@ SELECT (SELECT count(*) FROM events) AS fetched_traces,
   count(*) AS fired_events,
   count(*) FILTER (type = 'retry_storm') AS n_retry_storm,
   count(*) FILTER (type = 'model_misroute') AS n_model_misroute,
-  CAST(0 AS BIGINT) AS n_tool_loop, {sql.cents("sum(burn_micros)")} AS burn_cents, 1 AS dry_run
+  CAST(0 AS BIGINT) AS n_tool_loop, {sql.cents("sum(burn_micros)")} AS burn_cents,
+  {sql.cents("sum(burn_micros) FILTER (type = 'retry_storm')")} AS retry_storm_cents,
+  {sql.cents("sum(burn_micros) FILTER (type = 'model_misroute')")} AS model_misroute_cents,
+  CAST(0 AS BIGINT) AS tool_loop_cents,
+  (SELECT CAST(sum(event_id % 50) AS BIGINT) FROM events) AS backfill_accepted,
+  (SELECT CAST(sum(event_id % 7) AS BIGINT) FROM events WHERE event_id % 3 <> 0) AS backfill_rejected, 1 AS dry_run
 FROM m""")
 def helicone_import(spark, sf_dir):
-    """Pages to summary: the flagship path."""
+    """Pages to summary: the flagship path, with a log of answers to batches."""
     pages = event_pages(spark, sf_dir, "helicone")
-    result = analyze(spark, pages, "helicone", PROJECT, dry_run=True, ingest_time=INGEST)
+    answers = _responses(spark, sf_dir)
+    result = analyze(
+        spark, pages, "helicone", PROJECT, dry_run=True, ingest_time=INGEST, responses=answers
+    )
     return _summary_columns(result.summary)
 
 
 @query(f"""{HELICONE_IMPORT}
 SELECT CASE WHEN count(*) > 0 THEN 'leaks' ELSE 'clean' END AS status, count(*) AS fired_events,
-  1 AS dry_run FROM m""")
+  1 AS dry_run FROM m
+UNION ALL SELECT CASE WHEN count(*) > 0 THEN 'clean' ELSE 'no_traces' END, 0, 1 FROM events
+UNION ALL SELECT 'no_traces', 0, 1""")
 def status(spark, sf_dir):
+    """An import with leaks, one whose only rule has nothing to look for, and one of no pages."""
     pages = event_pages(spark, sf_dir, "helicone")
-    result = analyze(spark, pages, "helicone", PROJECT, dry_run=True, ingest_time=INGEST)
-    return status_report(result.summary).withColumn("dry_run", F.col("dry_run").cast("int"))
+    silent = {"config": {"model_misroute.keywords": []}, "rules": ONE_RULE}
+    results = [
+        analyze(spark, some, "helicone", PROJECT, dry_run=True, ingest_time=INGEST, **options)
+        for some, options in ((pages, {}), (pages, silent), (pages.filter("page_idx < 0"), silent))
+    ]
+    reports = [status_report(result.summary) for result in results]
+    return reduce(DataFrame.unionByName, reports).withColumn("dry_run", F.col("dry_run").cast("int"))
 
 
 @query(f"""WITH {sql.BASE},

@@ -30,7 +30,7 @@ from tracewaste.functions.values import (
     whole_number,
 )
 from tracewaste.schemas import CALLS, REJECTED, column_names
-from tracewaste.sources.pages import NESTED_POSITION_BITS, nested_sequence
+from tracewaste.sources.pages import nested_ordinal
 
 NO_META = "CAST(map() AS MAP<STRING, STRING>)"
 
@@ -191,7 +191,6 @@ def langfuse_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame:
             "provider_src",
             "page_idx",
             "src_seq",
-            "n_rows",
             "trace_reason",
             "v_outer",
             ids.session_id(
@@ -257,11 +256,10 @@ def langfuse_candidates(records: DataFrame, ingest_time: datetime) -> DataFrame:
     def tokens(name: str) -> Column:
         return usage.zero_unless(F.col("countable"), usage.or_zero(F.col(name)))
 
-    position = F.shiftright("src_seq", NESTED_POSITION_BITS).bitwiseAND(F.lit(2**NESTED_POSITION_BITS - 1))
     return derived.select(
         "provider_src",
         "page_idx",
-        nested_sequence(F.col("page_idx"), position, F.col("obs_pos"), F.col("n_rows")).alias("src_seq"),
+        nested_ordinal(F.col("src_seq"), F.col("obs_pos")).alias("src_seq"),
         "session_id",
         "timestamp",
         models.provider_from_model(
@@ -389,9 +387,7 @@ CANDIDATES = {
 def normalize_records(records: DataFrame, provider: str, ingest_time: datetime) -> DataFrame:
     """Candidate calls of one provider's records; rejected records carry no session."""
     found = CANDIDATES[provider](records, ingest_time)
-    unplaced = F.when(F.col("page_idx").isNull(), F.lit("page_without_ordinal")).when(
-        F.col("src_seq").isNull(), F.lit("too_many_elements_in_page")
-    )
+    unplaced = F.when(F.col("page_idx").isNull(), F.lit("page_without_ordinal"))
     found = found.withColumn("skip_reason", F.coalesce(unplaced, "skip_reason"))
     no_session = F.coalesce(
         F.col("skip_reason").isin("record_not_an_object", "page_without_ordinal"), F.lit(False)

@@ -145,7 +145,7 @@ def trailing_window(
 ) -> list[DataFrame]:
     """``rows`` whose trailing window holds at least ``min_calls`` rows, with the window's measures.
 
-    ``rows`` holds the ``keys``, ``at_us`` (BIGINT microseconds), ``seq`` (unique
+    ``rows`` holds the ``keys``, ``at_us`` (BIGINT microseconds), ``seq`` (any number, unique
     per key and time), ``cost_nanos`` and ``flag`` (0 or 1). Returned as one frame
     for the ordinary keys and, where there are hot keys, a second one for those;
     no key is in both.

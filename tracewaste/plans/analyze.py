@@ -25,6 +25,7 @@ from tracewaste.session import prepare_session, write_table
 from tracewaste.sources.pages import (
     PAGE_SIZE,
     check_provider,
+    interleaved,
     is_last_page,
     parse_pages,
     sum_responses,
@@ -136,9 +137,13 @@ def _analyze(
     for number, source in enumerate(sources):
         table, facts = import_source(source, moment)
         counts.update(facts)
-        # Interleaving keeps ordinals unique across sources and each source's own order.
-        seq = F.col("src_seq") * len(sources) + number
-        tables.append(table.withColumn("src_seq", seq))
+        if len(sources) > 1:
+            table = table.withColumn("src_seq", interleaved(F.col("src_seq"), len(sources), number))
+            beyond = F.when(
+                F.col("page_idx").isNotNull() & F.col("src_seq").isNull(), F.lit("page_ordinal_too_large")
+            )
+            table = table.withColumn("skip_reason", F.coalesce("skip_reason", beyond))
+        tables.append(table)
     candidates = reduce(DataFrame.unionByName, tables)
     calls, rejected = calls_of(candidates), rejected_of(candidates)
     prices = synthetic_catalog(spark) if catalog is None else catalog

@@ -16,10 +16,10 @@ from tracewaste.functions.values import at, elements, is_string, is_truthy, whol
 PROVIDERS = ("helicone", "langfuse", "langsmith")
 PAGE_SIZE = 100
 
-# src_seq = page_idx, then position in the page, then (for nested formats) position in the record.
-POSITION_BITS = 20
-NESTED_POSITION_BITS = 16
-MAX_PAGES = 2**31
+# An arrival ordinal is the page's, then the position in the page, then (for nested formats) that in the
+# record, as one number. An array has fewer than 2**31 elements, and any page ordinal has room above.
+POSITION_BITS = 31
+ORDINAL = "decimal(38,0)"
 
 
 def check_provider(provider: str) -> str:
@@ -29,8 +29,8 @@ def check_provider(provider: str) -> str:
 
 
 def page_ordinal(ordinal: Column) -> Column:
-    """A page's ordinal; none if it is missing or out of range, which rejects the page's records."""
-    return F.when((ordinal >= 0) & (ordinal < MAX_PAGES), ordinal).alias("page_idx")
+    """A page's ordinal; none if it is missing or negative, which rejects the page's records."""
+    return F.when(ordinal >= 0, ordinal).alias("page_idx")
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
@@ -72,14 +72,15 @@ def _page_elements(provider: str, body: Column) -> Column:
     return F.coalesce(listed, F.expr("CAST(array() AS ARRAY<VARIANT>)"))
 
 
-def parse_pages(pages: DataFrame, provider: str) -> DataFrame:
+def parse_pages(pages: DataFrame, provider: str, keep_body: bool = False) -> DataFrame:
     """Pages with their parsed ``doc``, element array and row count.
 
     Text that is not JSON becomes a NULL document without rows, not a failed job; a page without an
     ordinal keeps its records, or an empty one, which are rejected with that reason.
     """
     check_provider(provider)
-    parsed = pages.select("page_idx", F.try_parse_json("body").alias("doc"))
+    kept = ["page_idx", "body"] if keep_body else ["page_idx"]
+    parsed = pages.select(*kept, F.try_parse_json("body").alias("doc"))
     found = _page_elements(provider, F.col("doc"))
     # A page without an ordinal keeps one empty record at least, so that it is reported.
     lost = F.col("page_idx").isNull() & (F.size("items") == 0)
@@ -124,27 +125,24 @@ def truncate_pages(parsed: DataFrame, provider: str, page_size: int = PAGE_SIZE)
     )
 
 
-def record_sequence(page_idx: Column, position: Column) -> Column:
-    """Arrival ordinal of an element of a page; none beyond 2**20 elements, which rejects it."""
-    fits = position < 2**POSITION_BITS
-    return F.when(fits, page_idx * 2**POSITION_BITS + position.cast("bigint"))
+def arrival_ordinal(page_idx: Column, position: Column) -> Column:
+    """Arrival ordinal of an element of a page; what is nested in it follows by its own position."""
+    place = page_idx.cast("decimal(19,0)") * 2**POSITION_BITS + position
+    return (place * 2**POSITION_BITS).cast(ORDINAL)
 
 
-def nested_sequence(page_idx: Column, position: Column, nested: Column, n_rows: Column) -> Column:
-    """Arrival ordinal of an element nested in a record of a page of ``n_rows`` records.
+def nested_ordinal(record: Column, position: Column) -> Column:
+    """Arrival ordinal of an element nested in the record with ordinal ``record``."""
+    return (record + position).cast(ORDINAL)
 
-    A page has 2**32 ordinals. Each record owns 2**16 of them, and a longer one goes on in its share of
-    those that no record of the page owns, so a page of a hundred records takes 40 million elements in
-    one. Where even those run out there is none, which rejects the element.
+
+def interleaved(ordinal: Column, sources: int, number: int) -> Column:
+    """Ordinals of the ``number``-th of several sources, unique across them and in each source's own order.
+
+    Two sources have room for any page ordinal; for many, one beyond the layout's 38 digits is none.
     """
-    slot, page = 2**NESTED_POSITION_BITS, 2 ** (2 * NESTED_POSITION_BITS)
-    position, nested = position.cast("bigint"), nested.cast("bigint")
-    owned = F.least(n_rows, F.lit(slot)) * slot
-    share = F.floor((F.lit(page) - owned) / n_rows)
-    further = nested - slot
-    return page_idx * page + F.when((position < slot) & (nested < slot), position * slot + nested).when(
-        (position < slot) & (further < share), owned + position * share + further
-    )
+    scaled = F.try_multiply(ordinal, F.lit(sources).cast("decimal(10,0)"))
+    return F.try_add(scaled, F.lit(number).cast("decimal(10,0)")).cast(ORDINAL)
 
 
 def unwrap_records(parsed: DataFrame, provider: str) -> DataFrame:
@@ -154,15 +152,12 @@ def unwrap_records(parsed: DataFrame, provider: str) -> DataFrame:
     to number the rows. The outer form keeps Spark from adding a size check below
     the parse, which would parse every page a second time.
     """
-    exploded = parsed.select(
-        "page_idx", "n_rows", F.posexplode_outer("items").alias("pos", "rec")
-    ).filter("pos IS NOT NULL")
-    if provider == "langfuse":
-        seq = nested_sequence(F.col("page_idx"), F.col("pos"), F.lit(0), F.col("n_rows"))
-    else:
-        seq = record_sequence(F.col("page_idx"), F.col("pos"))
+    exploded = parsed.select("page_idx", F.posexplode_outer("items").alias("pos", "rec")).filter("pos IS NOT NULL")
     return exploded.select(
-        F.lit(provider).alias("provider_src"), "page_idx", seq.alias("src_seq"), "n_rows", "rec"
+        F.lit(provider).alias("provider_src"),
+        "page_idx",
+        arrival_ordinal(F.col("page_idx"), F.col("pos")).alias("src_seq"),
+        "rec",
     )
 
 

@@ -25,10 +25,11 @@ def stream_page_files(spark: SparkSession, path: str) -> DataFrame:
     return files.select(page_ordinal(name.try_cast("bigint")), F.col("value").alias("body"))
 
 
-def stream_page_table(spark: SparkSession, path: str) -> DataFrame:
-    """New parquet files of a page table."""
+def stream_page_table(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """New parquet files of a page table, by default all at once."""
     prepare_session(spark)
-    return spark.readStream.schema(PAGES).parquet(path)
+    reader = spark.readStream.schema(PAGES)
+    return (reader.option("maxFilesPerTrigger", files_per_batch) if files_per_batch else reader).parquet(path)
 
 
 def stream_candidates(pages: DataFrame, provider: str, ingest_time: datetime) -> DataFrame:

@@ -1,65 +1,124 @@
-"""The windowed rules over a stream of calls.
-
-Each micro-batch runs the batch operators over the new calls and a short tail
-of earlier ones, so a hot key is split across tasks exactly as in batch; a
-per-key state store would hand it to a single task. State is a handful of
-tables in a shared folder, written per batch id and read from the previous one,
-so a repeated batch overwrites its own output and nothing else.
-
-Calls wait until the mark, the latest event time minus the allowed delay, has
-passed them, and are then evaluated in time order. Calls that arrive behind the
-mark are too late to be evaluated; they go to a table of their own.
+"""The windowed rules over a stream of calls, on Spark's own watermark, timers and state.
+
+A rule's rows are keyed by the rule's keys and a slice of time, ``SLICE_WINDOWS`` windows long. A row
+belongs to its own slice, and one that lies in the slice's last window also goes to the next slice, where
+it only completes windows. So slices are independent: a key of very many calls is spread over as many
+groups as its calls span slices, and a group's state holds the rows of one slice and one window, no more.
+When the watermark passes a slice's end, a timer evaluates the slice in time order, and its state goes.
+
+The stream writes every firing. De-duplication reads those few rows as a batch, with the batch operator.
+Calls behind the watermark are dropped by Spark, and those ahead of it still wait; both are in the table
+of calls that the import has written, and the batch rules over that table tell what is to be added to the
+stream's firings or taken back (:meth:`StreamingRule.corrections`).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 from datetime import datetime
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import BooleanType, DecimalType, IntegerType, LongType, StructField, StructType
 
 from tracewaste.functions.times import moment_literal
 from tracewaste.operators.catalog import price_table
 from tracewaste.operators.firing import first_per_key
-from tracewaste.operators.rules import SECOND_US, RuleContext, WindowedRule, retry_storm, tool_loop
-from tracewaste.operators.trailing import AT, SEQ
-
-# What the windowed rules read of a call.
-CALL_COLUMNS = [
-    "session_id",
-    "timestamp",
-    "src_seq",
-    "model",
-    "prompt_tokens",
-    "completion_tokens",
-    "request_hash",
-    "tool_calls",
-    "user_facing_output",
-]
-NO_MARK = -(2**62)
-END_OF_TIME = 2**62
+from tracewaste.operators.rules import SECOND_US, RuleContext, WindowedRule
+from tracewaste.operators.trailing import AT, COST, FLAG, SEQ
+from tracewaste.sources.pages import ORDINAL
+
+SLICE_WINDOWS = 4
+STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The measures of a firing that need no more of the past than its window.
+MEASURES = ["n_window", "cost_window", "flagged_window", "first_cost"]
+# Built from types: a worker has no session that could parse a layout.
+STORED = StructType(
+    [
+        StructField(AT, LongType()),
+        StructField(SEQ, DecimalType(38, 0)),
+        StructField(COST, LongType()),
+        StructField(FLAG, IntegerType()),
+        StructField("own", BooleanType()),
+    ]
+)
+
+
+def window_measures(at, seq, cost, flag, span_us: int) -> tuple[pd.DataFrame, np.ndarray]:
+    """The rows of one key in order, each with the measures of its trailing window, and that order."""
+    # Ordinals are exact decimals, which only Python sorts.
+    order = np.array(sorted(range(len(at)), key=lambda i: (at[i], seq[i])))
+    at, seq, cost, flag = (np.asarray(x)[order] for x in (at, seq, cost, flag))
+    first = np.searchsorted(at, at - span_us, side="left")
+    costs, flags = (np.concatenate([[0], np.cumsum(x)]) for x in (cost, flag))
+    here = np.arange(len(at))
+    return pd.DataFrame(
+        {
+            AT: at,
+            SEQ: seq,
+            COST: cost,
+            FLAG: flag,
+            "n_window": here - first + 1,
+            "cost_window": costs[here + 1] - costs[first],
+            "flagged_window": flags[here + 1] - flags[first],
+            "first_cost": cost[first],
+        }
+    ), order
+
+
+class SliceProcessor(StatefulProcessor):
+    """The rows of a key's slice until the watermark passes its end, then their firings."""
+
+    def __init__(self, columns: list[str], span_us: int, slice_us: int, min_calls: int):
+        self.columns, self.span_us, self.slice_us, self.min_calls = columns, span_us, slice_us, min_calls
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.rows = handle.getListState("rows", STORED)
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        if not self.rows.exists():
+            # A slice that only completes windows has a timer too, which clears it.
+            self.handle.registerTimer((int(key[-1]) + 1) * self.slice_us // 1000)
+        for part in rows:
+            columns = (part[c].tolist() for c in (AT, SEQ, COST, FLAG, "own"))
+            self.rows.appendList(list(zip(*columns, strict=True)))
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        at, seq, cost, flag, own = (np.array(c) for c in zip(*self.rows.get(), strict=True))
+        measured, order = window_measures(at, seq, cost, flag, self.span_us)
+        fired = measured[own[order] & (measured["n_window"] >= self.min_calls)]
+        self.rows.clear()
+        if len(fired):
+            named = dict(zip(self.columns, key[:-1], strict=True))
+            yield fired.assign(**named)[[*self.columns, AT, SEQ, COST, FLAG, *MEASURES]]
+
+    def close(self) -> None:
+        pass
 
 
 @dataclass(frozen=True)
-class StreamingReplay:
-    """A ``foreachBatch`` function that turns calls into events.
-
-    De-duplication is ``session`` (one event per key, remembered in the state) or
-    ``none``. Events of batch ``n`` are in ``<folder>/events/batch=n``.
+class StreamingRule:
+    """One windowed rule over a stream of calls; firings go to ``<folder>/firings-<rule>``.
 
-    ``ingest_time`` is what the normaliser gave calls without a time of their own.
-    Those do not move the mark, or all older calls still to come would be late.
+    De-duplication is ``session`` or ``none``. Calls that carry ``ingest_time`` had no time of their own:
+    they would push the watermark past all others, so they are left to the corrections.
     """
 
+    rule: WindowedRule
     folder: str
     catalog: DataFrame
     project: str
     delay_seconds: float
     config: dict[str, Any] = field(default_factory=dict)
-    rules: tuple[WindowedRule, ...] = (tool_loop, retry_storm)
     ingest_time: datetime | None = None
 
     def __post_init__(self) -> None:
@@ -69,77 +128,88 @@ class StreamingReplay:
     def _context(self) -> RuleContext:
         return RuleContext(self.project, self.config)
 
-    def _path(self, name: str, batch_id: int) -> str:
-        return f"{self.folder}/{name}/batch={batch_id}"
-
-    def _write(self, df: DataFrame, name: str, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(self._path(name, batch_id))
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self._advance(batch.select(*CALL_COLUMNS), batch_id, None)
-
-    def finish(self, schema_source: DataFrame, batch_id: int) -> None:
-        """Evaluate the calls still waiting, as batch ``batch_id``, once the stream has ended."""
-        empty = schema_source.select(*CALL_COLUMNS).limit(0)
-        self._advance(empty, batch_id, END_OF_TIME)
-
-    def events(self, spark) -> DataFrame:
-        """All events so far."""
-        return spark.read.parquet(f"{self.folder}/events").drop("batch")
-
-    def _advance(self, incoming: DataFrame, batch_id: int, end: int | None) -> None:
-        spark = incoming.sparkSession
-        at_us = F.unix_micros("timestamp")
-
-        def previous(name: str) -> DataFrame:
-            if batch_id == 0:
-                return incoming.limit(0)
-            return spark.read.schema(incoming.schema).parquet(self._path(name, batch_id - 1))
-
-        passed = NO_MARK
-        if batch_id > 0:
-            passed = spark.read.parquet(self._path("mark", batch_id - 1)).first()["mark"]
-        self._write(incoming.filter(at_us <= passed), "late", batch_id)
-        waiting = previous("held").unionByName(incoming.filter(at_us > passed))
-        mark = end
-        if mark is None:
-            timed = waiting
-            if self.ingest_time is not None:
-                timed = waiting.filter(F.col("timestamp") != moment_literal(self.ingest_time))
-            latest = timed.agg(F.max(at_us).alias("at")).first()["at"]
-            delay = int(self.delay_seconds * SECOND_US)
-            mark = passed if latest is None else max(passed, latest - delay)
-        self._write(waiting.filter(at_us > mark), "held", batch_id)
-        known = previous("tail").unionByName(waiting.filter(at_us <= mark))
-        context = self._context()
-        span = max(rule.span_us(context) for rule in self.rules)
-        self._write(known.filter(at_us > mark - span), "tail", batch_id)
-        self._fire(known, passed, batch_id, context)
-        # The mark is written last: a batch without one has not been completed.
-        self._write(spark.createDataFrame([(mark,)], "mark BIGINT"), "mark", batch_id)
-
-    def _fire(
-        self, known: DataFrame, passed: int, batch_id: int, context: RuleContext
-    ) -> None:
-        prices = price_table(self.catalog)
-        events = []
-        for rule in self.rules:
-            # Rows of the tail only complete the windows; they were evaluated before.
-            firings = reduce(
-                DataFrame.unionByName, rule.firings(known, prices, context)
-            ).filter(F.col(AT) > passed)
-            if context.get("dedup") == "session":
-                firings = first_per_key(firings, rule.keys, [AT, SEQ])
-                fired = f"{self.folder}/fired-{rule.name}"
-                if batch_id > 0:
-                    earlier = (
-                        known.sparkSession.read.parquet(fired)
-                        .filter(F.col("batch") < batch_id)
-                        .select(*rule.keys)
-                    )
-                    firings = firings.join(earlier, rule.keys, "left_anti")
-                firings.select(*rule.keys).write.mode("overwrite").parquet(
-                    f"{fired}/batch={batch_id}"
-                )
-            events.append(rule.events(firings, context))
-        self._write(reduce(DataFrame.unionByName, events), "events", batch_id)
+    def _rows(self, calls: DataFrame) -> DataFrame:
+        timed = calls.filter("timestamp IS NOT NULL")
+        if self.ingest_time is not None:
+            timed = timed.filter(F.col("timestamp") != moment_literal(self.ingest_time))
+        return self.rule.rows(timed, price_table(self.catalog))
+
+    def fired(self, calls: DataFrame) -> DataFrame:
+        """The firings of a stream of calls, once the watermark has passed them."""
+        context, keys = self._context(), self.rule.keys
+        span = self.rule.span_us(context)
+        length = SLICE_WINDOWS * span
+        own = F.expr(f"{AT} div {length}")
+        rows = self._rows(calls).withColumn(SEQ, F.col(SEQ).cast(ORDINAL))
+        slices = F.when(
+            F.col(AT) >= (own + 1) * length - span,
+            F.array(F.struct(own.alias("slice"), F.lit(True).alias("own")), F.struct((own + 1).alias("slice"), F.lit(False).alias("own"))),
+        ).otherwise(F.array(F.struct(own.alias("slice"), F.lit(True).alias("own"))))
+        sliced = (
+            rows.withColumn("at", F.timestamp_micros(AT))
+            .withWatermark("at", f"{int(self.delay_seconds * 1000)} milliseconds")
+            .select(*keys, AT, SEQ, COST, FLAG, "at", F.explode(slices).alias("in"))
+            .select(*keys, AT, SEQ, COST, FLAG, "at", "in.slice", "in.own")
+        )
+        measures = ", ".join(f"{m} BIGINT" for m in MEASURES)
+        layout = ", ".join(f"{k} STRING" for k in keys)
+        layout = f"{layout}, {AT} BIGINT, {SEQ} DECIMAL(38,0), {COST} BIGINT, {FLAG} INT, {measures}"
+        processor = SliceProcessor(keys, span, length, context.get(f"{self.rule.name}.min_calls"))
+        fired = sliced.groupBy(*keys, "slice").transformWithStateInPandas(
+            processor, StructType.fromDDL(layout), outputMode="append", timeMode="EventTime"
+        )
+        return self._spoken(fired)
+
+    def _spoken(self, firings: DataFrame) -> DataFrame:
+        if self._context().get(f"{self.rule.name}.respect_user_facing"):
+            return firings.filter("flagged_window = 0")
+        return firings
+
+    def start(self, calls: DataFrame, **trigger: Any) -> StreamingQuery:
+        """Start the rule over a stream of calls; by default all calls that are there now."""
+        calls.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", STATE_STORE)
+        return (
+            self.fired(calls)
+            .writeStream.format("parquet")
+            .option("checkpointLocation", f"{self.folder}/checkpoint-{self.rule.name}")
+            .trigger(**(trigger or {"availableNow": True}))
+            .start(f"{self.folder}/firings-{self.rule.name}")
+        )
+
+    def firings(self, spark: SparkSession) -> DataFrame:
+        """Every firing the stream has written."""
+        return spark.read.parquet(f"{self.folder}/firings-{self.rule.name}")
+
+    def _events(self, firings: DataFrame) -> DataFrame:
+        if self._context().get("dedup") == "session":
+            firings = first_per_key(firings, self.rule.keys, [AT, SEQ])
+        return self.rule.events(firings, self._context())
+
+    def events(self, spark: SparkSession) -> DataFrame:
+        """Events of what the stream has written."""
+        return self._events(self.firings(spark))
+
+    def _batch_firings(self, calls: DataFrame) -> DataFrame:
+        parts = self.rule.firings(calls, price_table(self.catalog), self._context())
+        return reduce(DataFrame.unionByName, parts).select(*self.rule.keys, AT, SEQ, COST, FLAG, *MEASURES)
+
+    def corrections(self, calls: DataFrame) -> DataFrame:
+        """(change, ...firing): what ``calls``, the written table, adds to the stream's firings or takes back.
+
+        Late calls and those that still wait add firings; a late call can also change a window that has
+        fired: the old firing is dropped and the new one added.
+        """
+        truth, written = self._batch_firings(calls), self.firings(calls.sparkSession)
+        columns = truth.columns
+        written = written.select(*(F.col(c).cast(truth.schema[c].dataType).alias(c) for c in columns))
+        add = truth.exceptAll(written).withColumn("change", F.lit("add"))
+        drop = written.exceptAll(truth).withColumn("change", F.lit("drop"))
+        return add.unionByName(drop).select("change", *columns)
+
+    def corrected_events(self, calls: DataFrame) -> DataFrame:
+        """Events of the stream's firings with the corrections applied; those of the batch rules."""
+        changes = self.corrections(calls)
+        columns = [c for c in changes.columns if c != "change"]
+        written = self.firings(calls.sparkSession).select(*columns)
+        kept = written.exceptAll(changes.filter("change = 'drop'").select(*columns))
+        return self._events(kept.unionByName(changes.filter("change = 'add'").select(*columns)))
