@@ -4,7 +4,8 @@ Each component of a block of vectors is a sorted list. For a query, a list is re
 scores most: from its largest values if the query's component is positive, else from its smallest. All
 lists are read in step. A value read counts as it is; one not yet read lies between the list's far end
 and the place reached, which gives every vector a lower and an upper bound. A vector whose upper bound
-is below the k-th best lower bound can no longer qualify; once few are left, their scores are resolved.
+is below the k-th best lower bound can no longer qualify; once few are left, or the lists are nearly
+read, the scores of those still open are resolved, and only theirs.
 
 Bounds of all vectors for all queries of a block are two matrix products, since for a given depth
 "value, or else the place reached" is one matrix for all queries.
@@ -27,7 +28,7 @@ K = 20
 BLOCK_VECTORS = 2_048
 BLOCK_QUERIES = 2_048
 #: Parts of the lists read before each look at the bounds, and the part of a block worth resolving.
-DEPTHS = (1 / 8, 1 / 4, 3 / 8, 1 / 2, 3 / 4)
+DEPTHS = (1 / 4, 1 / 2, 3 / 4, 7 / 8, 15 / 16)
 RESOLVE = 1 / 16
 EXACT = 2**53
 CELL_DDL = "query_row long, query_id long, vec_id long, score long"
@@ -49,8 +50,11 @@ def _resolved(values, ids, query, candidates, k):
     return candidates[best], scores[best]
 
 
-def best_in_block(values, ids, queries, query_ids, k=K):
-    """(query, vector, score) index arrays: the k best rows of a block for each query, own ids left out."""
+def best_in_block(values, ids, rows, queries, query_rows, k=K, seen=None):
+    """(query, vector, score) index arrays: the k best rows of a block for each query, its own row left out.
+
+    ``seen``, a dict, counts the (query, vector) pairs that bounds closed and those that were resolved.
+    """
     n, m = len(values), len(queries)
     d = max(values.shape[1], queries.shape[1])
     values = np.pad(values, ((0, 0), (0, d - values.shape[1])))
@@ -62,6 +66,9 @@ def best_in_block(values, ids, queries, query_ids, k=K):
     out = []
 
     def resolve(query, candidates):
+        if seen is not None:
+            seen["resolved"] = seen.get("resolved", 0) + len(candidates)
+            seen["closed"] = seen.get("closed", 0) + n - len(candidates)
         at, scores = _resolved(values, ids, queries[query], candidates, k)
         out.append((np.full(len(at), query), at, scores))
 
@@ -75,31 +82,32 @@ def best_in_block(values, ids, queries, query_ids, k=K):
             upper = gain[active] @ np.maximum(values, falling).T + loss[active] @ np.minimum(values, rising).T
             lower = gain[active] @ np.where(values >= falling, values, lists[0]).T
             lower += loss[active] @ np.where(values <= rising, values, lists[-1]).T
-            lower[query_ids[active][:, None] == ids[None, :]] = -np.inf
+            own = query_rows[active][:, None] == rows[None, :]
+            lower[own] = -np.inf
             bar = np.partition(lower, n - k, axis=1)[:, n - k]
-            open_ = (upper >= bar[:, None]) & (query_ids[active][:, None] != ids[None, :])
-            done = open_.sum(axis=1) <= max(k, n * RESOLVE)
+            open_ = (upper >= bar[:, None]) & ~own
+            done = (open_.sum(axis=1) <= max(k, n * RESOLVE)) | (depth == DEPTHS[-1])
             for row in np.flatnonzero(done):
                 resolve(active[row], np.flatnonzero(open_[row]))
             active = active[~done]
             if not len(active):
                 break
-    for query in active:  # read to the end
-        resolve(query, np.flatnonzero(ids != query_ids[query]))
+    for query in active:  # a block of few rows, or of scores beyond exact floats, is read to the end
+        resolve(query, np.flatnonzero(rows != query_rows[query]))
     return tuple(np.concatenate(x) if out else np.zeros(0, np.int64) for x in (list(zip(*out, strict=True)) or [[]] * 3))
 
 
 def _cell(vectors: pa.Table, queries: pa.Table) -> pa.Table:
     ids, query_ids = vectors["vec_id"].to_numpy(), queries["query_id"].to_numpy()
-    rows = queries["query_row"].to_numpy()
+    rows, query_rows = vectors["row"].to_numpy(), queries["query_row"].to_numpy()
     if not len(ids) or not len(query_ids):
         which, at, score = (np.zeros(0, np.int64),) * 3
     else:
-        which, at, score = best_in_block(_matrix(vectors["v"]), ids, _matrix(queries["qv"]), query_ids)
+        which, at, score = best_in_block(_matrix(vectors["v"]), ids, rows, _matrix(queries["qv"]), query_rows)
     limit = 2**63 - 1
     return pa.table(
         {
-            "query_row": rows[which],
+            "query_row": query_rows[which],
             "query_id": query_ids[which],
             "vec_id": ids[at],
             "score": pa.array([max(-limit - 1, min(limit, int(s))) for s in score], pa.int64()),
@@ -118,7 +126,7 @@ def nearest(embeddings: DataFrame, is_query: Column) -> DataFrame:
     """The K best rows for each query row by integer inner product, ties to smaller ids.
 
     Queries are the rows for which ``is_query`` (an expression on vec_id) holds; candidates are all rows
-    with another vec_id. Rows whose vec_id is null, or whose vector is null or has a null or non-finite
+    but the query's own, other rows with its vec_id included. Rows whose vec_id is null, or whose vector is null or has a null or non-finite
     component, take no part. Shorter vectors count as filled up with zeros, an empty one scores 0.
     Repeated rows are candidates each and, as queries, answered each. Components and scores beyond 64
     bits stop at the border. Further columns play no part.
@@ -142,7 +150,7 @@ def nearest(embeddings: DataFrame, is_query: Column) -> DataFrame:
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     vectors = rows.select(
-        "vec_id", "v", dealt(F.col("row"), blocks).alias("b"), every(query_blocks).alias("c")
+        "vec_id", "row", "v", dealt(F.col("row"), blocks).alias("b"), every(query_blocks).alias("c")
     )
     queries = asked.select(
         F.col("row").alias("query_row"),
