@@ -7,19 +7,22 @@ its oldest and newest record time beside it and the newest one's date into the f
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewaste.functions.times import iso_text, moment_literal, parse_iso, to_utc
+from tracewaste.functions.times import iso_text, parse_iso, to_utc
 from tracewaste.functions.values import at
 from tracewaste.sources.pages import parse_pages
 from tracewaste.sources.windows import TIME_FIELD
 
-FILED = "page_idx BIGINT, body STRING, oldest TIMESTAMP, newest TIMESTAMP, dt DATE"
+# Times are whole microseconds, of which Parquet keeps ranges that a scan can skip by.
+FILED = "page_idx BIGINT, body STRING, oldest_us BIGINT, newest_us BIGINT, dt DATE"
 # Pages that no bound may leave out: with a record without a readable time, without an ordinal, unreadable.
 OPEN_DATE = "9999-12-31"
+OPEN_US = 2**62
+SECOND_US = 1_000_000
 
 
 def filed_pages(pages: DataFrame, provider: str) -> DataFrame:
@@ -27,14 +30,14 @@ def filed_pages(pages: DataFrame, provider: str) -> DataFrame:
     parsed = parse_pages(pages, provider, keep_body=True)
     field = f"$.{TIME_FIELD[provider]}"
     times = F.transform("items", lambda rec: parse_iso(iso_text(at(rec, field))))
-    timed = parsed.withColumn("times", times)
     is_open = F.col("page_idx").isNull() | (F.size("times") == 0) | F.exists("times", lambda t: t.isNull())
-    return timed.select(
+    newest = F.array_max("times")
+    return parsed.withColumn("times", times).select(
         "page_idx",
         "body",
-        F.array_min("times").alias("oldest"),
-        F.array_max("times").alias("newest"),
-        F.when(is_open, F.lit(OPEN_DATE).cast("date")).otherwise(F.to_date(F.array_max("times"))).alias("dt"),
+        F.when(is_open, F.lit(-OPEN_US)).otherwise(F.unix_micros(F.array_min("times"))).alias("oldest_us"),
+        F.when(is_open, F.lit(OPEN_US)).otherwise(F.unix_micros(newest)).alias("newest_us"),
+        F.when(is_open, F.lit(OPEN_DATE).cast("date")).otherwise(F.to_date(newest)).alias("dt"),
     )
 
 
@@ -53,13 +56,14 @@ def read_filed_pages(
     they count as not fetched; the bounds still apply to the records, as they do for any pages.
     """
     pages = spark.read.schema(FILED).parquet(path)
-    is_open = F.col("dt") == F.lit(OPEN_DATE).cast("date")
+    # Two of the formats compare whole seconds.
     if since is not None:
-        # Two of the formats compare whole seconds.
         moment = to_utc(since).replace(microsecond=0)
-        pages = pages.filter(F.col("dt") >= F.lit(moment.date()))
-        pages = pages.filter(is_open | (F.col("newest") >= moment_literal(moment)))
+        pages = pages.filter((F.col("dt") >= F.lit(moment.date())) & (F.col("newest_us") >= _micros(moment)))
     if until is not None:
-        moment = to_utc(until).replace(microsecond=0) + timedelta(seconds=1)
-        pages = pages.filter(is_open | (F.col("oldest") < moment_literal(moment)))
+        pages = pages.filter(F.col("oldest_us") < _micros(to_utc(until).replace(microsecond=0)) + SECOND_US)
     return pages.select("page_idx", "body")
+
+
+def _micros(moment: datetime) -> int:
+    return int(moment.timestamp()) * SECOND_US
