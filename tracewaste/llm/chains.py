@@ -11,7 +11,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Tokens of one batch or of one segment of a long sequence; bounds the memory of a recursion.
-BATCH_TOKENS = 250_000
+BATCH_TOKENS = 400_000
 
 
 def batches(lengths: np.ndarray) -> Iterator[np.ndarray]:
