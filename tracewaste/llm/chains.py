@@ -35,21 +35,34 @@ def running(lengths: np.ndarray) -> np.ndarray:
     return np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")
 
 
+def by_step(starts: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of all tokens step by step, how many run in each step, and where each step begins."""
+    counts = running(lengths)
+    begins = np.concatenate([[0], np.cumsum(counts)[:-1]])
+    which = np.arange(counts.sum()) - np.repeat(begins, counts)
+    return starts[which] + np.repeat(np.arange(len(counts)), counts), counts, begins
+
+
 def forward(unary, starts, lengths, first, trans):
     """Scaled forward recursion: (state probabilities given the past, scale) of each token.
 
-    The product of a sequence's scales is its likelihood.
+    The product of a sequence's scales is its likelihood. The recursion keeps a row a state and the
+    tokens of a step side by side, so that a step works on plain slices.
     """
-    alpha = np.empty_like(unary)
-    scale = np.empty(len(unary), unary.dtype)
-    a = None
-    for t, n in enumerate(running(lengths)):
-        at = starts[:n] + t
-        a = (first if t == 0 else a[:n] @ trans) * unary[at]
-        total = a.sum(axis=1)
-        a /= total[:, None]
-        alpha[at] = a
-        scale[at] = total
+    at, counts, begins = by_step(starts, lengths)
+    states = np.ascontiguousarray(unary[at].T)
+    sums = np.empty(len(at), unary.dtype)
+    move = np.ascontiguousarray(trans.T)
+    before = None
+    for t, (n, begin) in enumerate(zip(counts.tolist(), begins.tolist(), strict=True)):
+        now, total = states[:, begin : begin + n], sums[begin : begin + n]
+        now *= first[:, None] if t == 0 else move @ before[:, :n]
+        np.add.reduce(now, axis=0, out=total)
+        now /= total
+        before = now
+    alpha, scale = np.empty_like(unary), np.empty(len(unary), unary.dtype)
+    alpha[at] = states.T
+    scale[at] = sums
     return alpha, scale
 
 
@@ -58,19 +71,23 @@ def backward(unary, scale, starts, lengths, trans, last=None):
 
     ``last`` is the beta of the sequences' last tokens, 1 if they end there.
     """
-    beta = np.ones_like(unary)
-    ahead = unary / scale[:, None]
+    at, counts, begins = by_step(starts, lengths)
+    next_to = np.ascontiguousarray(unary[at].T)
+    next_to /= scale[at]
+    states = np.ones_like(next_to)
     if last is not None:
-        ends = starts + lengths - 1
-        beta[ends] = last
-        ahead[ends] *= last
-    back = np.ascontiguousarray(trans.T)
-    counts = running(lengths)
-    for t in range(len(counts) - 2, -1, -1):
-        at = starts[: counts[t + 1]] + t
-        b = ahead[at + 1] @ back
-        beta[at] = b
-        ahead[at] *= b
+        ends = begins[lengths - 1] + np.arange(len(lengths))
+        states[:, ends] = last.T
+        next_to[:, ends] *= last.T
+    sizes, firsts = counts.tolist(), begins.tolist()
+    for t in range(len(sizes) - 2, -1, -1):
+        n, begin, after = sizes[t + 1], firsts[t], firsts[t + 1]
+        b = trans @ next_to[:, after : after + n]
+        states[:, begin : begin + n] = b
+        next_to[:, begin : begin + n] *= b
+    beta, ahead = np.ones_like(unary), np.empty_like(unary)
+    beta[at] = states.T
+    ahead[at] = next_to.T
     return beta, ahead
 
 
