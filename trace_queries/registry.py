@@ -31,7 +31,7 @@ from tracewaste.functions.times import (
 from tracewaste.operators.catalog import price_table, synthetic_catalog, with_cost
 from tracewaste.operators.chunks import delivery_chunks, in_delivery_order, wire_json
 from tracewaste.operators.firing import as_events
-from tracewaste.operators.normalize import calls_of, normalize_records, rejected_of
+from tracewaste.operators.normalize import calls_of, candidate_columns, normalize_records, rejected_of
 from tracewaste.operators.rules import RULES, RuleContext
 from tracewaste.operators.sessions import session_count, session_profile, session_rank
 from tracewaste.operators.trailing import AT, COST, FLAG, SEQ, trailing_window
@@ -78,12 +78,15 @@ def _records(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
     return unwrap_records(parse_pages(event_pages(spark, sf_dir, provider), provider), provider)
 
 
-def _candidates(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
-    return normalize_records(_records(spark, sf_dir, provider), provider, INGEST)
+def _candidates(spark: SparkSession, sf_dir: str, provider: str, *columns: str) -> DataFrame:
+    """Candidate calls with the named columns, or all."""
+    return normalize_records(_records(spark, sf_dir, provider), provider, INGEST, columns or None)
 
 
-def _call_columns(calls: DataFrame) -> DataFrame:
-    return calls.select(
+def _call_columns(spark: SparkSession, sf_dir: str, provider: str) -> DataFrame:
+    unread = {"page_idx", "raw_request", "raw_response_meta"}
+    read = [name for name in candidate_columns() if name not in unread]
+    return calls_of(_candidates(spark, sf_dir, provider, *read)).select(
         _seq(),
         "session_id",
         F.unix_micros("timestamp").alias("at_us"),
@@ -125,7 +128,7 @@ SELECT {PAGE_SEQ} AS src_seq,
   session || '-' || event_type AS request_hash, CAST(0 AS BIGINT) AS n_tools, 0 AS user_facing
 FROM base""")
 def helicone_calls(spark, sf_dir):
-    return _call_columns(calls_of(_candidates(spark, sf_dir, "helicone")))
+    return _call_columns(spark, sf_dir, "helicone")
 
 
 LANGFUSE_SESSION = """CASE event_id % 5
@@ -149,7 +152,7 @@ SELECT {LANGFUSE_SEQ} AS src_seq, {LANGFUSE_SESSION} AS session_id, at_us,
   1 AS user_facing
 FROM base""")
 def langfuse_calls(spark, sf_dir):
-    return _call_columns(calls_of(_candidates(spark, sf_dir, "langfuse")))
+    return _call_columns(spark, sf_dir, "langfuse")
 
 
 LANGSMITH_SESSION = """CASE event_id % 5
@@ -172,7 +175,7 @@ SELECT {PAGE_SEQ} AS src_seq,
   CAST(CASE WHEN event_id % 4 = 3 THEN 0 ELSE 1 END AS BIGINT) AS n_tools, 1 AS user_facing
 FROM base WHERE event_id % 6 <> 5""")
 def langsmith_calls(spark, sf_dir):
-    return _call_columns(calls_of(_candidates(spark, sf_dir, "langsmith")))
+    return _call_columns(spark, sf_dir, "langsmith")
 
 
 @query(f"""WITH {sql.BASE}
@@ -182,9 +185,9 @@ UNION ALL SELECT 'langfuse', {LANGFUSE_SESSION}, count(*) FROM base GROUP BY ALL
 UNION ALL SELECT 'langsmith', {LANGSMITH_SESSION}, count(*) FROM base
   WHERE event_id % 6 <> 5 GROUP BY ALL""")
 def session_ids(spark, sf_dir):
-    calls = [calls_of(_candidates(spark, sf_dir, p)) for p in RECORDS]
+    calls = [calls_of(_candidates(spark, sf_dir, p, "provider_src", "session_id")) for p in RECORDS]
     return (
-        reduce(DataFrame.unionByName, [c.select("provider_src", "session_id") for c in calls])
+        reduce(DataFrame.unionByName, calls)
         .groupBy("provider_src", "session_id")
         .agg(F.count("*").alias("n"))
     )
@@ -242,7 +245,9 @@ def usage_units(spark, sf_dir):
         "langsmith": "src_seq DIV 4611686018427387904 * 100 + src_seq DIV 2147483648 % 2147483648",
     }
     parts = [
-        calls_of(_candidates(spark, sf_dir, p)).selectExpr(
+        calls_of(
+            _candidates(spark, sf_dir, p, "provider_src", "src_seq", "prompt_tokens", "completion_tokens")
+        ).selectExpr(
             f"({e}) % 4 AS shape", "provider_src", "prompt_tokens", "completion_tokens"
         )
         for p, e in positions.items()
@@ -267,7 +272,8 @@ SELECT 'langsmith', {PAGE_SEQ}, 0, event_type,
   CASE event_id % 4 WHEN 0 THEN '{{"k":' || tokens || ',"z":1}}' WHEN 1 THEN '{{}}' ELSE '"s"' END
 FROM base WHERE event_id % 4 <> 3 AND event_id % 6 <> 5""")
 def tool_calls(spark, sf_dir):
-    calls = [calls_of(_candidates(spark, sf_dir, p)) for p in ("langfuse", "langsmith")]
+    columns = ("provider_src", "src_seq", "tool_calls")
+    calls = [calls_of(_candidates(spark, sf_dir, p, *columns)) for p in ("langfuse", "langsmith")]
     return reduce(DataFrame.unionByName, calls).select(
         "provider_src", "src_seq", F.posexplode("tool_calls").alias("pos", "tool")
     ).select("provider_src", _seq(), "pos", F.col("tool.name").alias("tool"), "tool.arguments")
@@ -287,7 +293,8 @@ UNION ALL SELECT 'langsmith', {PAGE_SEQ},
   CASE WHEN event_id % 3 = 2 THEN '["' || session || '"]' END
 FROM base WHERE event_id % 6 <> 5""")
 def raw_requests(spark, sf_dir):
-    calls = [calls_of(_candidates(spark, sf_dir, p)) for p in RECORDS]
+    columns = ("provider_src", "src_seq", "raw_request")
+    calls = [calls_of(_candidates(spark, sf_dir, p, *columns)) for p in RECORDS]
     return reduce(DataFrame.unionByName, calls).select(
         "provider_src",
         _seq(),
