@@ -43,6 +43,46 @@ def test_word_by_word_is_the_whole_text():
         assert got == ids_of(text)[:-1], text
 
 
+def test_only_different_words_are_looked_up(monkeypatch):
+    encoder, asked = packing.WordEncoder(WORD_MODEL), []
+    of = encoder.known.of
+    monkeypatch.setattr(encoder.known, "of", lambda lists, new: asked.extend(w for some in lists for w in some) or of(lists, new))
+    got = encoder.encode([b"rain, Rain rain. sun"] * 50)
+    assert sorted(asked) == [b",", b".", b"rain", b"sun"]
+    assert np.frombuffer(b"".join(got), "<u4").tolist() == ids_of("rain, Rain rain. sun")[:-1] * 50
+
+
+def test_small_latin_words_go_without_normalising_and_marks(monkeypatch):
+    encoder, seen = packing.WordEncoder(WORD_MODEL), []
+    whole = encoder.tokenizer
+
+    class Spy:
+        def encode_batch_fast(self, some, **options):
+            seen.extend(" ".join(some).split())
+            return whole.encode_batch_fast(some, **options)
+
+    monkeypatch.setattr(encoder, "tokenizer", Spy())
+    text = "rain straße été a÷b Été don't"
+    assert np.frombuffer(encoder.encode([text.encode()])[0], "<u4").tolist() == ids_of(text)[:-1]
+    assert sorted(set(seen)) == sorted([encoder.MARK, "a÷b", "Été", "don't"])
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_random_texts_are_encoded_as_the_library_does(seed):
+    rng = random.Random(seed)
+    encoder, library = packing.WordEncoder(WORD_MODEL), Tokenizer.from_file(WORD_MODEL)
+    signs = [*"abcxyzABZ'.,!?~<>|  \n\t\r\x0b\x0c\x00\x1c\x85\xa0éÉßöÖ÷×ÿŸñÇ019£‘日\u3000\u0301\u0308İΣς🙂\ufffd"]
+    signs += ["<|endoftext|>", "<|", "'s", "'LL", "é.", "É,", "ß!", "÷.", "×.", "a.", "..."]
+    made = ["".join(rng.choices(signs, k=rng.choice([0, 1, 2, 5, 20, 60]))) for _ in range(400)]
+    for i in range(0, 400, 40):
+        for text, got in zip(made[i : i + 40], encoder.encode([t.encode() for t in made[i : i + 40]]), strict=True):
+            assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    broken = [bytes(rng.choices(b"ab .,\xc3\xa0\xb7\x9f\xe9\xff~'\n", k=30)) for _ in range(200)]
+    for text, got in zip(broken, encoder.encode(broken), strict=True):
+        wanted = library.encode(text.decode("utf-8", "replace"), add_special_tokens=False).ids
+        assert np.frombuffer(got, "<u4").tolist() == wanted, text
+
+
 def check(got, rows, capacity):
     pieces = sorted((str(r["doc_id"]), r["start"], r["length"], r["ids_crc32"], r["doc_tokens"]) for r in got)
     wanted = []

@@ -8,7 +8,6 @@ sequences' room finds in logarithmic time.
 
 from __future__ import annotations
 
-import re
 import zlib
 
 import numpy as np
@@ -56,59 +55,128 @@ class WordEncoder:
     """Ids of whole texts, word by word: no token of these vocabularies spans white space.
 
     ASCII capitals are lowered first, and signs behind a Latin letter that end a word are set apart, as the
-    tokenizer does itself, so that a word is learned once whatever its capitals and signs. New words are
-    encoded together, with a word of one token between them that marks their borders. What is remembered
-    is bounded in bytes; a word too long to keep is encoded anew.
+    tokenizer does itself, so that a word is learned once whatever its capitals and signs. The words of
+    all texts are cut and told apart as arrays of bytes; only different ones become Python objects. New
+    words are encoded together. Such of small Latin letters alone need no normalising and are one run of
+    the tokenizer's each, which the last token's mark ends; between others a word of one token marks their
+    borders. What is remembered is bounded in bytes; a word too long to keep is encoded anew.
     """
 
     MARK = "~"
-    SIGN = rb"[!-/:-@\[-`{-~]"
-    TAIL = re.compile(
-        SIGN
-        + rb"(?:(?<=[a-z].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))"
-        + SIGN
-        + rb"*(?=[ \t\n\r\x0b\x0c]|$)"
-    )
+    BLANK, SIGN, LETTER, SECOND = 1, 2, 4, 8
+    #: What a byte is; SECOND of a Latin letter of two bytes, the first being C3.
+    KIND = np.zeros(256, np.uint8)
+    KIND[list(b" \t\n\r\x0b\x0c")] = BLANK
+    KIND[[*range(0x21, 0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x7F)]] = SIGN
+    KIND[0x61:0x7B] = LETTER
+    KIND[[*range(0x80, 0x97), *range(0x98, 0xB7), *range(0xB8, 0xC0)]] = SECOND
+    #: Bytes of words of small Latin letters: a to z, the sharp s, and E0 to FF but for the sign in between.
+    SMALL = bytes([*range(0x61, 0x7B), 0xC3, 0x9F, *range(0xA0, 0xB7), *range(0xB8, 0xC0)])
 
     def __init__(self, path: str):
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.known = Remembered(REMEMBERED_BYTES)
-        (self.mark,) = self._ids([self.MARK])[0]
+        (self.mark,) = self._ids(self.MARK)
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.closes[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
-    def _ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, text: str, letters: bool = False) -> np.ndarray:
+        tokenizer = self.letters if letters else self.tokenizer
+        return np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
     def _encoded(self, words: list[bytes]) -> dict[bytes, bytes]:
         mark, out = self.MARK.encode(), {}
-        plain = [w for w in words if mark not in w]
-        odd = [w for w in words if mark in w]
-        for word, ids in zip(odd, self._ids([w.decode("utf-8", "replace") for w in odd]), strict=True):
-            out[word] = np.array(ids, "<u4").tobytes()
-        for i in range(0, len(plain), 10_000):
-            some = plain[i : i + 10_000]
-            joined = f" {self.MARK} ".encode().join(some).decode("utf-8", "replace")
-            ids = np.array(self._ids([joined])[0], "<u4")
-            ends = np.flatnonzero(ids == self.mark)
+
+        def cut(some: list[bytes], ids: np.ndarray, ends: np.ndarray, skip: int) -> None:
             data = ids.tobytes()
-            starts = [0, *((ends + 1) * 4).tolist()]
-            for word, start, end in zip(some, starts, [*(ends * 4).tolist(), len(data)], strict=True):
+            ends = (ends * 4).tolist()
+            starts = [0, *(end + skip for end in ends)]
+            for word, start, end in zip(some, starts, ends, strict=False):
                 out[word] = data[start:end]
+
+        small, rest = [], []
+        for word in words:
+            (rest if word.translate(None, self.SMALL) else small).append(word)
+        for i in range(0, len(small), 10_000):
+            some = small[i : i + 10_000]
+            text = b" ".join(some).decode("utf-8", "replace")
+            ids = self._ids(text, letters=True)
+            ends = np.flatnonzero(self.closes[ids]) + 1
+            if len(ends) == len(some) and "\ufffd" not in text:
+                cut(some, ids, ends, 0)
+            else:
+                rest += some
+        odd = [w for w in rest if mark in w]
+        rest = [w for w in rest if mark not in w]
+        for word in odd:
+            out[word] = self._ids(word.decode("utf-8", "replace")).tobytes()
+        for i in range(0, len(rest), 10_000):
+            some = rest[i : i + 10_000]
+            ids = self._ids(f" {self.MARK} ".join([*(w.decode("utf-8", "replace") for w in some), ""]))
+            ends = np.flatnonzero(ids == self.mark)
+            if len(ends) != len(some):
+                raise ValueError("a word holds the mark between words")
+            cut(some, ids, ends, 4)
         return out
 
-    def _words(self, text: bytes) -> list[bytes]:
+    def _words(self, texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
+        """The words of all texts, and how many come before each text and in all."""
         # The strings of special tokens are known as they are written only.
-        return text.split() if b"<|" in text else self.TAIL.sub(rb" \g<0>", text.lower()).split()
+        raw = np.array([b"<|" in t for t in texts], bool)
+        joined = b"\n".join([b"", *(t if r else t.lower() for t, r in zip(texts, raw, strict=True)), b""])
+        at = 1 + np.cumsum([0, *(len(t) + 1 for t in texts)])
+        data = np.frombuffer(joined, np.uint8)
+        kind = self.KIND[data]
+        inside = kind != self.BLANK
+        sign = kind == self.SIGN
+        starts = np.empty(len(data), bool)
+        starts[0] = False
+        np.greater(inside[1:], inside[:-1], out=starts[1:])
+        first, past = (np.flatnonzero(sign[1:] != sign[:-1]) + 1).reshape(-1, 2).T
+        letter = kind[first - 1]
+        apart = (letter == self.LETTER) | ((letter == self.SECOND) & (data[first - 2] == 0xC3))
+        apart &= ~inside[past]
+        if raw.any():
+            apart &= ~raw[np.searchsorted(at, first, side="right") - 1]
+        starts[first[apart]] = True
+        places = np.flatnonzero(starts)
+        offsets = np.append((np.cumsum(inside) - 1)[places], np.count_nonzero(inside))
+        buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[inside])]
+        return pa.Array.from_buffers(pa.large_binary(), len(places), buffers), np.searchsorted(places, at)
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        split = [self._words(t) for t in texts]
-        known = self.known.of(split, self._encoded)
-        return [b"".join([known[w] for w in words]) for words in split]
+        words, before = self._words(texts)
+        if not len(words):
+            return [b""] * len(texts)
+        told = words.dictionary_encode()
+        which = told.indices.to_numpy()
+        _, offsets, data = told.dictionary.buffers()
+        offsets, data = np.frombuffer(offsets, np.int64, len(told.dictionary) + 1).tolist(), data.to_pybytes()
+        different = [data[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
+        known = self.known.of([different], self._encoded)
+        each = [known[w] for w in different]
+        size = np.fromiter(map(len, each), np.int64, len(each)) // 4
+        ids = np.frombuffer(b"".join(each), "<u4")
+        # Every word's ids in its place: where they lie among the different words' ids.
+        length = size[which]
+        ends = np.cumsum(length)
+        shift = (np.cumsum(size) - size)[which] - (ends - length)
+        data = ids[np.arange(ends[-1]) + np.repeat(shift, length)].tobytes()
+        border = (4 * np.append(0, ends)[before]).tolist()
+        return [data[a:b] for a, b in zip(border, border[1:], strict=False)]
 
 
 def _pieces(tokenizer_path: str, end: int, capacity: int):
