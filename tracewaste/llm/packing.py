@@ -152,7 +152,8 @@ class WordEncoder:
             apart &= ~raw[np.searchsorted(at, first, side="right") - 1]
         starts[first[apart]] = True
         places = np.flatnonzero(starts)
-        offsets = np.append((np.cumsum(inside) - 1)[places], np.count_nonzero(inside))
+        number = np.int32 if len(data) < 1 << 31 else np.int64
+        offsets = np.append(np.cumsum(inside, dtype=number)[places] - 1, np.count_nonzero(inside))
         buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data[inside])]
         return pa.Array.from_buffers(pa.large_binary(), len(places), buffers), np.searchsorted(places, at)
 
@@ -166,15 +167,20 @@ class WordEncoder:
         _, offsets, data = told.dictionary.buffers()
         offsets, data = np.frombuffer(offsets, np.int64, len(told.dictionary) + 1).tolist(), data.to_pybytes()
         different = [data[a:b] for a, b in zip(offsets, offsets[1:], strict=False)]
-        known = self.known.of([different], self._encoded)
-        each = [known[w] for w in different]
+        each = list(map(self.known.new.get, different))
+        missing = [i for i, found in enumerate(each) if found is None]
+        known = self.known.of([[different[i] for i in missing]], self._encoded)
+        for i in missing:
+            each[i] = known[different[i]]
         size = np.fromiter(map(len, each), np.int64, len(each)) // 4
         ids = np.frombuffer(b"".join(each), "<u4")
         # Every word's ids in its place: where they lie among the different words' ids.
         length = size[which]
         ends = np.cumsum(length)
-        shift = (np.cumsum(size) - size)[which] - (ends - length)
-        data = ids[np.arange(ends[-1]) + np.repeat(shift, length)].tobytes()
+        number = np.int32 if max(ends[-1], len(ids)) < 1 << 31 else np.int64
+        place = np.repeat(((np.cumsum(size) - size)[which] - (ends - length)).astype(number), length)
+        place += np.arange(len(place), dtype=number)
+        data = ids[place].tobytes()
         border = (4 * np.append(0, ends)[before]).tolist()
         return [data[a:b] for a, b in zip(border, border[1:], strict=False)]
 
