@@ -1,6 +1,8 @@
 import json
 import random
+from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 from helpers import INGEST, calls_frame, pages_of, utc
 
@@ -15,6 +17,7 @@ from tracewaste.streaming.imports import (
     stream_page_table,
     write_candidates,
 )
+from tracewaste.streaming import replay as streamed
 from tracewaste.streaming.replay import StreamingRule
 
 
@@ -194,3 +197,58 @@ def test_calls_without_a_time_do_not_move_the_mark(spark, tmp_path):
 def test_edges_need_the_whole_history(spark, tmp_path):
     with pytest.raises(ValueError, match="stream"):
         StreamingRule(RULES["tool_loop"], str(tmp_path), synthetic_catalog(spark), "demo", 0, {"dedup": "edge"})
+
+
+def test_state_grows_by_parts_of_the_keys_not_by_keys(spark, tmp_path, monkeypatch):
+    """Three calls of each of 400 keys in one slice: a state call and a timer for each key took all the time."""
+    monkeypatch.setattr(streamed, "BUCKETS", 8)
+    rows = [{"at": 1_000 + i / 50, "request_hash": f"h{i % 400}", "src_seq": i} for i in range(1_200)]
+    landing = Landing(spark, tmp_path, 0)
+    landing.land(rows)
+    landing.run()
+    held = spark.read.format("statestore").option("stateVarName", "rows").load(f"{tmp_path}/checkpoint-retry_storm")
+    assert 0 < held.count() <= 8 * 2
+    landing.land([LAST])
+    landing.run()
+    windowed = {k: RULES[k] for k in WINDOWED}
+    want = as_set(replay(calls_frame(spark, rows), synthetic_catalog(spark), "demo", {}, windowed))
+    assert len(want) == 400 and as_set(landing.union("events", spark)) == want
+
+
+def test_windows_of_many_keys_against_a_loop():
+    rng = random.Random(8)
+    span, wide = 20, 10**30
+    rows = [
+        {"session_id": rng.choice(["a", "b", None]), "request_hash": rng.choice(["x", None]),
+         "at_us": rng.randrange(-60, 60), "seq": Decimal(rng.choice([-wide, 0, wide]) + i),
+         "cost_nanos": rng.choice([None, 0, rng.randrange(10**17)]), "flag": rng.randrange(2), "own": True}
+        for i in range(300)
+    ]
+    keys = ["session_id", "request_hash"]
+    for some in (rows, rows[:1], [{**r, "cost_nanos": None} for r in rows[:40]]):
+        got = streamed.window_measures(pa.Table.from_pylist(some, streamed.stored_schema(keys)), keys, span)
+        want = {}
+        for r in some:
+            window = sorted(
+                (q["at_us"], q["seq"], q["flag"], q["cost_nanos"])
+                for q in some
+                if [q[k] for k in keys] == [r[k] for k in keys]
+                and r["at_us"] - span <= q["at_us"]
+                and (q["at_us"], q["seq"]) <= (r["at_us"], r["seq"])
+            )
+            costs = [q[3] for q in window if q[3] is not None]
+            want[r["seq"]] = (len(window), sum(costs) if costs else None, sum(q[2] for q in window), costs[0] if costs else None)
+        assert {r["seq"]: tuple(r[m] for m in streamed.MEASURES) for r in got.to_pylist()} == want
+
+
+def test_calls_without_a_cost_stay(spark, tmp_path):
+    """A null cost ended the stream with an error; it adds nothing, and such calls still count."""
+    landing = Landing(spark, tmp_path, 0)
+    tokens = [None, 1_000, None, 500]
+    landing.land([{"at": 1_000 + i, "request_hash": "r", "src_seq": i, "prompt_tokens": n, "completion_tokens": n and 0} for i, n in enumerate(tokens)])
+    landing.land([{"at": 5_000 + i, "request_hash": "r", "src_seq": 10 + i, "prompt_tokens": None} for i in range(3)])
+    landing.land([LAST])
+    landing.run()
+    found = {r["seq"]: (r["n_window"], r["cost_window"], r["first_cost"]) for r in landing.rules[1].firings(spark).collect()}
+    one = 10_000 * 1_000
+    assert found == {2: (3, one, one), 3: (4, one + one // 2, one), 12: (3, None, None)}

@@ -1,9 +1,10 @@
 """The windowed rules over a stream of calls, on Spark's own watermark, timers and state.
 
-A rule's rows are keyed by the rule's keys and a slice of time, ``SLICE_WINDOWS`` windows long. A row
-belongs to its own slice, and one that lies in the slice's last window also goes to the next slice, where
-it only completes windows. So slices are independent: a key of very many calls is spread over as many
-groups as its calls span slices, and a group's state holds the rows of one slice and one window, no more.
+A rule's rows are grouped by a slice of time, ``SLICE_WINDOWS`` windows long, and one of ``BUCKETS`` parts of
+the rule's keys. A row belongs to its own slice, and one that lies in the slice's last window also goes to the
+next slice, where it only completes windows. So slices are independent: a key of very many calls is spread over
+as many groups as its calls span slices, and a group's state holds the rows of one slice and one window of its
+keys, no more. The state's calls and timers cost by group, not by key, and there are many more keys than groups.
 When the watermark passes a slice's end, a timer evaluates the slice in time order, and its state goes.
 
 The stream writes every firing. De-duplication reads those few rows as a batch, with the batch operator.
@@ -22,11 +23,13 @@ from typing import Any
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, DecimalType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, StructField, StructType
 
 from tracewaste.functions.times import moment_literal
 from tracewaste.operators.catalog import price_table
@@ -36,45 +39,64 @@ from tracewaste.operators.trailing import AT, COST, FLAG, SEQ
 from tracewaste.sources.pages import ORDINAL
 
 SLICE_WINDOWS = 4
+#: Parts of the keys; a checkpoint holds its rows by them.
+BUCKETS = 512
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # The measures of a firing that need no more of the past than its window.
 MEASURES = ["n_window", "cost_window", "flagged_window", "first_cost"]
 # Built from types: a worker has no session that could parse a layout.
-STORED = StructType(
-    [
-        StructField(AT, LongType()),
-        StructField(SEQ, DecimalType(38, 0)),
-        StructField(COST, LongType()),
-        StructField(FLAG, IntegerType()),
-        StructField("own", BooleanType()),
-    ]
-)
-
-
-def window_measures(at, seq, cost, flag, span_us: int) -> tuple[pd.DataFrame, np.ndarray]:
-    """The rows of one key in order, each with the measures of its trailing window, and that order."""
-    # Ordinals are exact decimals, which only Python sorts.
-    order = np.array(sorted(range(len(at)), key=lambda i: (at[i], seq[i])))
-    at, seq, cost, flag = (np.asarray(x)[order] for x in (at, seq, cost, flag))
-    first = np.searchsorted(at, at - span_us, side="left")
-    costs, flags = (np.concatenate([[0], np.cumsum(x)]) for x in (cost, flag))
+STORED = StructType([StructField("batch", BinaryType())])
+_MEASURED = [(AT, pa.int64()), (SEQ, pa.decimal128(38, 0)), (COST, pa.int64()), (FLAG, pa.int32()), ("own", pa.bool_())]
+
+
+def stored_schema(keys: list[str]) -> pa.Schema:
+    """The layout of the batches of rows that a group's state holds."""
+    return pa.schema([*((k, pa.string()) for k in keys), *_MEASURED])
+
+
+def key_numbers(rows: pa.Table, keys: list[str]) -> np.ndarray:
+    """A number of each row's key; nulls are equal, as in a grouping."""
+    number = np.zeros(len(rows), np.int64)
+    for k in keys:
+        own = pc.dictionary_encode(rows[k].combine_chunks(), null_encoding="encode")
+        mixed = number * max(1, len(own.dictionary)) + own.indices.to_numpy()
+        number = np.unique(mixed, return_inverse=True)[1]
+    return number
+
+
+def window_measures(rows: pa.Table, keys: list[str], span_us: int) -> pa.Table:
+    """The rows of a group, those of a key together and in order, each with the measures of its trailing window.
+
+    Its columns beside the keys are ``at_us``, ``seq``, ``cost_nanos`` and ``flag``; others stay. A null cost adds
+    nothing, and the first cost is the first known one; both costs are null for a window without any.
+    """
+    rows = rows.append_column("key", pa.array(key_numbers(rows, keys)))
+    rows = rows.sort_by([(c, "ascending") for c in ("key", AT, SEQ)])
+    at, key = rows[AT].to_numpy(), rows["key"].to_numpy()
+    # Places of times among the group's times, so that one search serves all keys.
+    times, place = np.unique(at, return_inverse=True)
+    oldest = np.searchsorted(times, at - span_us, side="left")
+    wide = len(times) + 1
+    first = np.searchsorted(key * wide + place, key * wide + oldest, side="left")
     here = np.arange(len(at))
-    return pd.DataFrame(
-        {
-            AT: at,
-            SEQ: seq,
-            COST: cost,
-            FLAG: flag,
-            "n_window": here - first + 1,
-            "cost_window": costs[here + 1] - costs[first],
-            "flagged_window": flags[here + 1] - flags[first],
-            "first_cost": cost[first],
-        }
-    ), order
+    cost, flag = (pc.fill_null(rows[c], 0).to_numpy().astype(np.int64) for c in (COST, FLAG))
+    known = rows[COST].is_valid().to_numpy()
+    costs, flags, some = (np.concatenate([[0], np.cumsum(x)]) for x in (cost, flag, known))
+    has = some[here + 1] > some[first]
+    first_cost = cost[known][np.where(has, some[first], 0)] if known.any() else cost
+    measured = {
+        "n_window": here - first + 1,
+        "cost_window": costs[here + 1] - costs[first],
+        "flagged_window": flags[here + 1] - flags[first],
+        "first_cost": first_cost,
+    }
+    for name, values in measured.items():
+        rows = rows.append_column(name, pa.array(values, mask=~has if name in ("cost_window", "first_cost") else None))
+    return rows.drop_columns(["key"])
 
 
 class SliceProcessor(StatefulProcessor):
-    """The rows of a key's slice until the watermark passes its end, then their firings."""
+    """The rows of a slice and some keys until the watermark passes the slice's end, then their firings."""
 
     def __init__(self, columns: list[str], span_us: int, slice_us: int, min_calls: int):
         self.columns, self.span_us, self.slice_us, self.min_calls = columns, span_us, slice_us, min_calls
@@ -87,19 +109,20 @@ class SliceProcessor(StatefulProcessor):
         if not self.rows.exists():
             # A slice that only completes windows has a timer too, which clears it.
             self.handle.registerTimer((int(key[-1]) + 1) * self.slice_us // 1000)
+        schema = stored_schema(self.columns)
         for part in rows:
-            columns = (part[c].tolist() for c in (AT, SEQ, COST, FLAG, "own"))
-            self.rows.appendList(list(zip(*columns, strict=True)))
+            batch = pa.RecordBatch.from_pandas(part, schema, preserve_index=False)
+            self.rows.appendValue((batch.serialize().to_pybytes(),))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        at, seq, cost, flag, own = (np.array(c) for c in zip(*self.rows.get(), strict=True))
-        measured, order = window_measures(at, seq, cost, flag, self.span_us)
-        fired = measured[own[order] & (measured["n_window"] >= self.min_calls)]
+        schema = stored_schema(self.columns)
+        batches = [pa.ipc.read_record_batch(pa.py_buffer(batch), schema) for (batch,) in self.rows.get()]
+        measured = window_measures(pa.Table.from_batches(batches, schema), self.columns, self.span_us)
+        fired = measured.filter(pc.and_(measured["own"], pc.greater_equal(measured["n_window"], self.min_calls)))
         self.rows.clear()
         if len(fired):
-            named = dict(zip(self.columns, key[:-1], strict=True))
-            yield fired.assign(**named)[[*self.columns, AT, SEQ, COST, FLAG, *MEASURES]]
+            yield fired.select([*self.columns, AT, SEQ, COST, FLAG, *MEASURES]).to_pandas(integer_object_nulls=True)
 
     def close(self) -> None:
         pass
@@ -148,14 +171,15 @@ class StreamingRule:
         sliced = (
             rows.withColumn("at", F.timestamp_micros(AT))
             .withWatermark("at", f"{int(self.delay_seconds * 1000)} milliseconds")
-            .select(*keys, AT, SEQ, COST, FLAG, "at", F.explode(slices).alias("in"))
-            .select(*keys, AT, SEQ, COST, FLAG, "at", "in.slice", "in.own")
+            .withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(BUCKETS)).cast("int"))
+            .select("bucket", *keys, AT, SEQ, COST, FLAG, "at", F.explode(slices).alias("in"))
+            .select("bucket", *keys, AT, SEQ, COST, FLAG, "at", "in.slice", "in.own")
         )
         measures = ", ".join(f"{m} BIGINT" for m in MEASURES)
         layout = ", ".join(f"{k} STRING" for k in keys)
         layout = f"{layout}, {AT} BIGINT, {SEQ} DECIMAL(38,0), {COST} BIGINT, {FLAG} INT, {measures}"
         processor = SliceProcessor(keys, span, length, context.get(f"{self.rule.name}.min_calls"))
-        fired = sliced.groupBy(*keys, "slice").transformWithStateInPandas(
+        fired = sliced.groupBy("bucket", "slice").transformWithStateInPandas(
             processor, StructType.fromDDL(layout), outputMode="append", timeMode="EventTime"
         )
         return self._spoken(fired)
