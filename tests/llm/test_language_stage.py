@@ -76,6 +76,79 @@ def test_texts_of_no_learned_language_go(spark, documents):
     assert len(got) > 0.98 * documents.count()
 
 
+def test_texts_between_two_languages_go(spark, documents, clean):
+    """Words with the beginning of one language and the end of another are of neither, whatever trigrams both have."""
+    rng = random.Random(4)
+    names = sorted(clean)
+    long = {lang: [w for words in clean[lang] for w in words if len(w) >= 4] for lang in names}
+    some = []
+    for a, b in [(a, b) for a in names for b in names if a != b]:
+        for _ in range(10):
+            pairs = [(rng.choice(long[a]), rng.choice(long[b])) for _ in range(120)]
+            some.append(" ".join(x[: len(x) // 2 + 1] + y[len(y) // 2 - 1 :] for x, y in pairs))
+    docs = documents.unionByName(spark.createDataFrame([(NEW + i, t, None, None, None) for i, t in enumerate(some)], DDL))
+    got = {r["doc_id"] for r in p.language(spark, docs, SF).select("doc_id").collect()}
+    assert len(some) >= 60 and not {i for i in got if i >= NEW}
+    assert len(got) > 0.98 * documents.count()
+
+
+def test_many_languages_do_not_make_every_text_familiar():
+    """Of 40 languages together nearly every trigram is known; a text still has to be of those it is labelled with."""
+    rng = random.Random(6)
+
+    def language():
+        syllables = [rng.choice("bdfgklmnprstvz") + rng.choice("aeiouy") + rng.choice(["", *"lmnrst"]) for _ in range(40)]
+        return ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(150)]
+
+    vocabularies = [language() for _ in range(40)]
+
+    def text(*of):
+        return " ".join(rng.choice(v) for v in of for _ in range(60)).encode()
+
+    langs = [f"l{i}" for i in range(40) for _ in range(12)]
+    field = crf.fit([text(vocabularies[i], vocabularies[i]) for i in range(40) for _ in range(12)], langs)
+    own = [text(v) for v in vocabularies]
+    switched = [text(v, w) for v, w in zip(vocabularies, vocabularies[1:], strict=False)]
+    foreign = [text(language()) for _ in range(40)]
+    natives = [crf._labelled(field, some)[4] for some in (own, switched, foreign)]
+    assert natives[0].all() and natives[1].all() and not natives[2].any()
+
+
+def test_a_language_of_one_row_lets_no_foreign_text_in(clean):
+    """Words never seen are labelled with the first language; that one's single row does not make them familiar."""
+    odd = b"qwy xwq yqx"
+    known = [(" ".join(words).encode(), lang) for lang in sorted(clean) for words in clean[lang][:30]]
+    field = crf.fit([odd, *(t for t, _ in known)], ["aa", *(lang for _, lang in known)])
+    assert field.languages[0] == "aa" and field.least[0] > 0.3
+    foreign = [t.encode() for t in foreign_texts() if " " in t]
+    assert len(foreign) >= 30 and not crf._labelled(field, foreign)[4].any()
+    assert crf._labelled(field, [odd, *(t for t, _ in known)])[4].all()
+
+
+def test_few_labelled_rows_keep_all_texts():
+    """Where no language has rows enough to tell what its texts have, none is foreign."""
+    field = crf.fit([b"abc abd", b"xyz xyw", b"xyv xyu"], ["a", "b", "b"])
+    assert field.least.tolist() == [0, 0]
+    assert crf._labelled(field, [b"abq rst" * 9, b"xyq", b"12", b""])[4].tolist() == [True, True, False, False]
+
+
+def test_known_trigrams_by_language_against_a_loop():
+    texts = [b"abc", b"abc", b"abc a1c", b"a1c", b"", b"xyz"]
+    words = crf.words_of(texts)
+    labels = np.array([0, 0, 1, 0, 1, 2])
+    got = crf.known_trigrams(words, words.lengths > 0, labels, 3)
+    assert got.shape == (crf.BUCKETS, 3)
+
+    def known(text, language):
+        return got[crf.words_of([text]).trigrams, language].tolist()
+
+    assert known(b"abc", 0) == [True] * 3
+    # "abc" is in one window of a language with one, "a1c" in two windows of different ones.
+    assert known(b"abc", 1) == [True] * 3 and known(b"abc", 2) == [False] * 3
+    assert [known(b"a1c", i) for i in range(3)] == [[True] * 3] * 3
+    assert known(b"xyz", 2) == [True] * 3 and known(b"xyz", 0) == [False] * 3
+
+
 def test_familiar_shares_against_a_loop():
     texts = [b"abc abd", b"", b"xyz abc", "ÉTÉ été".encode(), b"..."]
     words = crf.words_of(texts)

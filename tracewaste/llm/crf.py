@@ -10,8 +10,10 @@ of ``SAMPLE_TOTAL`` rows, at most ``SAMPLE_ROWS``, with one window of ``SAMPLE_B
 reads whole texts.
 
 What is of no learned language shows by its words: a word is familiar if all its trigrams were seen in
-several windows of the sample. A text whose share of familiar words, by bytes, is under half of what held-out
-windows of the sample have is foreign, be it another language, random letters or encoded data.
+several windows of one language, the one that the field gives the word or the one it gives the text; a trigram
+with a digit or sign is of no language, so it may be seen in windows of any. A text whose share of familiar words, by bytes, is under
+half of what held-out windows of its words' languages have is foreign, be it another language, one that lies
+between learned ones, random letters or encoded data.
 """
 
 from __future__ import annotations
@@ -75,6 +77,7 @@ class Words:
     affixes: np.ndarray  # two buckets of each word
     hashes: np.ndarray  # of each word
     lengths: np.ndarray  # words of each text
+    marked: np.ndarray  # which trigrams have a byte that is neither a letter nor space
 
 
 def _bucket(code: np.ndarray, salt: int) -> np.ndarray:
@@ -115,7 +118,9 @@ def words_of(texts: list[bytes]) -> Words:
     affixes = np.stack(
         [_bucket(affix(lambda i: first + i), 1), _bucket(affix(lambda i: last - 1 - i), 2)], axis=1
     )
-    return Words(_bucket(code, 0), starts, affixes, hashes, lengths)
+    plain = _LETTER[data] | space
+    marked = ~(plain[at - 1] & plain[at] & plain[at + 1]) if len(at) else np.zeros(0, bool)
+    return Words(_bucket(code, 0), starts, affixes, hashes, lengths, marked)
 
 
 @dataclass(frozen=True)
@@ -126,12 +131,17 @@ class Field:
     holds: np.ndarray  # lexicon word x language
     lexical: np.ndarray  # language of the lexicon x language
     trans: np.ndarray  # language x language, as logarithms
-    seen: np.ndarray  # which buckets of trigrams are known
-    least: float  # share of familiar words below which a text is foreign
+    seen: np.ndarray  # bucket x language, which trigrams are known
+    least: np.ndarray  # of each language, share of familiar words below which a text is foreign
 
-    def familiar(self, words: Words) -> np.ndarray:
-        """Share of familiar words of each text, by bytes, GRANTED_BYTES more counted as such; 1 without words."""
-        return familiar_shares(self.seen, words)
+    def native(self, words: Words, label: np.ndarray, best: np.ndarray) -> np.ndarray:
+        """Whether each text has the share of familiar words that its words' languages ask for; so without words.
+
+        ``label`` is the language of each word, ``best`` that of each text.
+        """
+        whole = familiar_words(self.seen, words, label)
+        whole |= familiar_words(self.seen, words, np.repeat(best, words.lengths))
+        return granted_shares(words, whole) >= text_means(words, self.least[label])
 
     def scores(self, words: Words) -> np.ndarray:
         """(word, language) sums of weights."""
@@ -152,34 +162,93 @@ class Field:
         return found, at[found]
 
 
-def familiar_shares(seen: np.ndarray, words: Words) -> np.ndarray:
-    """Share of each text's bytes in words that is in familiar ones."""
-    known, all_ = np.zeros(len(words.lengths)), np.zeros(len(words.lengths))
+def word_sizes(words: Words) -> np.ndarray:
+    """Bytes that each word counts for."""
+    return np.minimum(np.diff(np.append(words.starts, len(words.trigrams))), WORD_BYTES)
+
+
+def text_sums(words: Words, values: np.ndarray) -> np.ndarray:
+    """Sums over each text of its words' values."""
+    out = np.zeros(len(words.lengths))
     some = np.flatnonzero(words.lengths)
     if len(some):
-        sizes = np.minimum(np.diff(np.append(words.starts, len(words.trigrams))), WORD_BYTES)
-        whole = np.logical_and.reduceat(seen[words.trigrams], words.starts)
         starts = np.concatenate([[0], np.cumsum(words.lengths)])[:-1][some]
-        known[some] = np.add.reduceat(sizes * whole, starts)
-        all_[some] = np.add.reduceat(sizes, starts)
-    return (known + GRANTED_BYTES) / (all_ + GRANTED_BYTES)
+        out[some] = np.add.reduceat(values, starts)
+    return out
+
+
+def text_means(words: Words, values: np.ndarray) -> np.ndarray:
+    """Means over each text's words, by bytes; 0 without words."""
+    sizes = word_sizes(words)
+    return text_sums(words, sizes * values) / np.maximum(1, text_sums(words, sizes))
+
+
+def familiar_words(seen: np.ndarray, words: Words, label: np.ndarray | None = None) -> np.ndarray:
+    """Which words have known trigrams alone.
+
+    ``seen`` has a flag of each bucket, or with the words' labels of each bucket and language.
+    """
+    if not len(words.starts):
+        return np.zeros(0, bool)
+    at = words.trigrams
+    if label is not None:
+        counts = np.diff(np.append(words.starts, len(words.trigrams)))
+        at = at.astype(np.int64) * seen.shape[1] + np.repeat(label, counts)
+    return np.logical_and.reduceat(seen.ravel()[at], words.starts)
 
 
-def known_trigrams(words: Words, windows: np.ndarray) -> np.ndarray:
-    """Which buckets SEEN_WINDOWS of the chosen windows hold, or one if there are fewer windows."""
+def granted_shares(words: Words, chosen: np.ndarray) -> np.ndarray:
+    """Share of each text's bytes in words that is in chosen ones, GRANTED_BYTES more counted as such."""
+    sizes = word_sizes(words)
+    return (text_sums(words, sizes * chosen) + GRANTED_BYTES) / (text_sums(words, sizes) + GRANTED_BYTES)
+
+
+def familiar_shares(seen: np.ndarray, words: Words, label: np.ndarray | None = None) -> np.ndarray:
+    """Share of each text's bytes in words that is in familiar ones; see familiar_words."""
+    return granted_shares(words, familiar_words(seen, words, label))
+
+
+def known_trigrams(words: Words, windows: np.ndarray, labels: np.ndarray | None = None, k: int = 1) -> np.ndarray:
+    """Which buckets SEEN_WINDOWS of the chosen windows hold, or one if there are no more windows than that.
+
+    With a label of each window, (bucket, language) by the windows of each of ``k`` languages, but by all of
+    them for trigrams with a digit or sign.
+    """
     owner = np.repeat(np.repeat(np.arange(len(words.lengths)), words.lengths), np.diff(np.append(words.starts, len(words.trigrams))))
-    pairs = np.unique(owner[windows[owner]] * BUCKETS + words.trigrams[windows[owner]])
-    held = np.bincount(pairs % BUCKETS, minlength=BUCKETS)
-    return held >= min(SEEN_WINDOWS, max(1, int(windows.sum())))
+
+    def held(chosen: np.ndarray, of: np.ndarray, k: int) -> np.ndarray:
+        pairs = np.unique(owner[chosen] * BUCKETS + words.trigrams[chosen])
+        own = of[pairs // BUCKETS]
+        parts = np.split(pairs[np.argsort(own, kind="stable")] % BUCKETS, np.cumsum(np.bincount(own, minlength=k))[:-1])
+        sizes = np.bincount(of[windows], minlength=k).tolist()
+        least = [SEEN_WINDOWS if n > SEEN_WINDOWS else 1 for n in sizes]
+        return np.stack([np.bincount(p, minlength=BUCKETS) >= n for p, n in zip(parts, least, strict=True)], axis=1)
+
+    one, chosen = np.zeros(len(words.lengths), np.int64), windows[owner]
+    if labels is None:
+        return held(chosen, one, 1)[:, 0]
+    return held(chosen & ~words.marked, labels, k) | held(chosen & words.marked, one, 1)
 
 
-def least_familiar(words: Words) -> float:
-    """Half the median share of familiar words that one half of the windows has by the other half's trigrams."""
-    odd = np.arange(len(words.lengths)) % 2 == 1
-    if not (odd & (words.lengths > 0)).any() or not (~odd & (words.lengths > 0)).any():
-        return 0.0
-    shares = familiar_shares(known_trigrams(words, ~odd), words)
-    return float(np.median(shares[odd & (words.lengths > 0)])) / 2
+def least_familiar(words: Words, labels: np.ndarray, k: int) -> np.ndarray:
+    """Of each language, half the median share of familiar words that half of its windows has by the other half's.
+
+    A language of too few windows to tell gets the median of the others'; 0, so that nothing is foreign, if none tells.
+    """
+    filled = np.flatnonzero(words.lengths)
+    filled = filled[np.argsort(labels[filled], kind="stable")]
+    counts = np.bincount(labels[filled], minlength=k)
+    nth = np.zeros(len(words.lengths), np.int64)
+    nth[filled] = np.arange(len(filled)) - np.repeat(np.cumsum(counts) - counts, counts)
+    held_out = (words.lengths > 0) & (nth % 2 == 1)
+    shares = familiar_shares(known_trigrams(words, ~held_out & (words.lengths > 0), labels, k), words, np.repeat(labels, words.lengths))
+    told = counts > SEEN_WINDOWS
+    least = np.zeros(k)
+    for language in np.flatnonzero(told):
+        least[language] = np.median(shares[held_out & (labels == language)]) / 2
+    if told.any():
+        least[~told] = np.median(least[told])
+    return least
 
 
 def label_probabilities(field: Field, words: Words, scores: np.ndarray | None = None):
@@ -250,8 +319,8 @@ def fit(texts: list[bytes], langs: list[str], seed: int = 5) -> Field | None:
         holds,
         np.eye(k, dtype=np.float32),
         np.log(np.where(np.eye(k, dtype=bool), 0.9, 0.1 / max(1, k - 1))),
-        known_trigrams(words, np.ones(len(texts), bool)),
-        least_familiar(words),
+        known_trigrams(words, words.lengths > 0, labels, k),
+        least_familiar(words, labels, k),
     )
     squares = [np.full_like(x, 1e-3) for x in (field.weights, field.lexical, field.trans)]
     sizes = np.diff(np.append(words.starts, len(words.trigrams)))
@@ -263,7 +332,7 @@ def fit(texts: list[bytes], langs: list[str], seed: int = 5) -> Field | None:
             at, starts = chains.gather(words.starts[pick], sizes[pick])
             part = Words(
                 words.trigrams[at], starts, words.affixes[pick], words.hashes[pick],
-                np.array([len(s[0]) for s in batch]),
+                np.array([len(s[0]) for s in batch]), words.marked[at],
             )
             guess, moves = label_probabilities(field, part)
             error = -guess
@@ -351,7 +420,9 @@ def _labelled(field: Field | None, texts: list[bytes]):
         switches[some] = np.add.reduceat(changed.astype(np.int64), starts)
         pred[some] = np.array(field.languages, object)[best]
         score[some] = np.minimum(1.0, mean[np.arange(len(some)), best])
-        native &= field.familiar(words) >= field.least
+        of_text = np.zeros(n, np.int64)
+        of_text[some] = best
+        native &= field.native(words, label, of_text)
         blank = count == 0
         pred[blank], score[blank], switches[blank] = UNDETERMINED, 0.0, 0
     return pred, score, count, switches, native
@@ -395,8 +466,8 @@ def _append_languages(field: Field | None):
 def with_languages(docs: DataFrame) -> DataFrame:
     """(row, lang_pred, score, native): whole rows of ``docs`` as a struct; every labelled row may train.
 
-    ``native`` does not ask for one language: it holds for a text whose words are of learned languages,
-    one or several. It does not for a text without a letter, null and empty ones included, nor for a
+    ``native`` does not ask for one language: it holds for a text whose words are of the learned languages
+    that the field labels them or the text with, one or several. It does not for a text without a letter, null and empty ones included, nor for a
     foreign one; if no labelled row can train, it holds for every text with a letter. Each row is
     answered, repeated ones too, texts are read whole, and the struct keeps clashing names apart.
     """
